@@ -1,13 +1,13 @@
 """Registered queries over the given tables, each with its SQL counterpart where SQL can express it."""
 
-from . import cleaning
+from . import analytics, cleaning, serving
 
-MODULES = [cleaning]
+BOOKS = [cleaning, serving, analytics]
 
 
 def all_queries():
-    return {name: fn for m in MODULES for name, fn in m.QUERIES.items()}
+    return {name: fn for book in BOOKS for name, fn in book.query.queries.items()}
 
 
 def all_oracles():
-    return {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
+    return {name: sql for book in BOOKS for name, sql in book.query.oracles.items()}

@@ -11,19 +11,9 @@ from roadpulse.plans import jobs
 from roadpulse.schemas import FEATURE_COLUMNS, FILL_DEFAULTS
 
 from . import views as v
+from .registry import Registry
 
-QUERIES: dict = {}
-ORACLES: dict = {}
-
-
-def query(name: str, sql: str | None = None):
-    def register(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = sql
-        return fn
-
-    return register
+query = Registry()
 
 
 @query(

@@ -293,6 +293,11 @@ def with_views(names: list[str], query: str) -> str:
 # Spark side --------------------------------------------------------------------------------------
 
 
+def near(c: str, digits: int = 6):
+    """Rounded average. The small shift sends exact ties the same way whatever the summation order."""
+    return F.round(F.col(c) + 1e-9, digits)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

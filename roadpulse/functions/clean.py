@@ -16,10 +16,12 @@ WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 NUMBER_PATTERN = (
     r"(?i)^[+-]?((\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)(e[+-]?\d+(_\d+)*)?|nan|inf|infinity)$"
 )
+PLAIN_NUMBER_PATTERN = r"^[0-9.+\-eE]+$"
 TIME_PATTERN = (
     r"^(\d{4}-\d{2}-\d{2}|\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{1,2}:\d{1,2}(\.\d+)?"
     r"|\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2})([+-]\d{2}:?\d{2})?$"
 )
+PLAIN_TIME_PATTERN = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(\.\d+)?$"
 OFFSET_PATTERN = r":\d{1,2}(?:\.\d+)?([+-]\d{2}):?(\d{2})$"
 TRUE_WORDS = ("true", "1", "yes", "y")
 
@@ -62,9 +64,15 @@ def safe_string(c: Column, default: str | None = "") -> Column:
 
 
 def safe_float(c: Column, default: float | None = None) -> Column:
-    """Text to double, or the default. Accepts exactly the spellings of NUMBER_PATTERN."""
+    """Text to double, or the default. Accepts exactly the spellings of NUMBER_PATTERN.
+
+    Text made of digits, signs, dots and exponents goes straight to the cast; only other text needs
+    the full pattern.
+    """
     text = stripped(c)
-    number = F.when(text.rlike(NUMBER_PATTERN), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+    number = F.when(text.rlike(PLAIN_NUMBER_PATTERN), text.try_cast("double")).when(
+        text.rlike(NUMBER_PATTERN), F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
+    )
     return number if default is None else F.coalesce(number, F.lit(float(default)))
 
 
@@ -74,9 +82,14 @@ def safe_int(c: Column, default: int | None = None) -> Column:
     return number if default is None else F.coalesce(number, F.lit(int(default)))
 
 
+def clip(number: Column, lower: float, upper: float) -> Column:
+    """Number held inside [lower, upper]. NaN ends at upper."""
+    return F.greatest(F.lit(float(lower)), F.least(F.lit(float(upper)), number))
+
+
 def clip_float(c: Column, default: float, lower: float, upper: float) -> Column:
-    """Text to double, default when bad, then held inside [lower, upper]. NaN ends at upper."""
-    return F.greatest(F.lit(float(lower)), F.least(F.lit(float(upper)), safe_float(c, default)))
+    """Text to double, default when bad, then held inside [lower, upper]."""
+    return clip(safe_float(c, default), lower, upper)
 
 
 def weather_number(feature: str, c: Column) -> Column:
@@ -99,7 +112,9 @@ def parse_event_time(c: Column) -> Column:
     text = _time_text(c)
     without_offset = F.regexp_replace(text, r"[+-]\d{2}:?\d{2}$", "")
     wall = F.when(text.rlike(OFFSET_PATTERN), without_offset).otherwise(text)
-    return F.when(text.rlike(TIME_PATTERN), wall.try_cast("timestamp_ntz"))
+    return F.when(text.rlike(PLAIN_TIME_PATTERN), text.try_cast("timestamp_ntz")).when(
+        text.rlike(TIME_PATTERN), wall.try_cast("timestamp_ntz")
+    )
 
 
 def to_utc(c: Column) -> Column:
@@ -109,7 +124,8 @@ def to_utc(c: Column) -> Column:
     minutes = F.regexp_extract(text, OFFSET_PATTERN, 2)
     sign = F.when(hours.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
     shift = F.coalesce(hours.try_cast("int") * 60 + sign * minutes.try_cast("int"), F.lit(0))
-    return parse_event_time(c) - F.make_dt_interval(mins=shift)
+    shifted = parse_event_time(c) - F.make_dt_interval(mins=shift)
+    return F.when(text.rlike(PLAIN_TIME_PATTERN), text.try_cast("timestamp_ntz")).otherwise(shifted)
 
 
 def norm_ts(c: Column) -> Column:
@@ -151,35 +167,48 @@ def is_night(c: Column) -> Column:
 
 def infer_light(c: Column) -> Column:
     """Night from 22:00 to 05:59 by the wall clock of the text, else Day."""
-    hour = F.hour(parse_event_time(c))
-    return F.when((hour >= 22) | (hour < 6), F.lit("Night")).otherwise(F.lit("Day"))
+    return light_at(parse_event_time(c))
+
+
+def light_at(t: Column) -> Column:
+    """Night from 22:00 to 05:59, else Day; Day without a time."""
+    return F.when(F.pmod(F.hour(t) + 2, F.lit(24)) < 8, F.lit("Night")).otherwise(F.lit("Day"))
 
 
-def _first_rule(text: Column, rules: list[tuple[int, tuple[str, ...]]]) -> Column:
-    lowered = F.lower(safe_string(text))
+def rule_text(c: Column) -> Column:
+    """Text as the rules below read it. Compute it once, in a projection of its own."""
+    return F.lower(stripped(c))
+
+
+def first_rule(text: Column, rules: list[tuple[int, tuple[str, ...]]]) -> Column:
+    """Code of the first rule with a fragment in the text, else 0."""
     out = None
     for code, fragments in rules:
-        hit = reduce(lambda a, b: a | b, [lowered.contains(f) for f in fragments])
+        hit = reduce(lambda a, b: a | b, [text.contains(f) for f in fragments])
         out = F.when(hit, F.lit(code)) if out is None else out.when(hit, F.lit(code))
     return out.otherwise(F.lit(0))
 
 
 def weather_code(c: Column) -> Column:
     """Weather text to code 0..6, first matching rule."""
-    return _first_rule(c, WEATHER_RULES)
+    return first_rule(rule_text(c), WEATHER_RULES)
 
 
 def road_type_code(c: Column) -> Column:
     """Street text to road type 0..7, first matching rule."""
-    return _first_rule(c, ROAD_RULES)
+    return first_rule(rule_text(c), ROAD_RULES)
 
 
 def weather_label(code: Column) -> Column:
-    """Numeric weather code of the hourly feed to its label; unknown or null gives Clear."""
-    number = safe_int(code, 0)
+    """Numeric weather code of the hourly feed, possibly text, to its label."""
+    return weather_label_of(safe_int(code))
+
+
+def weather_label_of(code: Column) -> Column:
+    """Integer weather code to its label; unknown or null gives Clear."""
     out = None
     for label, codes in WEATHER_LABELS.items():
-        hit = number.isin(*codes)
+        hit = code.isin(*codes)
         out = F.when(hit, F.lit(label)) if out is None else out.when(hit, F.lit(label))
     return out.otherwise(F.lit("Clear"))
 

@@ -22,6 +22,15 @@ def _high(risk: Column) -> Column:
     return F.count_if(risk >= HIGH_RISK)
 
 
+def _with_risk(grouped, risk: str, *more: Column) -> DataFrame:
+    """Average risk and events of each group, counting rows that have a risk.
+
+    Counting replaces a filter on the computed risk, which the optimizer would evaluate twice.
+    """
+    out = grouped.agg(F.avg(risk).alias("avg_risk_score"), F.count(risk).alias("accident_count"), *more)
+    return out.where(F.col("accident_count") > 0)
+
+
 def timeseries(
     replay: DataFrame, group_by: str = "day", metric: str = "avg_risk", start=None, end=None
 ) -> DataFrame:
@@ -35,10 +44,8 @@ def timeseries(
     rows = time_range(replay, start, end).select(
         (day if part == "day" else F.trunc(day, part)).alias("time"), effective_risk_replay().alias("risk")
     )
-    out = rows.where("time is not null and risk is not null").groupBy("time").agg(
-        F.avg("risk").alias("avg_risk_score"),
-        F.count("*").alias("accident_count"),
-        _high(F.col("risk")).alias("high_risk_count"),
+    out = _with_risk(
+        rows.where("time is not null").groupBy("time"), "risk", _high(F.col("risk")).alias("high_risk_count")
     )
     value = {"avg_risk": "avg_risk_score", "count": "accident_count", "high_risk_count": "high_risk_count"}
     return out.withColumn("value", F.col(value[chosen]).cast("double"))
@@ -52,18 +59,14 @@ def severity_distribution(sources: Sources, mode: str | None = None) -> DataFram
 
 def risk_by_hour(sources: Sources, mode: str | None = None) -> DataFrame:
     """Average risk and events by hour of day."""
-    rows = common_view(sources, mode).where("hour is not null and risk_score is not null")
-    return rows.groupBy("hour").agg(
-        F.avg("risk_score").alias("avg_risk_score"), F.count("*").alias("accident_count")
-    )
+    rows = common_view(sources, mode).where("hour is not null")
+    return _with_risk(rows.groupBy("hour"), "risk_score")
 
 
 def risk_by_weather(replay: DataFrame) -> DataFrame:
     """Average risk and events by weather code of the replay table; a null code is a group."""
-    rows = replay.select("weather_code", effective_risk_replay().alias("risk")).where("risk is not null")
-    return rows.groupBy("weather_code").agg(
-        F.avg("risk").alias("avg_risk_score"), F.count("*").alias("accident_count")
-    )
+    rows = replay.select("weather_code", effective_risk_replay().alias("risk"))
+    return _with_risk(rows.groupBy("weather_code"), "risk")
 
 
 def weather_histogram(sources: Sources, mode: str | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import clean
 from ..functions.risk import live_severity
@@ -13,9 +14,11 @@ from ..schemas import (
     FILL_DEFAULTS,
     FLAG_SOURCES,
     MODEL_FEATURES,
+    RAW_COLUMNS,
     REQUIRED_COLUMNS,
     WEATHER_BOUNDS,
 )
+from .weather import join_weather
 
 
 def _raw(df: DataFrame, name: str) -> Column:
@@ -23,18 +26,46 @@ def _raw(df: DataFrame, name: str) -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast("string")
 
 
+def _is_text(df: DataFrame, name: str) -> bool:
+    return name not in df.columns or isinstance(df.schema[name].dataType, T.StringType)
+
+
+def _number(df: DataFrame, name: str) -> Column:
+    """A raw number; columns that are numbers already need no parsing."""
+    return clean.safe_float(_raw(df, name)) if _is_text(df, name) else F.col(name).cast("double")
+
+
+def _integer(df: DataFrame, name: str) -> Column:
+    return clean.safe_int(_raw(df, name)) if _is_text(df, name) else F.col(name).try_cast("int")
+
+
+def _time(df: DataFrame, name: str) -> Column:
+    return clean.parse_event_time(_raw(df, name)) if _is_text(df, name) else F.col(name).cast("timestamp_ntz")
+
+
+def _flag(df: DataFrame, name: str) -> Column:
+    if _is_text(df, name):
+        return clean.bool_int(_raw(df, name))
+    return F.coalesce(F.col(name).cast("int") == 1, F.lit(False)).cast("int")
+
+
 def _parsed(df: DataFrame) -> DataFrame:
-    """Raw row plus the parsed critical fields, computed once for both features and reject reasons."""
+    """Raw row plus its parsed critical fields and rule texts, each computed once."""
     return df.select(
         "*",
         F.nullif(clean.safe_string(_raw(df, "ID")), F.lit("")).alias("_id"),
-        clean.parse_event_time(_raw(df, "Start_Time")).alias("_time"),
-        clean.safe_float(_raw(df, "Start_Lat")).alias("_lat"),
-        clean.safe_float(_raw(df, "Start_Lng")).alias("_lon"),
-        clean.safe_int(_raw(df, "Severity")).alias("_severity"),
+        _time(df, "Start_Time").alias("_time"),
+        _number(df, "Start_Lat").alias("_lat"),
+        _number(df, "Start_Lng").alias("_lon"),
+        _integer(df, "Severity").alias("_severity"),
+        clean.rule_text(_raw(df, "Weather_Condition")).alias("_weather"),
+        clean.rule_text(_raw(df, "Street")).alias("_street"),
     )
 
 
+_PARSED = ("_id", "_time", "_lat", "_lon", "_severity", "_weather", "_street")
+
+
 def _reject_reason() -> Column:
     """First failed rule of a parsed row, or null. NaN lies outside every range."""
     return (
@@ -64,14 +95,14 @@ def _features(parsed: DataFrame, keep: list[str]) -> DataFrame:
         "day_of_week": day,
         "is_weekend": clean.is_weekend(day),
         "is_rush_hour": clean.is_rush_hour(hour),
-        "weather_code": clean.weather_code(_raw(parsed, "Weather_Condition")),
-        "road_type_code": clean.road_type_code(_raw(parsed, "Street")),
+        "weather_code": clean.first_rule(F.col("_weather"), clean.WEATHER_RULES),
+        "road_type_code": clean.first_rule(F.col("_street"), clean.ROAD_RULES),
         "is_night": clean.is_night(_raw(parsed, "Sunrise_Sunset")),
     }
-    for feature, (source, *_rest) in WEATHER_BOUNDS.items():
-        columns[feature] = clean.weather_number(feature, _raw(parsed, source))
+    for feature, (source, default, low, high) in WEATHER_BOUNDS.items():
+        columns[feature] = clean.clip(F.coalesce(_number(parsed, source), F.lit(default)), low, high)
     for feature, source in FLAG_SOURCES.items():
-        columns[feature] = clean.bool_int(_raw(parsed, source))
+        columns[feature] = _flag(parsed, source)
     return parsed.select(*[columns[c].alias(c) for c in FEATURE_COLUMNS], *keep)
 
 
@@ -94,9 +125,7 @@ def build_features(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 def with_reject_reason(df: DataFrame) -> DataFrame:
     """Raw rows with the reason they cannot become features; null for good rows."""
-    return _parsed(df).withColumn("reject_reason", _reject_reason()).drop(
-        "_id", "_time", "_lat", "_lon", "_severity"
-    )
+    return _parsed(df).withColumn("reject_reason", _reject_reason()).drop(*_PARSED)
 
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -124,67 +153,59 @@ def to_contract(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 
 def enrich_live(df: DataFrame, weather: DataFrame | None = None) -> DataFrame:
-    """Live incident messages as raw rows, ready for ``build_features``.
+    """Live incident messages as raw rows with typed values, ready for ``build_features``.
 
     Rows without position, time or id are left out. Weather comes from the hourly table; where it has
     no row for the cell and day, the weather is Clear, 50 F, 50 %, 0 mph.
     """
-    from .weather import join_weather
-
     has = set(df.columns)
-    text = lambda *names: [F.col(n) for n in names if n in has] or [F.lit(None).cast("string")]
-    one = lambda *names: F.coalesce(*[c.cast("string") for c in text(*names)])
-    flag = lambda name: F.col(name).cast("string") if name in has else F.lit("0")
-    roads = clean.join_array(F.col("road_numbers")) if "road_numbers" in has else F.lit("")
+    null = F.lit(None).cast("string")
+    texts = lambda *names: [F.col(n) for n in names if n in has] or [null]
+    first = lambda *names: next((n for n in names if n in has), names[0])
+    flag = lambda name: _integer(df, name) if name in has else F.lit(0)
+    time = clean.first_non_empty(*texts("timestamp", "event_timestamp", "last_report_time"))
     events = df.select(
         "*",
-        clean.safe_float(one("latitude", "lat")).alias("_live_lat"),
-        clean.safe_float(one("longitude", "lon", "lng")).alias("_live_lon"),
-        clean.first_non_empty(*text("timestamp", "event_timestamp", "last_report_time")).alias("_live_time"),
-        clean.first_non_empty(*text("event_id", "incident_id")).alias("_live_id"),
-    ).where(
-        "_live_lat is not null and _live_lon is not null and _live_time <> '' and _live_id <> ''"
+        _number(df, first("latitude", "lat")).alias("_live_lat"),
+        _number(df, first("longitude", "lon", "lng")).alias("_live_lon"),
+        time.alias("_live_time"),
+        clean.first_non_empty(*texts("event_id", "incident_id")).alias("_live_id"),
+    ).where("_live_lat is not null and _live_lon is not null and _live_time <> '' and _live_id <> ''")
+    events = events.withColumns(
+        {"_live_wall": clean.parse_event_time(F.col("_live_time")), "_live_utc": clean.to_utc(F.col("_live_time"))}
     )
     if weather is not None:
-        events = events.withColumn("_live_utc", clean.to_utc(F.col("_live_time")))
-        joined = join_weather(events, weather, "_live_lat", "_live_lon", "_live_utc")
-        condition = F.when(F.col("wx_slot").isNotNull(), clean.weather_label(F.col("wx_weather_code")))
-        numbers = {
-            "temperature_f": F.col("wx_temperature_f"),
-            "humidity": F.col("wx_humidity"),
-            "wind_speed_mph": F.col("wx_wind_speed_mph"),
-        }
+        events = join_weather(events, weather, "_live_lat", "_live_lon", "_live_utc")
+        label = F.when(F.col("wx_slot").isNotNull(), clean.weather_label_of(F.col("wx_weather_code")))
+        numbers = {c: F.col(f"wx_{c}").cast("double") for c in ("temperature_f", "humidity", "wind_speed_mph")}
     else:
-        joined, condition, numbers = events, F.lit(None).cast("string"), {}
-    visibility = F.col("visibility_mi").cast("string") if "visibility_mi" in has else F.lit(None).cast("string")
+        label, numbers = null, {}
     none = F.lit(None).cast("double")
+    roads = clean.join_array(F.col("road_numbers")) if "road_numbers" in has else F.lit("")
     raw = {
         "ID": F.col("_live_id"),
-        "Severity": live_severity(
-            clean.safe_int(one("delay_magnitude")), clean.safe_int(one("icon_category"))
-        ).cast("string"),
-        "Start_Time": F.col("_live_time"),
-        "Start_Lat": F.col("_live_lat").cast("string"),
-        "Start_Lng": F.col("_live_lon").cast("string"),
-        "Weather_Condition": F.coalesce(condition, F.lit("Clear")),
-        "Temperature_F": F.coalesce(numbers.get("temperature_f", none), F.lit(50.0)).cast("string"),
-        "Humidity_pct": F.coalesce(numbers.get("humidity", none), F.lit(50.0)).cast("string"),
-        "Wind_Speed_mph": F.coalesce(numbers.get("wind_speed_mph", none), F.lit(0.0)).cast("string"),
-        "Visibility_mi": F.coalesce(visibility, F.lit("10.0")),
-        "Street": F.coalesce(
-            F.nullif(clean.first_non_empty(*text("from_road", "to_road")), F.lit("")), F.trim(roads)
-        ),
+        "Severity": live_severity(_integer(df, "delay_magnitude"), _integer(df, "icon_category")),
+        "Start_Time": F.col("_live_wall"),
+        "Start_Lat": F.col("_live_lat"),
+        "Start_Lng": F.col("_live_lon"),
+        "Weather_Condition": F.coalesce(label, F.lit("Clear")),
+        "Temperature_F": F.coalesce(numbers.get("temperature_f", none), F.lit(50.0)),
+        "Humidity_pct": F.coalesce(numbers.get("humidity", none), F.lit(50.0)),
+        "Wind_Speed_mph": F.coalesce(numbers.get("wind_speed_mph", none), F.lit(0.0)),
+        "Visibility_mi": F.coalesce(_number(df, "visibility_mi"), F.lit(10.0)),
+        "Street": F.coalesce(*[F.nullif(clean.stripped(c), F.lit("")) for c in texts("from_road", "to_road")], roads),
         **{source: flag(feature) for feature, source in FLAG_SOURCES.items()},
-        "Sunrise_Sunset": clean.infer_light(F.col("_live_time")),
+        "Sunrise_Sunset": clean.light_at(F.col("_live_wall")),
     }
     kept = [c for c in df.columns if c not in raw]
-    return joined.select(*kept, *[c.alias(n) for n, c in raw.items()])
+    return events.select(*kept, *[c.alias(n) for n, c in raw.items()])
 
 
 def enrich_stream(df: DataFrame, weather: DataFrame | None = None, live_source: str = "live") -> DataFrame:
-    """Rows of a mixed topic: live ones enriched, the others passed on as they are."""
+    """Rows of a mixed topic as raw text rows: live ones enriched, the others passed on as they are."""
     source = F.lower(clean.safe_string(F.col("source")))
     live = enrich_live(df.where(source == live_source), weather)
+    live = live.select(*[F.col(c).cast("string").alias(c) if c in RAW_COLUMNS else F.col(c) for c in live.columns])
     return df.where(source != live_source).unionByName(live, allowMissingColumns=True)
 
 

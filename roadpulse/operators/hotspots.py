@@ -27,22 +27,24 @@ def hotspots(df: DataFrame, min_events: int = 5) -> DataFrame:
 
     Rows are first counted by cell and hour, so the second step sees at most 25 rows per cell and a
     cell with very many events is merged map-side. The most frequent hour (the earliest on a tie) is
-    the maximum of one integer that holds count and hour.
+    the maximum of one integer that holds count and hour. Rows without risk are left out by counting
+    the risk, not by a filter on it: a filter would be moved below the scoring and score twice.
     """
-    rows = df.where("lat is not null and lon is not null and risk_score is not null").select(
+    rows = df.where("lat is not null and lon is not null").select(
         geo.cell(F.col("lat"), CELL_DIGITS).alias("center_lat"),
         geo.cell(F.col("lon"), CELL_DIGITS).alias("center_lon"),
         "risk_score", "is_severe", "hour",
     )
     hourly = rows.groupBy("center_lat", "center_lon", "hour").agg(
-        F.sum("risk_score").alias("risk"), F.count("*").alias("n"), F.count_if("is_severe").alias("severe")
+        F.sum("risk_score").alias("risk"), F.count("risk_score").alias("n"),
+        F.count(F.when(F.col("is_severe"), F.col("risk_score"))).alias("severe"),
     )
-    ranked_hour = F.when(F.col("hour").isNotNull(), F.col("n") * _HOURS + (_HOURS - 1 - F.col("hour")))
+    ranked_hour = F.when(F.col("hour").isNotNull() & (F.col("n") > 0), F.col("n") * _HOURS + (_HOURS - 1 - F.col("hour")))
     cells = hourly.groupBy("center_lat", "center_lon").agg(
         F.sum("risk").alias("risk"), F.sum("n").alias("accident_count"), F.sum("severe").alias("severe_count"),
         F.max(ranked_hour).alias("best"),
     )
-    return cells.where(F.col("accident_count") >= min_events).select(
+    return cells.where(F.col("accident_count") >= max(1, min_events)).select(
         "center_lat", "center_lon", (F.col("risk") / F.col("accident_count")).alias("avg_risk_score"),
         "accident_count", "severe_count",
         (F.lit(_HOURS - 1) - F.pmod(F.col("best"), F.lit(_HOURS))).cast("int").alias("peak_hour"),

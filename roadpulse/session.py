@@ -26,7 +26,18 @@ def build_session(app: str = "roadpulse", master: str | None = None, **conf: str
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Fits the code generator to the wide projections of this library.
+
+    HotSpot never compiles a method above 8,000 bytes of bytecode. The feature projection is larger
+    when it is fused into one stage method, and would run interpreted, several times slower. With
+    this limit Spark generates it operator by operator, in smaller methods.
+    """
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    return spark
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
