@@ -1,8 +1,8 @@
 """Registered queries over the given tables, each with its SQL counterpart where SQL can express it."""
 
-from . import analytics, cleaning, serving
+from . import analytics, cleaning, health, live, serving, writes
 
-BOOKS = [cleaning, serving, analytics]
+BOOKS = [cleaning, serving, analytics, health, writes, live]
 
 
 def all_queries():

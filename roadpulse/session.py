@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 
@@ -59,3 +60,11 @@ def cut_lineage(df):
         spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="roadpulse-checkpoint-"))
     spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
     return df.checkpoint()
+
+
+def planned_bytes(df) -> float:
+    """The planner's size estimate of a frame, without running it; infinite where it is not known."""
+    try:
+        return float(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except AttributeError:
+        return math.inf
