@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions import geo
 from roadpulse.operators import changes as ch
-from roadpulse.operators.features import build_features, enrich_live, enrich_stream
+from roadpulse.operators.features import build_features, enrich_live, stream_features
 from roadpulse.operators.weather import explode_hourly, join_weather, lookup_work_list
 from roadpulse.schemas import FEATURE_COLUMNS, RAW_COLUMNS
 
@@ -96,7 +96,7 @@ def enrich_mixed(spark, sf_dir):
     live = live.select(*[F.col(c).cast("string").alias(c) for c in live.columns])
     raw = v.raw_replay(spark, sf_dir).select(*RAW_COLUMNS).withColumn("source", F.lit(""))
     mixed = raw.unionByName(live, allowMissingColumns=True)
-    rows = build_features(enrich_stream(mixed), keep=["source"])
+    rows = stream_features(mixed, keep=["source"])
     return rows.groupBy("source").agg(
         F.count("*").alias("n"), F.sum("true_severity").alias("severity"), F.sum("weather_code").alias("weather")
     )

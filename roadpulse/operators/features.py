@@ -209,6 +209,16 @@ def enrich_stream(df: DataFrame, weather: DataFrame | None = None, live_source:
     return df.where(source != live_source).unionByName(live, allowMissingColumns=True)
 
 
+def stream_features(
+    df: DataFrame, weather: DataFrame | None = None, keep: list[str] | None = None, live_source: str = "live"
+) -> DataFrame:
+    """Features of a mixed topic. Each kind of row keeps its own types, so live values that are numbers
+    already are not written as text and parsed again."""
+    source = F.lower(clean.safe_string(F.col("source")))
+    live = build_features(enrich_live(df.where(source == live_source), weather), keep)
+    return build_features(df.where(source != live_source), keep).unionByName(live)
+
+
 def drop_required(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Rows whose required columns are all present."""
     return df.dropna(subset=columns or REQUIRED_COLUMNS)

@@ -65,6 +65,6 @@ def cut_lineage(df):
 def planned_bytes(df) -> float:
     """The planner's size estimate of a frame, without running it; infinite where it is not known."""
     try:
-        return float(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return float(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except AttributeError:
         return math.inf
