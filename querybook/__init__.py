@@ -1,8 +1,8 @@
 """Registered queries over the given tables, each with its SQL counterpart where SQL can express it."""
 
-from . import analytics, cleaning, evaluation, health, live, serving, writes
+from . import analytics, cleaning, evaluation, health, live, profile, serving, writes
 
-BOOKS = [cleaning, serving, analytics, health, writes, live, evaluation]
+BOOKS = [cleaning, serving, analytics, health, writes, live, evaluation, profile]
 
 
 def all_queries():
