@@ -222,7 +222,7 @@ def _corr_cell(a: str, b: str) -> str:
         ", wide as (select period, "
         + ", ".join(_corr_cell(a, b) for a in p.CORRELATED for b in p.CORRELATED)
         + """ from tagged group by 1),
-long as (unpivot include nulls wide on columns(* exclude (period)) into name pair value c)
+long as (select * from wide unpivot include nulls (c for pair in (columns(* exclude (period)))))
 select period, split_part(pair, '|', 1) as feature, split_part(pair, '|', 2) as other, c as correlation from long"""
     ),
 )

@@ -197,7 +197,8 @@ def enrich_live(df: DataFrame, weather: DataFrame | None = None) -> DataFrame:
         **{source: flag(feature) for feature, source in FLAG_SOURCES.items()},
         "Sunrise_Sunset": clean.light_at(F.col("_live_wall")),
     }
-    kept = [c for c in df.columns if c not in raw]
+    taken = {n.lower() for n in raw}
+    kept = [c for c in df.columns if c.lower() not in taken]
     return events.select(*kept, *[c.alias(n) for n, c in raw.items()])
 
 

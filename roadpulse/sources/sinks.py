@@ -29,6 +29,9 @@ def write_silver(df: DataFrame, path: str, batch_id: int | None = None) -> None:
     target = path if batch_id is None else f"{path.rstrip('/')}/batch_id={batch_id}"
     rows = with_event_date(to_contract(df))
     mode = "append" if batch_id is None else "overwrite"
+    # Brings a date's rows together, so that not every task writes a file per date; adaptive execution
+    # splits a date that is too large for one task and merges small ones.
+    rows = rows.hint("rebalance", "event_date")
     rows.write.mode(mode).partitionBy("event_date").json(target)
 
 
