@@ -123,6 +123,17 @@ def build_features(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return _features(_parsed(df).where(_acceptable()), keep or [])
 
 
+def features_or_reason(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """One row per raw row: the features of a good one, or the reason and the raw row as JSON of a bad one.
+
+    Cached, it serves both outputs of a micro-batch from one parse, and it is narrow: the raw text of
+    good rows is not carried.
+    """
+    parsed = _parsed(df).withColumn("reject_reason", _reject_reason())
+    message = F.when(F.col("reject_reason").isNotNull(), F.to_json(F.struct(*df.columns)))
+    return _features(parsed.withColumn("message", message), [*(keep or []), "reject_reason", "message"])
+
+
 def with_reject_reason(df: DataFrame) -> DataFrame:
     """Raw rows with the reason they cannot become features; null for good rows."""
     return _parsed(df).withColumn("reject_reason", _reject_reason()).drop(*_PARSED)
@@ -130,9 +141,9 @@ def with_reject_reason(df: DataFrame) -> DataFrame:
 
 def split_valid(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Raw rows that will become features, and the others with their reason."""
-    marked = with_reject_reason(df)
-    good = marked.where(F.col("reject_reason").isNull()).drop("reject_reason")
-    return good, marked.where(F.col("reject_reason").isNotNull())
+    rows = with_reject_reason(df)
+    good = rows.where(F.col("reject_reason").isNull()).drop("reject_reason")
+    return good, rows.where(F.col("reject_reason").isNotNull())
 
 
 def scan_report(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import clean
 from ..functions.risk import context_risk
-from ..operators.features import build_features, enrich_live, split_valid
+from ..operators.features import build_features, enrich_live, features_or_reason
 from ..plans.jobs import score_replay
 from ..schemas import LIVE_MESSAGE, LIVE_SCHEMA, RAW_COLUMNS, RAW_RENAMES, REPLAY_SCHEMA
 from ..sources.sinks import KeyedTable, write_silver
@@ -70,11 +70,11 @@ def replay_batch(batch: DataFrame, batch_id: int, config: StreamConfig) -> None:
     """One micro-batch of raw rows. Every output is a folder of this batch, replaced when it runs again."""
     keep = [c for c in ("predicted_severity", "inference_latency_ms") if c in batch.columns]
     stamp = F.col("_ingested_at_utc") if "_ingested_at_utc" in batch.columns else F.lit(None).cast("string")
-    rows = batch.withColumn("ingestion_time", clean.to_utc(stamp)).persist()
+    stamped = batch.withColumn("ingestion_time", clean.to_utc(stamp))
+    rows = features_or_reason(stamped, [*keep, "ingestion_time"]).persist()
     try:
-        good, bad = split_valid(rows)
-        _quarantine(bad, config, batch_id)
-        features = build_features(good, keep=[*keep, "ingestion_time"])
+        _quarantine(rows.where("reject_reason is not null").select("reject_reason", "message"), config, batch_id)
+        features = rows.where("reject_reason is null").drop("reject_reason", "message")
         if config.silver:
             write_silver(features, config.silver, batch_id)
         if "predicted_severity" in keep:
