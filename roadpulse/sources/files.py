@@ -158,7 +158,7 @@ def _log_lines(spark: SparkSession, path: str) -> DataFrame:
     A log is one file of a training run: each is read whole by one task and split there, which keeps
     its line order.
     """
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(
         F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line")
     )
