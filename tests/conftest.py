@@ -17,7 +17,7 @@ def spark(tmp_path_factory):
         "tests", "local[4]",
         **{
             "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
-            "spark.driver.memory": "6g", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.driver.memory": "6g", "spark.sql.maxMetadataStringLength": "3000", "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
