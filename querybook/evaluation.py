@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from roadpulse.functions.risk import infer_severity
 from roadpulse.operators import evaluate as ev
-from roadpulse.operators import keyed, sampling, scenarios
+from roadpulse.operators import features, keyed, sampling, scenarios
 from roadpulse.operators.backfill import backfill_candidates, backfill_updates
+from roadpulse.schemas import MODEL_FEATURES
+from roadpulse.session import shared_folder
+from roadpulse.sources import files
 
 from . import views as v
 from .cleaning import HEURISTIC_CLASS
@@ -46,7 +50,7 @@ select true_severity as class_label, count(*) as class_count,
     ),
 )
 def class_factors(spark, sf_dir):
-    return ev.class_factors(v.features(spark, sf_dir), A)
+    return ev.class_factors(v.feature_table(spark, sf_dir), A)
 
 
 @query(
@@ -167,7 +171,7 @@ def probabilities(spark, sf_dir):
     """Feature rows with made class probabilities that lean towards the true class."""
     k = F.substr(F.col("event_id"), F.lit(3)).cast("bigint")
     lean = lambda c, w: F.when(F.col(A) == c, F.lit(w)).otherwise(F.lit(0))
-    rows = v.features(spark, sf_dir).select(
+    rows = v.feature_table(spark, sf_dir).select(
         "event_id", A, (F.lit(1.0) + k % 7).alias("w1"), (F.lit(1.0) + k % 11 + lean(2, 4)).alias("w2"),
         (F.lit(1.0) + k % 5 + lean(3, 2)).alias("w3"), (F.lit(1.0) + k % 3).alias("w4"),
     )
@@ -217,7 +221,7 @@ HASH = "('0x' || substr(md5(event_id), 1, 8))::BIGINT"
     ),
 )
 def hash_split(spark, sf_dir):
-    train, test = sampling.hash_split(v.features(spark, sf_dir).select("event_id"), "event_id", 80)
+    train, test = sampling.hash_split(v.feature_table(spark, sf_dir).select("event_id"), "event_id", 80)
     return train.withColumn("side", F.lit("train")).union(test.withColumn("side", F.lit("test")))
 
 
@@ -229,7 +233,7 @@ def hash_split(spark, sf_dir):
     ),
 )
 def temporal_split(spark, sf_dir):
-    before, after = sampling.temporal_split(v.features(spark, sf_dir), v.SPLIT_YEAR)
+    before, after = sampling.temporal_split(v.feature_table(spark, sf_dir), v.SPLIT_YEAR)
     count = lambda df, side: df.agg(F.count("*").alias("n")).withColumn("side", F.lit(side))
     return count(before, "before").unionByName(count(after, "after"))
 
@@ -247,7 +251,7 @@ qualify row_number() over (partition by true_severity order by {HASH}, event_id)
     ),
 )
 def stratified_cap(spark, sf_dir):
-    rows = v.features(spark, sf_dir).select("event_id", A)
+    rows = v.feature_table(spark, sf_dir).select("event_id", A)
     return sampling.stratified_cap(rows, A, "event_id", 3000)
 
 
@@ -263,7 +267,7 @@ qualify row_number() over (partition by period order by {HASH}, event_id) <= 500
 )
 def sample_per_period(spark, sf_dir):
     period = F.when(F.col("event_year") < v.SPLIT_YEAR, F.lit("before")).otherwise(F.lit("after"))
-    rows = v.features(spark, sf_dir).select("event_id", period.alias("period"))
+    rows = v.feature_table(spark, sf_dir).select("event_id", period.alias("period"))
     return sampling.sample_per_group(rows, "period", "event_id", 500)
 
 
@@ -321,7 +325,7 @@ with {SCENARIO} select event_id, p as predicted_severity, 'heuristic_fallback' a
     ),
 )
 def predict_scenarios(spark, sf_dir):
-    scored = scenarios.predict_scenarios(v.features(spark, sf_dir))
+    scored = scenarios.predict_scenarios(v.feature_table(spark, sf_dir))
     return scored.select("event_id", "predicted_severity", "model_status", "risk_score", "risk_level")
 
 
@@ -338,7 +342,7 @@ from base b join changed c using (event_id)""",
     ),
 )
 def scenario_compare(spark, sf_dir):
-    rows = v.features(spark, sf_dir)
+    rows = v.feature_table(spark, sf_dir)
     changed = rows.withColumns({"is_night": F.lit(1), "weather_code": F.lit(4), "is_rush_hour": F.lit(1)})
     return scenarios.compare_scenarios(
         scenarios.predict_scenarios(rows), scenarios.predict_scenarios(changed), "event_id"
@@ -364,40 +368,36 @@ def runs(spark, sf_dir):
     )
 
 
-def _runs_rounded(df, *columns):
-    return df.withColumns({c: F.round(c, 4) for c in columns})
-
-
 @query(
     "best_run",
     f"""
 with {RUNS}, recent as (select * from runs order by start_time desc, run_id limit 30)
-select run_id, start_time, round(weighted_f1, 4) as weighted_f1, round(macro_f1, 4) as macro_f1, round(logloss, 4) as logloss,
+select run_id, start_time, weighted_f1, macro_f1, logloss,
   'weighted_f1' as selection_metric from recent order by coalesce(weighted_f1, -1) desc, start_time desc, run_id limit 1""",
 )
 def best_run(spark, sf_dir):
-    return _runs_rounded(ev.best_run(runs(spark, sf_dir), 30), "weighted_f1", "macro_f1", "logloss")
+    return ev.best_run(runs(spark, sf_dir), 30)
 
 
 @query(
     "model_trend",
     f"""
-with {RUNS} select run_id, start_time, round(weighted_f1, 4) as weighted_f1, round(macro_f1, 4) as macro_f1, round(logloss, 4) as logloss
+with {RUNS} select run_id, start_time, weighted_f1, macro_f1, logloss
 from runs order by start_time desc, run_id limit 20""",
 )
 def model_trend(spark, sf_dir):
-    return _runs_rounded(ev.metric_trend(runs(spark, sf_dir), 20), "weighted_f1", "macro_f1", "logloss")
+    return ev.metric_trend(runs(spark, sf_dir), 20)
 
 
 @query(
     "leaderboard",
     f"""
-with {RUNS} select run_id as model, round(macro_f1, 4) as macro_f1, round(logloss, 4) as logloss
+with {RUNS} select run_id as model, macro_f1, logloss
 from runs order by macro_f1 desc, logloss, run_id limit 10""",
 )
 def leaderboard(spark, sf_dir):
     models = runs(spark, sf_dir).select(F.col("run_id").alias("model"), "macro_f1", "logloss")
-    return _runs_rounded(ev.leaderboard(models), "macro_f1", "logloss")
+    return ev.leaderboard(models)
 
 
 @query(
@@ -415,3 +415,79 @@ def infer_from_probabilities(spark, sf_dir):
     rows = probabilities(spark, sf_dir)
     severity = infer_severity(none, none, none, none, [F.col(f"p{c}") for c in (1, 2, 3, 4)])
     return rows.select(severity.alias("severity")).groupBy("severity").agg(F.count("*").alias("n"))
+
+
+VECTOR = ", ".join(MODEL_FEATURES)
+
+
+@query(
+    "preset_severity",
+    v.with_views(
+        ["features"],
+        f"""
+with presets as (select {VECTOR}, min(k) as name, 1 + min(k) % 4 as s from features where k % 50 = 0 group by {VECTOR}),
+hits as (select f.* exclude (predicted_severity), s as predicted_severity, name from features f join presets using ({VECTOR}))
+select event_id, 'P-' || name as preset_name, cast(predicted_severity as int) as predicted_severity,
+  {v.write_risk_sql('predicted_severity')} as risk_score, 'preset_rule_based' as model_status from hits""",
+    ),
+)
+def preset_severity(spark, sf_dir):
+    """Vectors equal to one of the presets; every 50th row serves as a preset."""
+    k = F.substr(F.col("event_id"), F.lit(3)).cast("bigint")
+    rows = v.feature_table(spark, sf_dir).withColumn("k", k)
+    presets = rows.where(F.col("k") % 50 == 0).groupBy(*MODEL_FEATURES).agg(F.min("k").alias("k")).select(
+        F.concat(F.lit("P-"), F.col("k").cast("string")).alias("preset_name"),
+        (1 + F.col("k") % 4).cast("int").alias("preset_severity"), *MODEL_FEATURES,
+    )
+    found = scenarios.preset_severity(rows.drop("k"), presets)
+    return found.select("event_id", "preset_name", "predicted_severity", "risk_score", "model_status")
+
+
+@query(
+    "complete_features",
+    v.with_views(["features"], "select event_id from features where k % 5 <> 0 and k % 7 <> 0"),
+)
+def complete_features(spark, sf_dir):
+    k = F.substr(F.col("event_id"), F.lit(3)).cast("bigint")
+    holed = v.feature_table(spark, sf_dir).withColumns(
+        {"humidity": F.when(k % 5 != 0, F.col("humidity")), "hour": F.when(k % 7 != 0, F.col("hour"))}
+    )
+    return features.complete_features(holed).select("event_id")
+
+
+@query(
+    "compare_models",
+    f"""
+with {RUNS}, m as (select run_id as model, case when weighted_f1 is null then 'failed' else 'ok' end as status, macro_f1 from runs)
+select model, status, macro_f1, cast(row_number() over (order by case status when 'ok' then 0 else 2 end, macro_f1 desc nulls last, model) as int)
+  as place from m order by place limit 25""",
+)
+def compare_models(spark, sf_dir):
+    models = runs(spark, sf_dir).select(
+        F.col("run_id").alias("model"), F.when(F.col("weighted_f1").isNull(), F.lit("failed")).otherwise(F.lit("ok")).alias("status"), "macro_f1"
+    )
+    top = ev.compare_models(models).limit(25)
+    order = Window.orderBy(F.when(F.col("status") == "ok", 0).otherwise(2), F.col("macro_f1").desc_nulls_last(), F.col("model"))
+    return top.withColumn("place", F.row_number().over(order))
+
+
+@query(
+    "metric_log",
+    """
+select 'M_' || r as model, round(n % 97 / 97, 4) as accuracy, round((n % 13 + 1) / 10, 4) as logloss, cast(null as double) as macro_f1
+from (select o_custkey // 50 as r, count(*) as n from orders group by 1)""",
+)
+def metric_log(spark, sf_dir):
+    """Text logs made of the orders, one per 50 customers, read back as metrics."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    counts = orders.groupBy(F.floor(F.col("o_custkey") / 50).alias("r")).agg(F.count("*").alias("n"))
+    text = lambda c: F.round(c, 4).cast("decimal(9,4)").cast("string")
+    name = F.concat(F.lit("M_"), F.col("r").cast("string"))
+    log = F.concat(
+        F.lit("Best model ID: "), name, F.lit("\nEvaluating model rank 1: X_0 (x)\n  accuracy: 0.1\nEvaluating model rank 2: "),
+        name, F.lit(" (m)\n  Logloss: "), text((F.col("n") % 13 + 1) / 10), F.lit("\n  accuracy: "), text(F.col("n") % 97 / 97),
+        F.lit("\n  macro_f1: N/A\nEvaluating model rank 3: X_0 (x)\n  accuracy: 0.2\n"),
+    )
+    folder = f"{shared_folder(spark, 'logs')}/logs"
+    counts.select(log.alias("value"), F.col("r").alias("run")).write.partitionBy("run").text(folder)
+    return files.read_metric_log(spark, f"{folder}/*").select("model", "accuracy", "logloss", "macro_f1")

@@ -258,7 +258,7 @@ def nearby_flat(spark, sf_dir):
         f"""
 with centers as (select 'c' || user_id as center_id, avg(40.4e0 + (user_id % 50) / 1e2) as clat,
     avg(-74.2e0 + (user_id % 37) / 1e2) as clon from events group by user_id)
-select center_id, count(*) as n, round(sum(d), 2) as total_distance, count(distinct event_id) as events from (
+select center_id, count(*) as n, round(sum(d), 2) as total_distance from (
   select center_id, event_id, {HAVERSINE.format(lat='clat', lon='clon')} as d from live, centers
   where lat between clat - 0.1e0 and clat + 0.1e0)
 where d <= 5000 group by center_id""",
@@ -272,13 +272,38 @@ def nearby_join(spark, sf_dir):
         (F.lit(40.4) + F.col("user_id") % 50 / 100).alias("center_lat"),
         (F.lit(-74.2) + F.col("user_id") % 37 / 100).alias("center_lon"),
     )
-    pairs = hot.nearby_join(events, centers, 5000.0, hot_rows=2000)
+    pairs = hot.nearby_join(events, centers, 5000.0)
     return pairs.groupBy("center_id").agg(
-        F.count("*").alias("n"), F.round(F.sum("distance_m"), 2).alias("total_distance"),
-        F.count_distinct("event_id").alias("events"),
+        F.count("*").alias("n"), F.round(F.sum("distance_m"), 2).alias("total_distance")
     )
 
 
+@query(
+    "nearby_salted",
+    v.with_views(
+        ["live"],
+        f"""
+with centers as (select distinct 'c' || user_id as center_id, 40.4e0 + (user_id % 50) / 1e2 as clat,
+    -74.2e0 + (user_id % 40) / 1e2 as clon from events)
+select event_id, count(*) as n from (
+  select event_id, {HAVERSINE.format(lat='clat', lon='clon')} as d from live, centers
+  where lat between clat - 0.1e0 and clat + 0.1e0)
+where d <= 2000 group by event_id""",
+    ),
+)
+def nearby_salted(spark, sf_dir):
+    """Centres near each event, with nearly every cell treated as hot."""
+    events = v.live(spark, sf_dir).select("event_id", "lat", "lon")
+    users = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id").distinct()
+    centers = users.select(
+        F.concat(F.lit("c"), F.col("user_id").cast("string")).alias("center_id"),
+        (F.lit(40.4) + F.col("user_id") % 50 / 100).alias("center_lat"),
+        (F.lit(-74.2) + F.col("user_id") % 40 / 100).alias("center_lon"),
+    )
+    pairs = hot.nearby_join(events, centers, 2000.0, hot_rows=40)
+    return pairs.groupBy("event_id").agg(F.count("*").alias("n"))
+
+
 @query(
     "nearest_per_center",
     v.with_views(

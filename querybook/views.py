@@ -351,6 +351,11 @@ def stored(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
     return spark.read.parquet(_TABLES[key])
 
 
+def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature rows as a stored table, as training and scenarios find them."""
+    return stored(spark, sf_dir, "features", lambda: features(spark, sf_dir))
+
+
 def replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, sf_dir, "replay", lambda: replay_of(raw_replay(spark, sf_dir)))
 
