@@ -46,7 +46,8 @@ def stream_replay(spark, sf_dir):
     raw = v.raw_replay_of(_table_stream(spark, sf_dir, "orders")).withColumn("_ingested_at_utc", F.lit("2024-05-01T00:00:00+00:00"))
     messages = raw.select(F.to_json(F.struct(*raw.columns)).alias("value"))
     config = sp.StreamConfig(
-        f"{folder}/checkpoint", f"{folder}/table", quarantine=f"{folder}/bad", now=NOW
+        f"{folder}/checkpoint", f"{folder}/table", quarantine=f"{folder}/bad", now=NOW,
+        spread=spark.sparkContext.defaultParallelism,
     )
     _drain(sp.start_replay(sp.replay_messages(messages, "predicted_severity string"), config))
     table = KeyedTable(spark, config.table, REPLAY_SCHEMA, sp.KEY, sp.ORDER).read()
@@ -70,7 +71,10 @@ def stream_live(spark, sf_dir):
     folder = shared_folder(spark, "stream-live")
     live = v.live_messages(v.live_base_of(_table_stream(spark, sf_dir, "events"))).drop("event_time", "seq", "event_type")
     messages = live.select(F.to_json(F.struct(*live.columns)).alias("value"))
-    config = sp.StreamConfig(f"{folder}/checkpoint", f"{folder}/table", quarantine=f"{folder}/bad", now=NOW)
+    config = sp.StreamConfig(
+        f"{folder}/checkpoint", f"{folder}/table", quarantine=f"{folder}/bad", now=NOW,
+        spread=spark.sparkContext.defaultParallelism,
+    )
     _drain(sp.start_live(sp.live_messages(messages), config, v.hourly_weather(spark, sf_dir)))
     table = KeyedTable(spark, config.table, LIVE_SCHEMA, sp.KEY, sp.ORDER).read()
     return table.select(

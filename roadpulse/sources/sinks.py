@@ -152,7 +152,8 @@ class KeyedTable:
             parts.append(self._read("batches", "batch_id", later))
         if not parts:
             return self.spark.createDataFrame([], self.schema)
-        if len(parts) == 1 and not later:
+        if len(parts) == 1 and len(later) <= 1:
+            # A base or a single batch has one row per key already.
             return parts[0].drop("batch_id")
         rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
         rest = [f.name for f in self.schema.fields if f.name != self.key]

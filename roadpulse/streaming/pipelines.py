@@ -26,7 +26,9 @@ class StreamConfig:
     """Where a pipeline writes and how it is triggered.
 
     ``seconds`` is the trigger interval; without one the query drains what is there and stops.
-    ``now`` fixes the processing time, which makes a run repeatable.
+    ``now`` fixes the processing time, which makes a run repeatable. ``spread`` redistributes each
+    micro-batch over that many tasks before features are built: useful where a source brings few
+    large files or has fewer partitions than the cluster has cores.
     """
 
     checkpoint: str
@@ -38,6 +40,7 @@ class StreamConfig:
     fallback: float = -1.0
     now: str | None = None
     name: str | None = None
+    spread: int | None = None
 
 
 def replay_messages(df: DataFrame, extra: str = "") -> DataFrame:
@@ -71,6 +74,7 @@ def replay_batch(batch: DataFrame, batch_id: int, config: StreamConfig) -> None:
     keep = [c for c in ("predicted_severity", "inference_latency_ms") if c in batch.columns]
     stamp = F.col("_ingested_at_utc") if "_ingested_at_utc" in batch.columns else F.lit(None).cast("string")
     stamped = batch.withColumn("ingestion_time", clean.to_utc(stamp))
+    stamped = stamped.repartition(config.spread) if config.spread else stamped
     rows = features_or_reason(stamped, [*keep, "ingestion_time"]).persist()
     try:
         _quarantine(rows.where("reject_reason is not null").select("reject_reason", "message"), config, batch_id)
@@ -117,7 +121,7 @@ def live_rows(messages: DataFrame, weather: DataFrame | None, now=None) -> DataF
 
 def live_batch(batch: DataFrame, batch_id: int, config: StreamConfig, weather: DataFrame | None) -> None:
     """One micro-batch of live messages."""
-    rows = batch.persist()
+    rows = (batch.repartition(config.spread) if config.spread else batch).persist()
     try:
         if config.quarantine:
             name = lambda c: F.col(c) if c in batch.columns else F.lit(None)
