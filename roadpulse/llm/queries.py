@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_tree, exact_dedup, secret_scan, token_counts
+from . import bpe_tree, exact_dedup, near_dedup, secret_scan, token_counts
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +49,8 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans")
+
+
+@query
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
