@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_tree, exact_dedup, near_dedup, secret_scan, token_counts
+from . import bpe_tree, decontaminate, exact_dedup, near_dedup, secret_scan, token_counts
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,36 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op9_decontaminate"] = r"""
+with doc_words as (
+  select doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') as words from documents),
+item_words as (
+  select item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '') as words from benchmark),
+items as (select item_id, words, len(words) as words_in, least(len(words), 5) as q from item_words where len(words) > 0),
+doc_shingles as (
+  select doc_id, i as pos, array_to_string(words[i:i + q - 1], ' ') as shingle, q
+  from doc_words, (select distinct q from items), unnest(range(1, len(words) - q + 2)) as r(i)),
+item_shingles as (
+  select item_id, words_in, q, i as pos, array_to_string(words[i:i + q - 1], ' ') as shingle
+  from items, unnest(range(1, len(words) - q + 2)) as r(i)),
+item_weights as (select item_id, words_in, q, shingle, count(*) as n from item_shingles group by all),
+windows as (
+  select distinct doc_id, d.q, words_in, least(greatest(d.pos - i.pos, 0), len(words) - words_in) + 1 as first
+  from doc_shingles d join item_shingles i using (shingle, q) join doc_words using (doc_id)
+  where len(words) >= words_in),
+window_weights as (
+  select doc_id, words_in, q, first, shingle, count(*) as n
+  from windows join doc_shingles using (doc_id, q) where pos between first and first + words_in - q group by all),
+common as (
+  select doc_id, w.words_in, first, item_id, sum(least(w.n, i.n)) as c, any_value(w.words_in - w.q + 1) as m
+  from window_weights w join item_weights i using (words_in, q, shingle) group by all)
+select doc_id, item_id, max(c / (2 * m - c)) as similarity, count(*) as n_windows
+from common where c / (2 * m - c) >= 0.8 group by doc_id, item_id
+"""
