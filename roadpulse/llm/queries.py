@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe_tree, decontaminate, exact_dedup, near_dedup, secret_scan, token_counts
+from . import bpe_tree, decontaminate, exact_dedup, language, near_dedup, secret_scan, token_counts
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -87,3 +88,11 @@ common as (
 select doc_id, item_id, max(c / (2 * m - c)) as similarity, count(*) as n_windows
 from common where c / (2 * m - c) >= 0.8 group by doc_id, item_id
 """
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.filter(~language.held_out()))
+    return language.identify(docs, model).select(
+        "doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "spans")
