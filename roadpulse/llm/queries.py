@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_tree, decontaminate, exact_dedup, language, near_dedup, secret_scan, token_counts
+from . import bpe_tree, decontaminate, exact_dedup, html_text, language, near_dedup, secret_scan, token_counts
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -96,3 +96,8 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.fit(docs.filter(~language.held_out()))
     return language.identify(docs, model).select(
         "doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "spans")
+
+
+@query
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
