@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_tree, decontaminate, exact_dedup, html_text, language, near_dedup, secret_scan, token_counts
+from . import bpe_tree, chat, decontaminate, exact_dedup, html_text, language, near_dedup, secret_scan, token_counts
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -101,3 +101,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    held_out = F.coalesce(F.crc32(F.col("conv_id").cast("string")) % 3 == 1, F.lit(False))
+    hmm = chat.fit(turns.filter(~held_out))
+    return chat.format_turns(turns, hmm).withColumn("held_out", held_out)
