@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -217,8 +218,22 @@ def held_out(id_col: str = "doc_id"):
 
 
 def keep_identified(docs: DataFrame, least: float, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The documents whose language is known with a score of ``least`` or more, with all their columns; learned from the labelled ones."""
-    model = fit(docs.filter(~held_out(id_col)), lang_col, id_col, text_col)
-    gone = identify(docs, model, id_col, text_col).filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least))
-    gone = gone.select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    """The documents whose language is known with a score of ``least`` or more, with all their columns; no shuffle.
+
+    The model learns from those of them that are labelled and not held out.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast(fit(docs.filter(~held_out(id_col)), lang_col, id_col, text_col))
+    held: list[Labeller] = []
+    place = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            named = pa.RecordBatch.from_arrays([pc.fill_null(batch.column(place).cast(pa.string()), "")], names=["text"])
+            keep = []
+            for _, texts in slices([named], "text"):
+                if not held:
+                    held.append(Labeller(sent.value))
+                keep += [lang != UNKNOWN and score >= least for lang, score, _ in held[0](texts)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
