@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_tree, chat, decontaminate, exact_dedup, html_text, language, near_dedup, secret_scan, token_counts
+from . import bpe_tree, chat, decontaminate, exact_dedup, html_text, language, near_dedup, secret_scan, suffix_dedup, token_counts
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +109,8 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.crc32(F.col("conv_id").cast("string")) % 3 == 1, F.lit(False))
     hmm = chat.fit(turns.filter(~held_out))
     return chat.format_turns(turns, hmm).withColumn("held_out", held_out)
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
