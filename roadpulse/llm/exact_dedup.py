@@ -15,8 +15,8 @@ from .common import id_and_text
 
 #: Fixed by the contract: what is deleted before texts are compared.
 BLANKS = r"[\x20\x09-\x0D]+"
-#: The range of a 64-bit id, and half of it.
-ID_SPAN, HALF_SPAN = "18446744073709551616", "9223372036854775808"
+#: The range of a 64-bit id, and the largest id.
+ID_SPAN, HALF_SPAN = "18446744073709551616", "9223372036854775807"
 
 
 def content_hash(text: Column) -> Column:
