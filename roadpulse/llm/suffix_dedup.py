@@ -89,11 +89,15 @@ def run_hashes(data: np.ndarray, place: np.ndarray, first: np.ndarray, count: np
 
 def planes(values: np.ndarray) -> bytes:
     """The bytes of numbers, highest bytes of all first, so that equal high bytes compress."""
+    if not len(values):
+        return b""
     return values.astype(values.dtype.newbyteorder(">")).view(np.uint8).reshape(len(values), -1).T.tobytes()
 
 
 def unplaned(raw: bytes, kind: str, n: int) -> np.ndarray:
     size = np.dtype(kind).itemsize
+    if not n:
+        return np.empty(0, dtype=kind)
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(np.dtype(kind).newbyteorder(">")).ravel().astype(kind)
 
 
