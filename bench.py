@@ -22,7 +22,7 @@ RUNS = 2
 HEADLINE = [
     "build_features", "hotspots", "gold_clean", "live_features", "top_hotspots_full", "map_points",
     "latest_predictions", "nearby", "nearby_join", "timeseries_day", "severity_distribution", "risk_by_hour",
-    "risk_by_weather", "weather_histogram", "overview_exact", "overview_sampled", "throughput", "latency",
+    "risk_by_weather", "weather_histogram", "overview_exact", "throughput", "latency",
     "upsert_latest", "update_from", "weather_asof", "change_status", "class_report", "proba_metrics",
     "numeric_summary", "corr_matrix", "flag_stats", "stratified_cap", "scenario_compare",
 ]

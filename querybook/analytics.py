@@ -106,36 +106,27 @@ def weather_histogram(spark, sf_dir):
     return an.weather_histogram(v.sources(spark, sf_dir))
 
 
-@query(
-    "overview_exact",
-    v.with_views(
+def _overview_sql(mode: str, only: str = "") -> str:
+    return v.with_views(
         ["all_points"],
-        """
+        f"""
 with part as (select data_source, count(*) as n, count(*) filter (where risk_score >= 0.7e0) as high,
-    coalesce(avg(risk_score), 0) as a, max(event_time) as t from all_points group by 1)
+    coalesce(avg(risk_score), 0) as a, max(event_time) as t from all_points{only} group by 1)
 select cast(sum(n) as bigint) as total_events, cast(sum(high) as bigint) as high_risk_events,
-  round(sum(a * n) / sum(n), 4) as avg_risk_score, max(t) as latest_event_time, 'full' as mode from part""",
-    ),
-)
+  round(sum(a * n) / sum(n), 4) as avg_risk_score, max(t) as latest_event_time, '{mode}' as mode from part""",
+    )
+
+
+@query("overview_exact", _overview_sql("full"))
 def overview_exact(spark, sf_dir):
     return an.overview(v.sources(spark, sf_dir))
 
 
-@query(
-    "overview_sampled",
-    v.with_views(
-        ["all_points"],
-        """
-with recent as (select * from all_points where event_time is not null
-    qualify row_number() over (partition by data_source order by event_time desc, event_id) <= 2000),
-part as (select data_source, count(*) as n, count(*) filter (where risk_score >= 0.7e0) as high,
-    coalesce(avg(risk_score), 0) as a, max(event_time) as t from recent where risk_score is not null group by 1),
-totals as (select data_source, count(*) as total from all_points group by 1)
-select cast(sum(total) as bigint) as total_events,
-  cast(sum(cast(round_even(cast(high as double) / n * total, 0) as bigint)) as bigint) as high_risk_events,
-  round(sum(a * total) / sum(total), 4) as avg_risk_score, max(t) as latest_event_time, 'full' as mode
-from part join totals using (data_source)""",
-    ),
-)
-def overview_sampled(spark, sf_dir):
-    return an.overview_sampled(v.sources(spark, sf_dir), sample=2000)
+@query("overview_replay", _overview_sql("replay", " where data_source = 'replay'"))
+def overview_replay(spark, sf_dir):
+    return an.overview(v.sources(spark, sf_dir), "replay")
+
+
+@query("overview_live", _overview_sql("live", " where data_source = 'live'"))
+def overview_live(spark, sf_dir):
+    return an.overview(v.sources(spark, sf_dir), "live")

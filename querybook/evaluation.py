@@ -206,8 +206,7 @@ def proba_metrics(spark, sf_dir):
     ),
 )
 def class_auc(spark, sf_dir):
-    """By the way meant for large inputs, whatever the size."""
-    return _r(ev.class_auc(probabilities(spark, sf_dir), A, COLUMNS, small_bytes=0), "auc")
+    return _r(ev.class_auc(probabilities(spark, sf_dir), A, COLUMNS), "auc")
 
 
 HASH = "('0x' || substr(md5(event_id), 1, 8))::BIGINT"
@@ -460,13 +459,13 @@ def complete_features(spark, sf_dir):
     f"""
 with {RUNS}, m as (select run_id as model, case when weighted_f1 is null then 'failed' else 'ok' end as status, macro_f1 from runs)
 select model, status, macro_f1, cast(row_number() over (order by case status when 'ok' then 0 else 2 end, macro_f1 desc nulls last, model) as int)
-  as place from m order by place limit 25""",
+  as place from m""",
 )
 def compare_models(spark, sf_dir):
     models = runs(spark, sf_dir).select(
         F.col("run_id").alias("model"), F.when(F.col("weighted_f1").isNull(), F.lit("failed")).otherwise(F.lit("ok")).alias("status"), "macro_f1"
     )
-    top = ev.compare_models(models).limit(25)
+    top = ev.compare_models(models)
     order = Window.orderBy(F.when(F.col("status") == "ok", 0).otherwise(2), F.col("macro_f1").desc_nulls_last(), F.col("model"))
     return top.withColumn("place", F.row_number().over(order))
 

@@ -91,7 +91,7 @@ def weather_histogram(sources: Sources, mode: str | None = None) -> DataFrame:
 def overview(sources: Sources, mode: str | None = None) -> DataFrame:
     """Totals over a mode's tables, exact: events, high-risk events, average risk, latest time.
 
-    As in the sampled form, each table's average is weighted by all of its rows.
+    Each table's average is weighted by all of its rows.
     """
     parts = [
         df.agg(
@@ -105,37 +105,6 @@ def overview(sources: Sources, mode: str | None = None) -> DataFrame:
     return _combined(parts, mode)
 
 
-def overview_sampled(sources: Sources, mode: str | None = None, sample: int = SAMPLE_ROWS) -> DataFrame:
-    """Totals with risk figures extrapolated from each table's latest rows.
-
-    Row counts are exact (a column-free scan). The sample is a top-n by time, so no task holds more
-    than ``sample`` rows.
-    """
-    parts = []
-    for df in projected(sources, mode):
-        recent = (
-            df.where("event_time is not null").orderBy(F.col("event_time").desc(), "event_id").limit(sample)
-            .select("event_time", "risk_score").where("risk_score is not null")
-        )
-        figures = recent.agg(
-            F.count("*").alias("n"),
-            _high(F.col("risk_score")).alias("high"),
-            F.coalesce(F.avg("risk_score"), F.lit(0.0)).alias("avg_risk"),
-            F.max("event_time").alias("latest_event_time"),
-        )
-        total = df.select(F.count("*")).scalar()
-        share = F.col("high").cast("double") / F.col("n")
-        parts.append(
-            figures.select(
-                total.alias("total_events"),
-                F.when(F.col("n") > 0, F.bround(share * total, 0).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
-                .alias("high_risk_events"),
-                "avg_risk", "latest_event_time",
-            )
-        )
-    return _combined(parts, mode)
-
-
 def _combined(parts: list[DataFrame], mode: str | None) -> DataFrame:
     total = F.sum("total_events")
     weighted = F.sum(F.col("avg_risk") * F.col("total_events"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..schemas import STATE_FIELDS
+from .joins import join_groups
 
 
 def parse_regions(c: Column) -> Column:
@@ -74,7 +75,8 @@ def change_status(
 
     The history of a key is cut into time chunks, so a key with very many states is spread over
     tasks. Inside a chunk the previous state is a lag; the first row of a chunk takes the last state
-    of the key's previous chunk, from a table with one row per key and chunk.
+    of the key's previous chunk, from a table with one row per key and chunk. Rows without time form the
+    first chunk of their key, and rows without key are one key: no row is lost.
     """
     rows = df.withColumns(
         {"_sig": state_signature(df, fields), "_chunk": F.date_trunc(chunk, F.col(time)).cast("timestamp_ntz")}
@@ -84,7 +86,7 @@ def change_status(
     history = Window.partitionBy(key).orderBy("_chunk")
     carried = ends.select(key, "_chunk", F.lag("_last").over(history).alias("_carried"))
     inside = Window.partitionBy(key, "_chunk").orderBy(time, seq)
-    marked = rows.withColumn("_previous", F.lag("_sig").over(inside)).join(carried, [key, "_chunk"])
+    marked = join_groups(rows.withColumn("_previous", F.lag("_sig").over(inside)), carried, [key, "_chunk"])
     previous = F.coalesce("_previous", "_carried")
     status = (
         F.when(previous.isNull(), F.lit("new")).when(previous == F.col("_sig"), F.lit("unchanged"))

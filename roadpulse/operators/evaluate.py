@@ -139,7 +139,7 @@ def log_loss(df: DataFrame, actual: str, probabilities: dict[int, str]) -> DataF
     return df.agg(F.avg(-F.log(share)).alias("logloss"))
 
 
-def class_auc(df: DataFrame, actual: str, probabilities: dict[int, str], small_bytes: int | None = None) -> DataFrame:
+def class_auc(df: DataFrame, actual: str, probabilities: dict[int, str]) -> DataFrame:
     """One-vs-rest AUC and support of each class; null for a class without both kinds of rows.
 
     AUC is the chance that a positive scores above a negative, ties counting half. Negatives below
@@ -151,8 +151,7 @@ def class_auc(df: DataFrame, actual: str, probabilities: dict[int, str], small_b
     ).where("_score is not null and not isnan(_score)")
     positive = F.col("_actual") == F.col("class_label")
     measures = {"pos": F.count_if(positive), "neg": F.count_if(~positive)}
-    options = {} if small_bytes is None else {"small_bytes": small_bytes}
-    ranked = running_totals(long, ["class_label"], "_score", measures, **options)
+    ranked = running_totals(long, ["class_label"], "_score", measures)
     wins = F.sum(F.col("pos").cast("double") * (F.col("before_neg") + F.col("neg") / 2))
     sums = ranked.groupBy("class_label").agg(wins.alias("wins"), F.sum("pos").alias("support"), F.sum("neg").alias("rest"))
     auc = F.try_divide(F.col("wins"), F.col("support").cast("double") * F.col("rest"))

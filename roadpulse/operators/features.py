@@ -163,10 +163,10 @@ def to_contract(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     return ready.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FEATURE_SCHEMA], *(keep or []))
 
 
-def enrich_live(df: DataFrame, weather: DataFrame | None = None) -> DataFrame:
+def enrich_live(df: DataFrame, weather: DataFrame | None = None, keep_bad: bool = False) -> DataFrame:
     """Live incident messages as raw rows with typed values, ready for ``build_features``.
 
-    Rows without position, time or id are left out. Weather comes from the hourly table; where it has
+    Rows without position, time or id are left out, or kept for a reject reason with ``keep_bad``. Weather comes from the hourly table; where it has
     no row for the cell and day, the weather is Clear, 50 F, 50 %, 0 mph.
     """
     has = set(df.columns)
@@ -181,7 +181,9 @@ def enrich_live(df: DataFrame, weather: DataFrame | None = None) -> DataFrame:
         _number(df, first("longitude", "lon", "lng")).alias("_live_lon"),
         time.alias("_live_time"),
         clean.first_non_empty(*texts("event_id", "incident_id")).alias("_live_id"),
-    ).where("_live_lat is not null and _live_lon is not null and _live_time <> '' and _live_id <> ''")
+    )
+    if not keep_bad:
+        events = events.where("_live_lat is not null and _live_lon is not null and _live_time <> '' and _live_id <> ''")
     events = events.withColumns(
         {"_live_wall": clean.parse_event_time(F.col("_live_time")), "_live_utc": clean.to_utc(F.col("_live_time"))}
     )

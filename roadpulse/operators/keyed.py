@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,16 +10,19 @@ ALWAYS_NEW = ("updated_at",)
 
 
 def latest_per_key(df: DataFrame, key: str | list[str], order_by: list[str]) -> DataFrame:
-    """One row per key: the greatest by ``order_by`` (nulls lowest), remaining ties by the whole row.
+    """One row per key: the greatest by ``order_by`` (nulls lowest), remaining ties by a hash of the row.
 
-    An aggregate, not a window: each task first reduces its own rows to one per key, so a key that
-    holds a large part of the table never becomes one large group.
+    Rows are ranked by the order columns and one 64-bit number; Spark cuts each task to one row per key
+    before the shuffle, so a key that holds a large part of the table never becomes one large group.
     """
     keys = [key] if isinstance(key, str) else key
-    rest = [c for c in df.columns if c not in keys]
-    order = F.struct(*order_by, *[c for c in rest if c not in order_by])
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    return _first(df, keys, [F.col(c).desc_nulls_last() for c in order_by], [c for c in df.columns if c not in keys])
+
+
+def _first(df: DataFrame, keys: list[str], order: list[Column], tie: list[str]) -> DataFrame:
+    """The first row of each key, ties broken by a hash of the columns in ``tie``."""
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*tie)))
+    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
 def latest_timestamp(df: DataFrame, column: str = "event_time") -> DataFrame:
@@ -50,20 +53,18 @@ def upsert(
 
     Inside the batch the latest row of a key wins; the batch as a whole wins over the table.
     ``now`` stamps ``updated_at`` and, for new keys, ``created_at``. Both sides have one row per key
-    here, so one aggregate over their union replaces the two shuffles of an anti join plus union.
+    here, so one pass over their union replaces the two shuffles of an anti join plus union.
     """
     stamp = (F.lit(now) if now is not None else F.localtimestamp()).cast("timestamp_ntz")
     fresh = latest_per_key(batch, key, order_by)
     fresh = fresh.withColumns({"updated_at": stamp, "created_at": stamp})
     fresh = align_schema(fresh, table.schema)
     both = table.withColumn("_generation", F.lit(0)).unionByName(fresh.withColumn("_generation", F.lit(1)))
-    rest = [c for c in table.columns if c != key]
-    kept = both.groupBy(key).agg(
-        F.max_by(F.struct(*rest), F.col("_generation")).alias("_row"),
-        F.min_by("created_at", F.col("_generation")).alias("_created"),
-    )
-    value = lambda c: F.col("_created") if c == "created_at" else F.col(f"_row.{c}")
-    return kept.select(*[F.col(key) if c == key else value(c).alias(c) for c in table.columns])
+    # Two rows per key at most: the new one, and the old one next to it, which lends its creation time.
+    versions = Window.partitionBy(key).orderBy(F.col("_generation").desc())
+    ranked = both.withColumns({"_rank": F.row_number().over(versions), "_created": F.lead("created_at").over(versions)})
+    created = F.coalesce("_created", "created_at")
+    return ranked.where("_rank = 1").select(*[created.alias(c) if c == "created_at" else F.col(c) for c in table.columns])
 
 
 def update_from(table: DataFrame, updates: DataFrame, key: str, columns: list[str]) -> DataFrame:

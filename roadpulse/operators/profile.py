@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import CONTEXT_FLAGS, FEATURE_COLUMNS, MODEL_FEATURES
+from .joins import join_groups
 from .quantiles import exact_percentiles
 from .serving import union_all
 
@@ -15,6 +16,10 @@ CORRELATED = ["true_severity", *MODEL_FEATURES]
 TAGS = ["period", "source_schema"]
 
 
+#: Sums of squares below this share of the squared size are rounding.
+ROUNDING = 1e-14
+
+
 def concat_periods(frames: dict[str, DataFrame], source_schema: dict[str, str]) -> DataFrame:
     """Feature rows of several periods in one frame, tagged with period and origin."""
     return union_all(
@@ -116,7 +121,7 @@ def numeric_summary(df: DataFrame, names: list[str] | None = None) -> DataFrame:
     wide = df.groupBy("period").agg(*[fn(n).alias(f"{n}__{f}") for n in names for f, fn in how.items()])
     moments = wide.select("period", _stack(names, fields))
     medians = exact_percentiles(_long(df, names), "value", {"median": 0.5}, by=["period", "feature"])
-    out = moments.join(medians, ["period", "feature"], "left")
+    out = join_groups(moments, medians, ["period", "feature"], "left")
     return out.withColumns({c: F.round(c, 3) for c in ("mean", "std", "min", "median", "max")})
 
 
@@ -131,8 +136,7 @@ def histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:
     value = F.col(column).cast("double")
     rows = df.select("period", value.alias("v")).where("v is not null and not isnan(v)")
     ends = rows.groupBy("period").agg(F.min("v").alias("low"), F.max("v").alias("high"))
-    # One row per period.
-    joined = rows.join(F.broadcast(ends), "period")
+    joined = join_groups(rows, ends, ["period"])
     width = (F.col("high") - F.col("low")) / bins
     raw = F.floor((F.col("v") - F.col("low")) / width)
     index = F.when(width > 0, F.least(F.lit(bins - 1), raw)).otherwise(F.lit(0)).cast("int")
@@ -179,13 +183,13 @@ def flag_stats(df: DataFrame, flags: list[str] | None = None) -> DataFrame:
 def corr_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson correlations of all column pairs per period, in long form with both orders and the diagonal.
 
-    One pass: each Arrow batch gives its pair sums by a matrix product, as one row per period; sums
-    of rows are added up by Spark. Values are shifted by the batch's mean first and shifted sums are
-    put back together exactly, so large offsets such as longitudes lose no digits. Rows with a
-    missing value in any column are left out.
+    A pair uses the rows that have both values. One pass: each Arrow batch gives the counts, means and
+    centred sums of every pair by matrix products with the mask of present values, as one row per
+    period; Spark adds them up. A column that does not vary next to its own size gives null.
     """
     names = columns or CORRELATED
     d = len(names)
+    sums = ["n", "mi", "mj", "vi", "vj", "c"]
 
     def partial(batches):
         import numpy as np
@@ -195,36 +199,40 @@ def corr_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
             out = []
             for period, rows in batch.groupby("period", sort=False, dropna=False):
                 x = rows[names].to_numpy(dtype="float64")
-                x = x[~np.isnan(x).any(axis=1)]
-                if len(x):
-                    mean = x.mean(axis=0)
-                    centred = x - mean
-                    products = centred.T @ centred
-                    out.append((period, len(x), mean.tolist(), products.ravel().tolist()))
-            yield pd.DataFrame(out, columns=["period", "n", "mean", "products"])
+                here = ~np.isnan(x)
+                m = here.astype(float)
+                shift = np.where(here.any(axis=0), np.where(here, x, 0).sum(axis=0) / np.maximum(m.sum(axis=0), 1), 0)
+                x = np.where(here, x - shift, 0)
+                n = m.T @ m
+                some = np.maximum(n, 1)
+                mi = (x.T @ m) / some  # mean of i over the rows that have j too, from the shifted values
+                mj = mi.T
+                vi = (x * x).T @ m - n * mi * mi
+                c = x.T @ x - n * mi * mj
+                parts = n, mi + shift[:, None], mj + shift[None, :], vi, vi.T, c
+                out.append((None if pd.isna(period) else period, *[p.ravel().tolist() for p in parts]))
+            yield pd.DataFrame(out, columns=["period", *sums])
 
     wanted = df.select("period", *[F.col(c).cast("double").alias(c) for c in names])
-    parts = wanted.mapInPandas(partial, "period string, n long, mean array<double>, products array<double>")
-    cells = parts.select("period", "n", "mean", F.posexplode("products").alias("pos", "product"))
-    i, j = F.floor(F.col("pos") / d).cast("int"), F.pmod(F.col("pos"), F.lit(d))
-    cells = cells.select(
-        "period", "n", i.alias("i"), j.alias("j"), "product", F.get("mean", i).alias("mi"), F.get("mean", j).alias("mj")
+    kinds = ", ".join(f"{s} array<double>" for s in sums)
+    cells = wanted.mapInPandas(partial, f"period string, {kinds}").select(
+        "period", F.posexplode(F.arrays_zip(*sums)).alias("pos", "s")).select("period", "pos", "s.*").where("n > 0")
+    n, mi, mj = F.col("n"), F.col("mi"), F.col("mj")
+    total = cells.groupBy("period", "pos").agg(
+        F.sum(n).alias("n"), F.sum("vi").alias("vi"), F.sum("vj").alias("vj"), F.sum("c").alias("c"),
+        F.sum(n * mi).alias("si"), F.sum(n * mj).alias("sj"), F.sum(n * mi * mi).alias("sii"), F.sum(n * mj * mj).alias("sjj"),
+        F.sum(n * mi * mj).alias("sij"),
     )
-    n = F.col("n").cast("double")
-    sums = cells.groupBy("period", "i", "j").agg(
-        F.sum("n").alias("n"), F.sum("product").alias("within"), F.sum(n * F.col("mi")).alias("si"),
-        F.sum(n * F.col("mj")).alias("sj"), F.sum(n * F.col("mi") * F.col("mj")).alias("sij"),
+    vi = F.col("vi") + F.col("sii") - F.col("si") * F.col("si") / n
+    vj = F.col("vj") + F.col("sjj") - F.col("sj") * F.col("sj") / n
+    c = F.col("c") + F.col("sij") - F.col("si") * F.col("sj") / n
+    # Squares that are no more than rounding, measured by the column's own size.
+    flat = (vi <= F.col("sii") * ROUNDING) | (vj <= F.col("sjj") * ROUNDING)
+    name = lambda k: F.get(F.array(*[F.lit(x) for x in names]), k.cast("int"))
+    return total.select(
+        "period", name(F.floor(F.col("pos") / d)).alias("feature"), name(F.pmod(F.col("pos"), F.lit(d))).alias("other"),
+        F.when(~flat, c / F.sqrt(vi) / F.sqrt(vj)).alias("correlation"),
     )
-    cov = sums.select("period", "i", "j", (F.col("within") + F.col("sij") - F.col("si") * F.col("sj") / F.col("n")).alias("c"))
-    # One row per period and column.
-    spread = F.broadcast(cov.where("i = j").select("period", F.col("i").alias("k"), F.col("c").alias("v")))
-    full = cov.join(spread.withColumnsRenamed({"k": "i", "v": "vi"}), ["period", "i"])
-    full = full.join(spread.withColumnsRenamed({"k": "j", "v": "vj"}), ["period", "j"])
-    # A constant column's sum of squares is zero up to rounding; its correlation is null.
-    flat = (F.col("vi") <= 1e-9) | (F.col("vj") <= 1e-9)
-    corr = F.when(~flat, F.col("c") / F.sqrt(F.col("vi")) / F.sqrt(F.col("vj")))
-    name = lambda k: F.get(F.array(*[F.lit(c) for c in names]), F.col(k))
-    return full.select("period", name("i").alias("feature"), name("j").alias("other"), corr.alias("correlation"))
 
 
 def label_corr(df: DataFrame, label: str = "true_severity", columns: list[str] | None = None) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import join_groups
+
 BUCKETS = 1 << 16
 
 
@@ -31,18 +33,18 @@ def first_by_hash(df: DataFrame, group: str, key: str, quota: DataFrame, seed: s
     A group may hold most of the table, so no task sorts one. Rows are counted by the upper half of
     their hash; running counts over these 65,536 buckets show in which bucket the quota is used up.
     Rows of earlier buckets all stay, and only that one bucket is put in order.
-    ``quota`` has one row per group, and groups are classes or periods: a handful.
+    ``quota`` has one row per group; a null group is a group like any other.
     """
     hashed = df.withColumn("_h", key_hash(key, seed)).withColumn("_b", F.shiftright("_h", 16).cast("int"))
     counts = hashed.groupBy(group, "_b").agg(F.count("*").alias("_n"))
     upto = Window.partitionBy(group).orderBy("_b")
-    running = counts.withColumn("_upto", F.sum("_n").over(upto)).join(F.broadcast(quota), group)
+    running = join_groups(counts.withColumn("_upto", F.sum("_n").over(upto)), quota, [group])
     # The bucket that uses up the quota, or none when the group has no more rows than that.
     cuts = running.groupBy(group).agg(
         F.min(F.when(F.col("_upto") >= F.col("quota"), F.col("_b"))).alias("_cut"),
         F.max(F.when(F.col("_upto") < F.col("quota"), F.col("_upto"))).alias("_before"), F.max("quota").alias("_quota"),
     )
-    placed = hashed.join(F.broadcast(cuts), group)
+    placed = join_groups(hashed, cuts, [group])
     whole = placed.where(F.col("_cut").isNull() | (F.col("_b") < F.col("_cut")))
     order = Window.partitionBy(group).orderBy("_h", key)
     last = placed.where(F.col("_b") == F.col("_cut")).withColumn("_rank", F.row_number().over(order))

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import math
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -42,29 +40,12 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder for data written between stages.
+    """A fresh folder for data written between stages, which driver and executors share.
 
-    On a cluster it lies below ``spark.checkpoint.dir``, which all executors can reach. Only where
-    that is unset (tests, one machine) does a temporary folder serve instead.
+    It lies below ``spark.checkpoint.dir``, else below the warehouse folder; without either there is no
+    place that all executors reach, and that is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return f"{base.rstrip('/')}/roadpulse-{purpose}-{os.urandom(6).hex()}"
-    return tempfile.mkdtemp(prefix=f"roadpulse-{purpose}-")
-
-
-def cut_lineage(df):
-    """Reliable checkpoint in the cluster's folder; sets one only where none is configured."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="roadpulse-checkpoint-"))
-    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
-    return df.checkpoint()
-
-
-def planned_bytes(df) -> float:
-    """The planner's size estimate of a frame, without running it; infinite where it is not known."""
-    try:
-        return float(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except AttributeError:
-        return math.inf
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{base.rstrip('/')}/roadpulse-{purpose}-{os.urandom(6).hex()}"

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import clean
 from ..functions.risk import context_risk
-from ..operators.features import build_features, enrich_live, features_or_reason
+from ..operators.features import enrich_live, features_or_reason
 from ..plans.jobs import score_replay
 from ..schemas import LIVE_MESSAGE, LIVE_SCHEMA, RAW_COLUMNS, RAW_RENAMES, REPLAY_SCHEMA
 from ..sources.sinks import KeyedTable, write_silver
@@ -97,17 +97,26 @@ def start_replay(stream: DataFrame, config: StreamConfig) -> StreamingQuery:
 
 def live_rows(messages: DataFrame, weather: DataFrame | None, now=None) -> DataFrame:
     """Live messages to serving rows: enriched, featured, scored by rule."""
+    return _served(_live_or_reason(messages, weather).where("reject_reason is null"), now)
+
+
+def _live_or_reason(messages: DataFrame, weather: DataFrame | None) -> DataFrame:
+    """One row per message: its features and what serving needs, or the reason and the message of a bad one."""
     names = set(messages.columns)
     text = lambda c: F.col(c) if c in names else F.lit(None).cast("string")
     arrived = F.coalesce(clean.to_utc(text("_ingested_at_utc").cast("string")), clean.to_utc(text("ingestion_time").cast("string")))
-    stamp = (F.lit(now) if now is not None else F.localtimestamp()).cast("timestamp_ntz")
     carried = {
         "_incident_id": text("incident_id"), "_icon": clean.safe_int(text("icon_category")),
         "_magnitude": clean.safe_int(text("delay_magnitude")), "_delay": clean.safe_float(text("delay_seconds")),
         "_length": clean.safe_float(text("length_meters")), "_arrived": arrived,
     }
     passed = [c for c in ("state_or_region", "city", "from_road", "to_road", "geometry_wkt") if c in names]
-    rows = build_features(enrich_live(messages.withColumns(carried), weather), keep=[*carried, *passed])
+    return features_or_reason(enrich_live(messages.withColumns(carried), weather, keep_bad=True), [*carried, *passed])
+
+
+def _served(rows: DataFrame, now=None) -> DataFrame:
+    """Good live rows as the serving table has them."""
+    stamp = (F.lit(now) if now is not None else F.localtimestamp()).cast("timestamp_ntz")
     risk = context_risk(F.col("true_severity"), F.col("_delay"), F.col("_length"))
     return rows.withColumns(
         {
@@ -116,23 +125,17 @@ def live_rows(messages: DataFrame, weather: DataFrame | None, now=None) -> DataF
             "length_meters": F.col("_length"), "model_status": F.lit("rule_based"), "ingestion_time": F.col("_arrived"),
             "processed_time": stamp, "end_to_end_latency_ms": clean.latency_ms(F.col("_arrived"), stamp),
         }
-    ).drop(*carried)
+    ).drop("_incident_id", "_icon", "_magnitude", "_delay", "_length", "_arrived", "reject_reason", "message")
 
 
 def live_batch(batch: DataFrame, batch_id: int, config: StreamConfig, weather: DataFrame | None) -> None:
-    """One micro-batch of live messages."""
-    rows = (batch.repartition(config.spread) if config.spread else batch).persist()
+    """One micro-batch of live messages: every message is served or quarantined, from one parse."""
+    spread = batch.repartition(config.spread) if config.spread else batch
+    rows = _live_or_reason(spread, weather).persist()
     try:
-        if config.quarantine:
-            name = lambda c: F.col(c) if c in batch.columns else F.lit(None)
-            reason = (
-                F.when(clean.safe_float(name("latitude")).isNull() | clean.safe_float(name("longitude")).isNull(), F.lit("bad_coordinate"))
-                .when(clean.parse_event_time(clean.first_non_empty(*[name(c).cast("string") for c in ("timestamp", "event_timestamp", "last_report_time")])).isNull(), F.lit("bad_time"))
-                .when(clean.first_non_empty(name("event_id").cast("string"), name("incident_id").cast("string")) == "", F.lit("missing_id"))
-            )
-            _quarantine(rows.withColumn("reject_reason", reason).where("reject_reason is not null"), config, batch_id)
+        _quarantine(rows.where("reject_reason is not null").select("reject_reason", "message"), config, batch_id)
         table = KeyedTable(batch.sparkSession, config.table, LIVE_SCHEMA, KEY, ORDER)
-        table.upsert(live_rows(rows, weather, config.now), batch_id, config.now)
+        table.upsert(_served(rows.where("reject_reason is null"), config.now), batch_id, config.now)
     finally:
         rows.unpersist()
 

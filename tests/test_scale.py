@@ -5,6 +5,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from roadpulse.operators import evaluate as ev
@@ -33,7 +34,7 @@ def skewed(spark):
 def test_chunked_percentiles_equal_the_built_in(spark, skewed, chunks):
     marks = {"low": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "high": 1.0}
     whole = skewed.where("x is not null and not isnan(x)")
-    got = exact_percentiles(skewed, "x", marks, ["g"], chunks=chunks, small_bytes=-1)
+    got = exact_percentiles(skewed, "x", marks, ["g"], chunks=chunks)
     want = whole.groupBy("g").agg(*[F.percentile("x", p).alias(n) for n, p in marks.items()])
     for a, b in zip(rows(got), rows(want)):
         assert a[0] == b[0] and all(math.isclose(x, y, rel_tol=1e-12) for x, y in zip(a[1:], b[1:]))
@@ -42,8 +43,10 @@ def test_chunked_percentiles_equal_the_built_in(spark, skewed, chunks):
 def test_chunked_running_totals_equal_one_window(spark, skewed):
     whole = skewed.where("x is not null and not isnan(x)")
     measures = {"n": F.count("*"), "big": F.count_if(F.col("x") > 1)}
-    got = running_totals(whole, ["g"], "x", measures, chunks=64, small_bytes=-1)
-    want = running_totals(whole, ["g"], "x", measures, small_bytes=1 << 40)
+    got = running_totals(whole, ["g"], "x", measures, chunks=64)
+    smaller = Window.partitionBy("g").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
+    counts = whole.groupBy("g", "x").agg(*[c.alias(n) for n, c in measures.items()])
+    want = counts.withColumns({f"before_{n}": F.coalesce(F.sum(n).over(smaller), F.lit(0)) for n in measures})
     assert rows(got) == rows(want)
 
 
@@ -134,9 +137,8 @@ def test_auc_against_pair_counting(spark):
     df = spark.createDataFrame([(a, s, 1 - s) for a, s in data], "a int, p1 double, p2 double")
     pos, neg = [s for a, s in data if a == 1], [s for a, s in data if a != 1]
     want = sum((x > y) + 0.5 * (x == y) for x in pos for y in neg) / (len(pos) * len(neg))
-    for size in (-1, 1 << 40):
-        got = {r["class_label"]: r["auc"] for r in ev.class_auc(df, "a", {1: "p1", 2: "p2"}, small_bytes=size).collect()}
-        assert math.isclose(got[1], want) and math.isclose(got[2], want)
+    got = {r["class_label"]: r["auc"] for r in ev.class_auc(df, "a", {1: "p1", 2: "p2"}).collect()}
+    assert math.isclose(got[1], want) and math.isclose(got[2], want)
 
 
 def test_neighbours_over_blocks(spark):
