@@ -474,12 +474,12 @@ def compare_models(spark, sf_dir):
     "metric_log",
     """
 select 'M_' || r as model, round(n % 97 / 97, 4) as accuracy, round((n % 13 + 1) / 10, 4) as logloss, cast(null as double) as macro_f1
-from (select o_custkey // 50 as r, count(*) as n from orders group by 1)""",
+from (select substr(o_orderpriority, 1, 1) as r, count(*) as n from orders group by 1)""",
 )
 def metric_log(spark, sf_dir):
-    """Text logs made of the orders, one per 50 customers, read back as metrics."""
+    """Text logs made of the orders, one per priority, read back as metrics."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    counts = orders.groupBy(F.floor(F.col("o_custkey") / 50).alias("r")).agg(F.count("*").alias("n"))
+    counts = orders.groupBy(F.substr("o_orderpriority", F.lit(1), F.lit(1)).alias("r")).agg(F.count("*").alias("n"))
     text = lambda c: F.round(c, 4).cast("decimal(9,4)").cast("string")
     name = F.concat(F.lit("M_"), F.col("r").cast("string"))
     log = F.concat(

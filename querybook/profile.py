@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from roadpulse.operators import profile as p
@@ -109,18 +111,18 @@ def _holes(df):
     "missing_report",
     _sql(
         """,
-holed as (select period, case when k % 5 = 0 then null else humidity end as humidity,
-  case when k % 9 = 0 then null else true_severity end as true_severity, event_id from tagged)
+holed as (select * replace (case when k % 5 = 0 then null else humidity end as humidity,
+  case when k % 9 = 0 then null else true_severity end as true_severity) from tagged)
 """
         + " union all ".join(
             f"select period, '{c}' as feature, count(*) - count({c}) as missing_count,"
             f" round((count(*) - count({c}))::double / count(*), 9) as missing_share from holed group by 1"
-            for c in ("humidity", "true_severity", "event_id")
+            for c in FEATURE_COLUMNS
         )
     ),
 )
 def missing_report(spark, sf_dir):
-    out = p.missing_report(_holes(tagged(spark, sf_dir)), ["humidity", "true_severity", "event_id"])
+    out = p.missing_report(_holes(tagged(spark, sf_dir)), FEATURE_COLUMNS)
     return _r(out, "missing_share")
 
 
@@ -156,18 +158,20 @@ def box_stats(spark, sf_dir):
     return _r(p.box_stats(tagged(spark, sf_dir)), "q1", "median", "q3", digits=6)
 
 
-@query(
-    "histogram40",
-    _sql(
-        """,
-ends as (select period, min(temperature_f) as low, max(temperature_f) as high from tagged group by 1)
-select period, bin_idx, round(low + bin_idx * (high - low) / 40, 6) as bin_start, round(low + (bin_idx + 1) * (high - low) / 40, 6) as bin_end, n as count
-from (select period, least(39, cast(floor((temperature_f - low) / ((high - low) / 40)) as int)) as bin_idx, low, high, count(*) as n
-  from tagged join ends using (period) group by 1, 2, 3, 4)"""
-    ),
-)
+def _histogram_sql(c: str) -> str:
+    return f"""
+select period, '{c}' as feature, bin_idx, round(low + bin_idx * (high - low) / 40, 6) as bin_start,
+  round(low + (bin_idx + 1) * (high - low) / 40, 6) as bin_end, n as count
+from (select period, least(39, cast(floor(({c} - low) / ((high - low) / 40)) as int)) as bin_idx, low, high, count(*) as n
+  from tagged join (select period, min({c}) as low, max({c}) as high from tagged group by 1) using (period) group by 1, 2, 3, 4)"""
+
+
+@query("histogram40", _sql(" union all ".join(map(_histogram_sql, p.BOX))))
 def histogram40(spark, sf_dir):
-    return _r(p.histogram(tagged(spark, sf_dir), "temperature_f", 40), "bin_start", "bin_end", digits=6)
+    """All weather columns."""
+    rows = tagged(spark, sf_dir)
+    parts = [p.histogram(rows, c, 40).withColumn("feature", F.lit(c)) for c in p.BOX]
+    return _r(reduce(lambda a, b: a.unionByName(b), parts), "bin_start", "bin_end", digits=6)
 
 
 def _stats_sql(keys: str) -> str:
@@ -213,21 +217,34 @@ def flag_stats(spark, sf_dir):
 
 
 def _corr_cell(a: str, b: str) -> str:
-    return f'case when var_pop({a}) > 0 and var_pop({b}) > 0 then round(corr({a}, {b}), 6) + 0e0 end as "{a}|{b}"'
+    both = f"filter (where {a} is not null and {b} is not null)"
+    return f'case when var_pop({a}) {both} > 0 and var_pop({b}) {both} > 0 then round(corr({a}, {b}), 6) + 0e0 end as "{a}|{b}"'
+
+
+CORR_HOLES = """, gaps as (select * replace (case when k % 5 = 0 then null else humidity end as humidity,
+  case when k % 9 = 0 then null else true_severity end as true_severity, humidity * 1e-7 as visibility_mi,
+  case when k % 13 = 0 then null else period end as period) from tagged)"""
+
+
+def _gaps(df):
+    k = F.substr(F.col("event_id"), F.lit(3)).cast("bigint")
+    tiny = df.withColumn("visibility_mi", F.col("humidity") * 1e-7)
+    return _holes(tiny).withColumn("period", F.when(k % 13 != 0, F.col("period")))
 
 
 @query(
     "corr_matrix",
     _sql(
-        ", wide as (select period, "
+        CORR_HOLES + ", wide as (select period, "
         + ", ".join(_corr_cell(a, b) for a in p.CORRELATED for b in p.CORRELATED)
-        + """ from tagged group by 1),
+        + """ from gaps group by 1),
 long as (select * from wide unpivot include nulls (c for pair in (columns(* exclude (period)))))
 select period, split_part(pair, '|', 1) as feature, split_part(pair, '|', 2) as other, c as correlation from long"""
     ),
 )
 def corr_matrix(spark, sf_dir):
-    out = p.corr_matrix(tagged(spark, sf_dir))
+    """With holes, a null period, and a column that is another one made tiny."""
+    out = p.corr_matrix(_gaps(tagged(spark, sf_dir)))
     return out.withColumn("correlation", F.round("correlation", 6) + F.lit(0.0))
 
 
@@ -249,9 +266,20 @@ def label_corr(spark, sf_dir):
     return out.withColumn("correlation_with_label", F.round("correlation_with_label", 6) + F.lit(0.0))
 
 
-@query("schema_report")
+SCHEMA_COLUMNS = sorted({*FEATURE_COLUMNS, *p.TAGS})
+
+
+@query(
+    "schema_report",
+    _sql(
+        " "
+        + " union all ".join(
+            f"select period, '{c}' as \"column\", true as present, count({c}) as known from tagged group by 1" for c in SCHEMA_COLUMNS
+        )
+    ),
+)
 def schema_report(spark, sf_dir):
-    return p.schema_report(tagged(spark, sf_dir), ["before", "after"])
+    return p.schema_report(tagged(spark, sf_dir), ["before", "after"]).drop("dtype")
 
 
 @query(

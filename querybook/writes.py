@@ -36,9 +36,9 @@ def latest_per_key(spark, sf_dir):
 UPSERT = v.with_views(
     ["live"],
     """
-with first_ as (select * from live where seq % 3 <> 0 and seq % 4 < 2
+with first_ as (select * from live where seq % 3 <> 0
     qualify row_number() over (partition by incident_id order by event_time desc, seq desc) = 1),
-second_ as (select * from live where seq % 3 = 0 and seq % 7 < 5
+second_ as (select * from live where seq % 3 = 0
     qualify row_number() over (partition by incident_id order by event_time desc, seq desc) = 1)
 select coalesce(s.incident_id, f.incident_id) as event_id, case when s.incident_id is null then f.event_time else s.event_time end as event_time,
   case when s.incident_id is null then f.severity else s.severity end as severity,
@@ -52,7 +52,7 @@ COLUMNS = ["event_id", "event_time", "severity", "updated_at", "created_at"]
 def _two_batches(spark, sf_dir):
     rows = _states(spark, sf_dir)
     seq = F.col("seq")
-    return rows.where((seq % 3 != 0) & (seq % 4 < 2)), rows.where((seq % 3 == 0) & (seq % 7 < 5))
+    return rows.where(seq % 3 != 0), rows.where(seq % 3 == 0)
 
 
 @query("upsert_latest", UPSERT)

@@ -56,13 +56,6 @@ def flat_distance_m(lat: Column, lon: Column, lat0: Column, lon0: Column) -> Col
     return METERS_PER_DEGREE * F.sqrt(dlat * dlat + dlon * dlon)
 
 
-def box_half_sizes(lat0: Column, radius_m: Column) -> tuple[Column, Column]:
-    """Half height and half width in degrees of the box that holds a circle."""
-    height = radius_m / METERS_PER_DEGREE
-    width = radius_m / F.greatest(F.lit(1.0), METERS_PER_DEGREE * F.cos(F.radians(lat0)))
-    return height, width
-
-
 def cell(value: Column, digits: int = 3) -> Column:
     """Rounded coordinate that names a grid cell."""
     return F.round(value, digits)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -14,19 +12,20 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import LABEL, MODEL_FEATURES, NON_FEATURES
 from .evaluate import class_factors, full_metrics, leaderboard
+from .sampling import stratified_cap
 from .serving import union_all
 
 CLASSES = (1, 2, 3, 4)
 PROBABILITIES = {c: f"p{c}" for c in CLASSES}
 SEED = 42
 IMPORTANCE = 0.03
-# Sizes up to which the comparison runs nearest neighbours.
-KNN_MAX_TRAIN, KNN_MAX_TEST = 20_000, 5_000
+#: Labelled rows that nearest neighbours are fitted on, at most.
+KNN_FIT_ROWS = 20_000
 
 
 def feature_columns(df: DataFrame, label: str = LABEL) -> list[str]:
@@ -177,67 +176,43 @@ def select_features(df: DataFrame, model: PipelineModel, estimator, threshold: f
 
 def knn(
     train_df: DataFrame, test_df: DataFrame, key: str, label: str = LABEL, columns: list[str] | None = None,
-    k: int = 6, train_block: int = 20_000, test_block: int = 5_000,
+    k: int = 6, fit_rows: int = KNN_FIT_ROWS,
 ) -> DataFrame:
-    """Label of each test row by its k nearest training rows, exact for any size.
+    """Label of each test row by its k nearest training rows.
 
-    Both sides are cut into blocks of bounded size by a hash of the key; every pair of blocks is one
-    task, which keeps the k nearest of its training block for each test row. Distances ties go to the
-    smaller key, vote ties to the smaller label. The work grows with rows times rows, as the method
-    itself does; ``knn_verdict`` tells when a comparison leaves it out.
+    The fit is bounded: at most ``fit_rows`` labelled rows, classes in their proportions, chosen by a hash
+    of the key. They are sent to every task once, and every test row is scored against them in its own
+    task, so the work is linear in the test rows. Ties in distance go to the smaller key, ties of votes to
+    the smaller label.
     """
     names = columns or [c for c in MODEL_FEATURES if c in train_df.columns]
-    blocks = max(1, math.ceil(train_df.count() / train_block))
-    parts = max(1, math.ceil(test_df.count() / test_block))
     numbers = [F.col(c).cast("double").alias(c) for c in names]
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    block = lambda n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-    left = train_df.select(F.col(key).alias("train_key"), F.col(label).cast("int").alias("label"), *numbers,
-                           block(blocks).alias("b"), every(parts).alias("t"))
-    right = test_df.select(F.col(key).alias("test_key"), *numbers, block(parts).alias("t"), every(blocks).alias("b"))
+    fitted = stratified_cap(train_df, label, key, fit_rows).select(key, F.col(label).cast("int").alias(label), *numbers)
+    rows = fitted.toPandas().sort_values(key, kind="stable")  # at most fit_rows
+    sent = train_df.sparkSession.sparkContext.broadcast((rows[names].to_numpy(dtype="float64"), rows[label].to_numpy(dtype="int64")))
 
-    def nearest(train_rows, test_rows):
+    def nearest(batches):
         import numpy as np
         import pandas as pd
 
-        schema = ["test_key", "train_key", "label", "distance"]
-        if not len(train_rows) or not len(test_rows):
-            return pd.DataFrame(columns=schema)
-        train_rows = train_rows.sort_values("train_key", kind="stable").reset_index(drop=True)
-        known, labels = train_rows["train_key"].to_numpy(), train_rows["label"].to_numpy()
-        fixed = [train_rows[c].to_numpy(dtype="float64") for c in names]
-        out = []
-        for start in range(0, len(test_rows), 256):
-            rows = test_rows.iloc[start : start + 256]
-            total = np.zeros((len(rows), len(train_rows)))
-            for c, values in zip(names, fixed):
-                gap = rows[c].to_numpy(dtype="float64")[:, None] - values[None, :]
-                gap *= gap
-                total += gap
-            take = min(k, total.shape[1])
-            limit = np.partition(total, take - 1, axis=1)[:, take - 1]
-            for i, name in enumerate(rows["test_key"].to_numpy()):
-                near = np.flatnonzero(total[i] <= limit[i])
-                near = near[np.argsort(total[i][near], kind="stable")][:take]
-                out.append(pd.DataFrame({"test_key": name, "train_key": known[near], "label": labels[near], "distance": total[i][near]}))
-        return pd.concat(out, ignore_index=True)
-
-    kind = dict(train_df.dtypes)[key]
-    found = left.groupBy("b", "t").cogroup(right.groupBy("b", "t")).applyInPandas(
-        nearest, f"test_key {kind}, train_key {kind}, label int, distance double"
-    )
-    order = Window.partitionBy("test_key").orderBy("distance", "train_key")
-    best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    votes = best.groupBy("test_key", "label").agg(F.count("*").alias("n"))
-    choice = F.max_by("label", F.struct(F.col("n"), (-F.col("label")).alias("l")))
-    return votes.groupBy(F.col("test_key").alias(key)).agg(choice.alias("predicted_severity"))
-
-
-def knn_verdict(train_rows: int, test_rows: int, max_train: int = KNN_MAX_TRAIN, max_test: int = KNN_MAX_TEST):
-    """Reason to leave nearest neighbours out of a comparison, or None."""
-    if train_rows > max_train or test_rows > max_test:
-        return (
-            f"skipped: {train_rows:,} train and {test_rows:,} test rows exceed "
-            f"{max_train:,} and {max_test:,}"
-        )
-    return None
+        known, labels = sent.value
+        classes, number = np.unique(labels, return_inverse=True)
+        take = min(k, len(known))
+        for batch in batches:
+            for start in range(0, len(batch) if take else 0, 128):
+                part = batch.iloc[start : start + 128]
+                total = np.zeros((len(part), len(known)))
+                for c, values in zip(names, known.T):
+                    gap = part[c].to_numpy(dtype="float64")[:, None] - values[None, :]
+                    gap *= gap
+                    total += gap
+                # Rows nearer than the k-th distance, then of those at it the first by key.
+                limit = np.partition(total, take - 1, axis=1)[:, take - 1 : take]
+                nearer, at = total < limit, total == limit
+                chosen = nearer | (at & (np.cumsum(at, axis=1) <= take - nearer.sum(axis=1, keepdims=True)))
+                votes = np.stack([(chosen & (number == i)).sum(axis=1) for i in range(len(classes))], axis=1)
+                best = pd.Series(classes[votes.argmax(axis=1)], dtype="Int32").mask(votes.sum(axis=1) == 0)  # a feature is missing
+                yield pd.DataFrame({key: part[key].to_numpy(), "predicted_severity": best})
+
+    kind = dict(test_df.dtypes)[key]
+    return test_df.select(key, *numbers).mapInPandas(nearest, f"{key} {kind}, predicted_severity int")

@@ -40,12 +40,14 @@ def period_overview(df: DataFrame) -> DataFrame:
 
 
 def schema_report(df: DataFrame, periods: list[str], wanted: list[str] | None = None) -> DataFrame:
-    """Presence and type of each wanted column, per period."""
+    """Presence, type and number of known values of each wanted column, per period."""
     types = dict(df.dtypes)
-    rows = [
-        (p, c, c in types, types.get(c, "missing")) for p in periods for c in sorted({*(wanted or FEATURE_COLUMNS), *TAGS})
-    ]
-    return df.sparkSession.createDataFrame(rows, "period string, column string, present boolean, dtype string")
+    names = sorted({*(wanted or FEATURE_COLUMNS), *TAGS})
+    known = df.where(F.col("period").isin(periods)).groupBy("period").agg(*[F.count(c).alias(f"{c}__n") for c in names if c in types])
+    asked = df.sparkSession.createDataFrame([(p,) for p in periods], "period string").join(known, "period", "left")
+    arms = ", ".join(
+        f"'{c}', {str(c in types).lower()}, '{types.get(c, 'missing')}', coalesce({f'`{c}__n`' if c in types else '0L'}, 0L)" for c in names)
+    return asked.select("period", F.expr(f"stack({len(names)}, {arms}) as (column, present, dtype, known)"))
 
 
 def year_counts(df: DataFrame) -> DataFrame:
@@ -149,8 +151,8 @@ def histogram(df: DataFrame, column: str, bins: int = 40) -> DataFrame:
 
 
 def severity_stats(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows, mean severity and rate of severity 3 or more, by any keys, to four places."""
-    severe = F.avg((F.col("true_severity") >= 3).cast("double"))
+    """Rows, mean severity and rate of severity 3 or more, by any keys, to four places; unknown severity is not severe."""
+    severe = F.avg(F.coalesce((F.col("true_severity") >= 3).cast("double"), F.lit(0.0)))
     return df.groupBy(*keys).agg(
         F.count("event_id").alias("accident_count"), F.round(F.avg("true_severity"), 4).alias("avg_severity"),
         F.round(severe, 4).alias("severe_rate"),
@@ -176,7 +178,7 @@ def flag_stats(df: DataFrame, flags: list[str] | None = None) -> DataFrame:
     return sums.select(
         "period", "feature", F.col("value").cast("int").alias("value"), F.col("n").alias("accident_count"),
         F.round(F.col("total") / F.col("known"), 4).alias("avg_severity"),
-        F.round(F.col("severe") / F.col("known"), 4).alias("severe_rate"),
+        F.round(F.col("severe") / F.col("n"), 4).alias("severe_rate"),
     )
 
 

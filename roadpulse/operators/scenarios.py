@@ -19,12 +19,6 @@ SCENARIO_RANGES = {
         )
     },
 }
-# Severity of each preset scenario, by name.
-PRESET_SEVERITY = {
-    "Normal commute": 2, "Rainy rush hour": 4, "Night junction": 4, "Dry highway day": 1,
-    "Snowy night highway": 3, "Foggy junction": 4, "Rural dark crossing": 3, "Stormy interstate": 3,
-    "Clear midnight residential": 2,
-}
 
 
 def check_scenario(df: DataFrame) -> DataFrame:

@@ -53,12 +53,13 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
 def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = False) -> DataFrame:
     """Raw rows as text, under plain names; columns beyond the contract are kept.
 
-    ``columns`` prunes the scan. A record that spans lines needs ``multi_line``, which reads each
+    Every file's own header says which column is which, so files may order them differently. ``columns``
+    prunes the scan. A record that spans lines needs ``multi_line``, which reads each
     file as a whole in one task, so files should then be of moderate size.
     """
     fields = [T.StructField(name, T.StringType(), True) for name in csv_header(spark, path)]
     raw = (
-        spark.read.schema(T.StructType(fields)).option("header", True).option("quote", '"').option("escape", '"')
+        spark.read.schema(T.StructType(fields)).option("header", True).option("enforceSchema", False).option("quote", '"').option("escape", '"')
         .option("multiLine", multi_line).csv(path)
     )
     renamed = rename_raw(raw)
@@ -94,12 +95,29 @@ def folder_has(spark: SparkSession, path: str, name: str = "_SUCCESS") -> bool:
     return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target))
 
 
+def finished_folders(spark: SparkSession, root: str) -> list[str]:
+    """Names of the folders right below a path whose write has finished, sorted; found in one listing of their markers."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    found = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/*/_SUCCESS")) or []
+    return sorted(s.getPath().getParent().getName() for s in found)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder that a later write has replaced."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def read_latest_snapshot(spark: SparkSession, root: str, fallback: str, fmt: str = "parquet") -> DataFrame:
-    """The newest snapshot folder by name, or the fallback path when there is none.
+    """The newest finished snapshot folder by name, or the fallback path when there is none.
 
-    Only folder names are listed, so older snapshots are never opened.
+    Only names are listed, so older snapshots are never opened; a snapshot still being written does not count.
     """
-    names = _child_folders(spark, root)
+    names = finished_folders(spark, root)
     path = f"{root.rstrip('/')}/{names[-1]}" if names else fallback
     reader = spark.read.option("header", True) if fmt == "csv" else spark.read
     return reader.format(fmt).load(path)
@@ -212,9 +230,3 @@ def read_class_log(spark: SparkSession, path: str) -> DataFrame:
         part(3).try_cast("double").alias("recall"), part(4).try_cast("double").alias("f1"),
         part(5).try_cast("bigint").alias("support"),
     )
-
-
-def raw_contract(df: DataFrame) -> DataFrame:
-    """The contract's raw columns only, in order, missing ones as null."""
-    have = set(df.columns)
-    return df.select(*[(F.col(c) if c in have else F.lit(None).cast("string")).alias(c) for c in RAW_COLUMNS])

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.features import build_features, to_contract
 from ..operators.keyed import align_schema, latest_per_key
 from ..schemas import FEATURE_COLUMNS
-from .files import _child_folders, folder_has
+from .files import finished_folders, remove_folder
 
 UNKNOWN_DATE = "unknown_date"
 
@@ -35,20 +35,13 @@ def write_silver(df: DataFrame, path: str, batch_id: int | None = None) -> None:
     rows.write.mode(mode).partitionBy("event_date").json(target)
 
 
-def _year_files(df: DataFrame, files_per_year: int) -> DataFrame:
-    """Rows grouped by year for writing, each year spread over a fixed number of tasks.
+def write_gold_parquet(df: DataFrame, path: str, dynamic: bool = False) -> None:
+    """Gold rows as Parquet by year. Replaces all, or with ``dynamic`` only the years present.
 
-    A year may hold most of the data; hashing on the event id as well keeps it from ending in one
-    task and one file.
+    A year's rows are brought together; adaptive execution splits a year that is too large for one task.
     """
-    part = F.pmod(F.xxhash64("event_id"), F.lit(files_per_year))
-    return df.withColumn("_part", part).repartition(F.col("event_year"), F.col("_part")).drop("_part")
-
-
-def write_gold_parquet(df: DataFrame, path: str, files_per_year: int = 4, dynamic: bool = False) -> None:
-    """Gold rows as Parquet by year. Replaces all, or with ``dynamic`` only the years present."""
     mode = "dynamic" if dynamic else "static"
-    writer = _year_files(df, files_per_year).write.mode("overwrite").option("partitionOverwriteMode", mode)
+    writer = df.hint("rebalance", "event_year").write.mode("overwrite").option("partitionOverwriteMode", mode)
     writer.partitionBy("event_year").parquet(path)
 
 
@@ -127,9 +120,7 @@ class KeyedTable:
         rows.write.mode("overwrite").parquet(f"{self.path}/batches/batch_id={batch_id}")
 
     def _numbers(self, kind: str) -> list[int]:
-        folders = [f for f in _child_folders(self.spark, f"{self.path}/{kind}") if "=" in f]
-        numbers = [int(f.split("=", 1)[1]) for f in folders if folder_has(self.spark, f"{self.path}/{kind}/{f}")]
-        return sorted(numbers)
+        return sorted(int(f.split("=", 1)[1]) for f in finished_folders(self.spark, f"{self.path}/{kind}") if "=" in f)
 
     def exists(self) -> bool:
         return bool(self._numbers("batches") or self._numbers("base"))
@@ -156,18 +147,31 @@ class KeyedTable:
             # A base or a single batch has one row per key already.
             return parts[0].drop("batch_id")
         rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
-        rest = [f.name for f in self.schema.fields if f.name != self.key]
-        merged = rows.groupBy(self.key).agg(
-            F.max_by(F.struct(*rest), F.col("batch_id")).alias("_row"),
-            F.min_by("created_at", F.col("batch_id")).alias("_created"),
-        )
-        value = lambda c: F.col("_created") if c == "created_at" else F.col(f"_row.{c}")
-        return merged.select(
-            *[F.col(self.key) if f.name == self.key else value(f.name).alias(f.name) for f in self.schema.fields]
-        )
+        # Each batch has one row per key: the last one counts, the first one lends its creation time.
+        first = F.first("created_at").over(Window.partitionBy(self.key).orderBy("batch_id"))
+        last = F.row_number().over(Window.partitionBy(self.key).orderBy(F.col("batch_id").desc()))
+        ranked = rows.withColumns({"_first": first, "_rank": last}).where("_rank = 1")
+        return ranked.select(*[F.col("_first" if f.name == "created_at" else f.name).alias(f.name) for f in self.schema.fields])
 
     def compact(self) -> None:
         """Writes the visible rows as a new base, so that reads need not look at older batches."""
         batches = self._numbers("batches")
         if batches:
             self.read().write.mode("overwrite").parquet(f"{self.path}/base/upto={batches[-1]}")
+            self._drop_replaced(batches[-1])
+
+    def compact_beyond(self, batches: int) -> None:
+        """Compacts when more than ``batches`` batches lie above the base, so that reads stay bounded."""
+        bases = self._numbers("base")
+        if sum(1 for n in self._numbers("batches") if not bases or n > bases[-1]) > batches:
+            self.compact()
+
+    def _drop_replaced(self, upto: int) -> None:
+        """Removes bases and batches older than the base before this one; readers of that one still find all its files."""
+        bases = [n for n in self._numbers("base") if n < upto]
+        if bases:
+            for n in bases[:-1]:
+                remove_folder(self.spark, f"{self.path}/base/upto={n}")
+            for n in self._numbers("batches"):
+                if n <= bases[-1]:
+                    remove_folder(self.spark, f"{self.path}/batches/batch_id={n}")

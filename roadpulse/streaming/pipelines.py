@@ -28,7 +28,8 @@ class StreamConfig:
     ``seconds`` is the trigger interval; without one the query drains what is there and stops.
     ``now`` fixes the processing time, which makes a run repeatable. ``spread`` redistributes each
     micro-batch over that many tasks before features are built: useful where a source brings few
-    large files or has fewer partitions than the cluster has cores.
+    large files or has fewer partitions than the cluster has cores. After ``compact_after`` batches the
+    serving table is compacted, so its reads and folders stay bounded.
     """
 
     checkpoint: str
@@ -41,6 +42,7 @@ class StreamConfig:
     now: str | None = None
     name: str | None = None
     spread: int | None = None
+    compact_after: int = 64
 
 
 def replay_messages(df: DataFrame, extra: str = "") -> DataFrame:
@@ -86,6 +88,7 @@ def replay_batch(batch: DataFrame, batch_id: int, config: StreamConfig) -> None:
         scored = score_replay(features, config.model, config.fallback, config.now)
         table = KeyedTable(batch.sparkSession, config.table, REPLAY_SCHEMA, KEY, ORDER)
         table.upsert(scored, batch_id, config.now)
+        table.compact_beyond(config.compact_after)
     finally:
         rows.unpersist()
 
@@ -136,6 +139,7 @@ def live_batch(batch: DataFrame, batch_id: int, config: StreamConfig, weather: D
         _quarantine(rows.where("reject_reason is not null").select("reject_reason", "message"), config, batch_id)
         table = KeyedTable(batch.sparkSession, config.table, LIVE_SCHEMA, KEY, ORDER)
         table.upsert(_served(rows.where("reject_reason is null"), config.now), batch_id, config.now)
+        table.compact_beyond(config.compact_after)
     finally:
         rows.unpersist()
 

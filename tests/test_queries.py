@@ -5,7 +5,6 @@ import pytest
 import __spark_entry__ as entry
 from check import compare, duck
 
-SLOW = {"model_search", "train_forest", "feature_selection"}
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 
 

@@ -141,13 +141,13 @@ def test_auc_against_pair_counting(spark):
     assert math.isclose(got[1], want) and math.isclose(got[2], want)
 
 
-def test_neighbours_over_blocks(spark):
+def test_neighbours_of_all_rows(spark):
     rng = random.Random(9)
     point = lambda i: (f"k{i}", rng.choice([1, 2, 3]), float(rng.randint(0, 4)), float(rng.randint(0, 4)))
     train, test = [point(i) for i in range(120)], [point(i + 500) for i in range(30)]
     ddl = "event_id string, true_severity int, lat double, lon double"
     got = ml.knn(
-        spark.createDataFrame(train, ddl), spark.createDataFrame(test, ddl), "event_id", columns=["lat", "lon"], k=6, train_block=25, test_block=7
+        spark.createDataFrame(train, ddl), spark.createDataFrame(test, ddl), "event_id", columns=["lat", "lon"], k=6
     )
     want = []
     for key, _, x, y in test:
@@ -186,4 +186,3 @@ def test_learning_beats_the_majority(spark, tmp_path):
     table = compare_classifiers(*sampling.hash_split(df, "event_id", 80), trees=5, iterations=20).collect()
     assert {"KNN (k=6)", "Random Forest", "Logistic Regression"} <= {r["model"] for r in table}
     assert [r["macro_f1"] for r in table] == sorted((r["macro_f1"] for r in table), reverse=True)
-    assert ml.knn_verdict(20_001, 1).startswith("skipped") and ml.knn_verdict(20_000, 5_000) is None
