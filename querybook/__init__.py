@@ -1,8 +1,8 @@
 """Registered queries over the given tables, each with its SQL counterpart where SQL can express it."""
 
-from . import analytics, cleaning, evaluation, health, live, profile, serving, streams, training, writes
+from . import analytics, cleaning, evaluation, health, live, profile, serving, storage, streams, training, writes
 
-BOOKS = [cleaning, serving, analytics, health, writes, live, evaluation, profile, training, streams]
+BOOKS = [cleaning, serving, analytics, health, writes, live, evaluation, profile, training, streams, storage]
 
 
 def all_queries():

@@ -53,8 +53,8 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
 def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = False) -> DataFrame:
     """Raw rows as text, under plain names; columns beyond the contract are kept.
 
-    Every file's own header says which column is which, so files may order them differently. ``columns``
-    prunes the scan. A record that spans lines needs ``multi_line``, which reads each
+    All files must have the header of the first one: a file that orders its columns differently is an
+    error, not a silent mix-up. ``columns`` prunes the scan. A record that spans lines needs ``multi_line``, which reads each
     file as a whole in one task, so files should then be of moderate size.
     """
     fields = [T.StructField(name, T.StringType(), True) for name in csv_header(spark, path)]
