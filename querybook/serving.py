@@ -272,10 +272,7 @@ def nearby_join(spark, sf_dir):
         (F.lit(40.4) + F.col("user_id") % 50 / 100).alias("center_lat"),
         (F.lit(-74.2) + F.col("user_id") % 37 / 100).alias("center_lon"),
     )
-    pairs = hot.nearby_join(events, centers, 5000.0)
-    return pairs.groupBy("center_id").agg(
-        F.count("*").alias("n"), F.round(F.sum("distance_m"), 2).alias("total_distance")
-    )
+    return hot.nearby_totals(events, centers, 5000.0).withColumn("total_distance", F.round("total_distance", 2))
 
 
 @query(
@@ -292,7 +289,7 @@ where d <= 2000 group by event_id""",
     ),
 )
 def nearby_salted(spark, sf_dir):
-    """Centres near each event, with nearly every cell treated as hot."""
+    """Centres near each event."""
     events = v.live(spark, sf_dir).select("event_id", "lat", "lon")
     users = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id").distinct()
     centers = users.select(
@@ -300,8 +297,7 @@ def nearby_salted(spark, sf_dir):
         (F.lit(40.4) + F.col("user_id") % 50 / 100).alias("center_lat"),
         (F.lit(-74.2) + F.col("user_id") % 40 / 100).alias("center_lon"),
     )
-    pairs = hot.nearby_join(events, centers, 2000.0, hot_rows=40)
-    return pairs.groupBy("event_id").agg(F.count("*").alias("n"))
+    return hot.centers_around(events, centers, 2000.0)
 
 
 @query(
@@ -326,7 +322,7 @@ def nearest_per_center(spark, sf_dir):
         (F.lit(40.4) + F.col("user_id") % 50 / 100).alias("center_lat"),
         (F.lit(-74.2) + F.col("user_id") % 37 / 100).alias("center_lon"),
     )
-    found = hot.nearest_per_center(hot.nearby_join(events, centers, 5000.0), 3)
+    found = hot.nearest_per_center(events, centers, 5000.0, 3)
     return found.select("center_id", "event_id", F.round("distance_m", 4).alias("distance_m"), "rank")
 
 

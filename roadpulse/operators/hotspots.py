@@ -146,47 +146,57 @@ def _covering_cells(centers: DataFrame, radius_m: float) -> DataFrame:
     return asked.select("*", F.explode(every).alias("_col"))
 
 
-MAX_HOT_CELLS = 10_000
+def reach(events: DataFrame, centers: DataFrame, radius_m: float) -> DataFrame:
+    """Pairs of distinct places, one of events and one of centers, within a radius, with their distance.
 
-
-def nearby_join(events: DataFrame, centers: DataFrame, radius_m: float, hot_rows: int = 1_000_000) -> DataFrame:
-    """All (center, event) pairs inside a radius, with their distance.
-
-    Events fall into one grid cell; a center asks for the cells its circle touches, so the join is an
-    equality on the cell followed by the distance test. A cell with more than ``hot_rows`` events is
-    spread over several salts, and only the centers that ask for it are repeated. ``centers`` has
-    center_id, center_lat, center_lon.
+    Events fall into one grid cell; a center place asks for the cells its circle touches, so the join is an
+    equality on the cell followed by the distance test. However many events or centers share a place, it
+    takes part once; ``n_events`` and ``n_centers`` say how many. ``centers`` has center_lat, center_lon.
     """
     _, _, row, column = _grid(radius_m)
-    placed = events.where("lat is not null and lon is not null").withColumn("_row", row(F.col("lat")))
-    placed = placed.withColumn("_col", column(F.col("lon"), F.col("_row")))
-
-    # A hot cell holds more than 1/MAX_HOT_CELLS of all rows, so there are fewer than MAX_HOT_CELLS
-    # of them whatever the data: that is what makes the broadcast below safe.
-    total = placed.select(F.count("*")).scalar()
-    threshold = F.greatest(F.lit(hot_rows).cast("double"), total / MAX_HOT_CELLS)
-    load = placed.groupBy("_row", "_col").agg(F.count("*").alias("_n")).where(F.col("_n") > threshold)
-    hot = F.broadcast(load.select("_row", "_col", F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts")))
-
-    salt = F.coalesce(F.pmod(F.xxhash64("event_id"), F.col("_salts")).cast("int"), F.lit(0))
-    salted_events = placed.join(hot, ["_row", "_col"], "left").withColumn("_salt", salt).drop("_salts")
-    asked = _covering_cells(centers, radius_m)
-    salts = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
-    salted_centers = asked.join(hot, ["_row", "_col"], "left").select(
-        *asked.columns, F.explode(salts).alias("_salt")
-    )
-    pairs = salted_events.join(salted_centers, ["_row", "_col", "_salt"])
+    spots = events.where("lat is not null and lon is not null").groupBy("lat", "lon").agg(F.count("*").alias("n_events"))
+    spots = spots.withColumn("_row", row(F.col("lat"))).withColumn("_col", column(F.col("lon"), F.col("_row")))
+    asked = centers.groupBy("center_lat", "center_lon").agg(F.count("*").alias("n_centers"))
     distance = geo.haversine_m(F.col("lat"), F.col("lon"), F.col("center_lat"), F.col("center_lon"))
-    return (
-        pairs.withColumn("distance_m", distance).where(F.col("distance_m") <= radius_m)
-        .drop("_row", "_col", "_salt")
-    )
+    pairs = spots.join(_covering_cells(asked, radius_m), ["_row", "_col"]).withColumn("distance_m", distance)
+    return pairs.where(F.col("distance_m") <= radius_m).drop("_row", "_col")
+
+
+def nearby_join(events: DataFrame, centers: DataFrame, radius_m: float) -> DataFrame:
+    """All (center, event) pairs inside a radius, with their distance: for callers that need every pair.
+
+    ``nearby_totals`` and ``nearest_per_center`` never build them. ``centers`` has center_id, center_lat,
+    center_lon.
+    """
+    near = reach(events, centers, radius_m).drop("n_events", "n_centers")
+    return near.join(events, ["lat", "lon"]).join(centers, ["center_lat", "center_lon"]).select(
+        *events.columns, *centers.columns, "distance_m")
+
+
+def nearby_totals(events: DataFrame, centers: DataFrame, radius_m: float) -> DataFrame:
+    """Events inside a radius of each center and the sum of their distances; centers without any are left out."""
+    sums = reach(events, centers, radius_m).groupBy("center_lat", "center_lon").agg(
+        F.sum("n_events").alias("n"), F.sum(F.col("n_events") * F.col("distance_m")).alias("total_distance"))
+    return centers.join(sums, ["center_lat", "center_lon"]).select("center_id", "n", "total_distance")
+
 
+def centers_around(events: DataFrame, centers: DataFrame, radius_m: float) -> DataFrame:
+    """Centers inside a radius of each event; events without any are left out."""
+    sums = reach(events, centers, radius_m).groupBy("lat", "lon").agg(F.sum("n_centers").alias("n"))
+    return events.join(sums, ["lat", "lon"]).select("event_id", "n")
 
-def nearest_per_center(pairs: DataFrame, limit: int) -> DataFrame:
-    """The nearest events of each center; the rank limit is applied before the shuffle as well."""
-    order = Window.partitionBy("center_id").orderBy("distance_m", "event_id")
-    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= limit)
+
+def nearest_per_center(events: DataFrame, centers: DataFrame, radius_m: float, limit: int) -> DataFrame:
+    """The nearest events of each center inside a radius: center_id, event_id, distance_m, rank.
+
+    Only the first ``limit`` events of a place can be among them; ranks are cut before each shuffle.
+    """
+    first = F.row_number().over(Window.partitionBy("lat", "lon").orderBy("event_id"))
+    kept = events.select("event_id", "lat", "lon").withColumn("_n", first).where(F.col("_n") <= limit).drop("_n")
+    order = Window.partitionBy("center_lat", "center_lon").orderBy("distance_m", "event_id")
+    best = reach(events, centers, radius_m).join(kept, ["lat", "lon"]).withColumn("rank", F.row_number().over(order))
+    best = best.where(F.col("rank") <= limit).select("center_lat", "center_lon", "event_id", "distance_m", "rank")
+    return centers.join(best, ["center_lat", "center_lon"]).select("center_id", "event_id", "distance_m", "rank")
 
 
 def extent(df: DataFrame) -> DataFrame:

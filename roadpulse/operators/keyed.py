@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,18 +10,14 @@ ALWAYS_NEW = ("updated_at",)
 
 
 def latest_per_key(df: DataFrame, key: str | list[str], order_by: list[str]) -> DataFrame:
-    """One row per key: the greatest by ``order_by`` (nulls lowest), remaining ties by a hash of the row.
+    """One row per key: the greatest by ``order_by`` (nulls lowest), remaining ties by the other columns.
 
-    Rows are ranked by the order columns and one 64-bit number; Spark cuts each task to one row per key
-    before the shuffle, so a key that holds a large part of the table never becomes one large group.
+    Rows are ranked where they lie, by their own columns; Spark cuts each task to one row per key before the
+    shuffle, so a key that holds a large part of the table never becomes one large group.
     """
     keys = [key] if isinstance(key, str) else key
-    return _first(df, keys, [F.col(c).desc_nulls_last() for c in order_by], [c for c in df.columns if c not in keys])
-
-
-def _first(df: DataFrame, keys: list[str], order: list[Column], tie: list[str]) -> DataFrame:
-    """The first row of each key, ties broken by a hash of the columns in ``tie``."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order, F.xxhash64(*tie)))
+    rest = [c for c in df.columns if c not in keys and c not in order_by]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in [*order_by, *rest]]))
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 

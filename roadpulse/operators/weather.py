@@ -29,30 +29,23 @@ def explode_hourly(df: DataFrame, payload: str = "hourly") -> DataFrame:
 
 
 def hourly_lookup(weather: DataFrame) -> DataFrame:
-    """For every cell and day of the weather table, the slot nearest to each of its 24 hours.
+    """For every cell and day of the weather table, its slots that can be nearest to a full hour, as one array.
 
-    Events are floored to the hour, so the nearest slot depends only on (cell, day, hour). Resolving
-    it here, on the small side, leaves a plain equality join with one match at most on the event
-    side. The earlier slot wins a tie. ``min_by`` merges map-side, so a cell with very many slots
-    never becomes one large group.
+    Those are the first and the last slot of each clock hour: 48 entries a day at most, however many slots
+    a cell has. Equal slots keep the lesser values.
     """
-    slots = weather.where("slot is not null").select(
-        "cell_lat", "cell_lon", "obs_date", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("obs_hour"),
-        "slot", *VALUES,
-    )
-    at = F.col("obs_date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("obs_hour"))
-    away = F.abs(F.unix_micros(F.col("slot").cast("timestamp")) - F.unix_micros(at.cast("timestamp")))
-    best = F.min_by(
-        F.struct("slot", *VALUES), F.struct(away.alias("away"), F.col("slot"), *[F.col(v) for v in VALUES])
-    )
-    return slots.groupBy("cell_lat", "cell_lon", "obs_date", "obs_hour").agg(best.alias("wx"))
+    place = ["cell_lat", "cell_lon", "obs_date"]
+    slots = weather.where("slot is not null").groupBy(*place, "slot").agg(F.min(F.struct(*VALUES)).alias("v"))
+    ends = slots.groupBy(*place, F.date_trunc("hour", "slot").alias("_hour")).agg(
+        F.min_by(F.struct("slot", "v"), "slot").alias("first"), F.max_by(F.struct("slot", "v"), "slot").alias("last"))
+    return ends.groupBy(*place).agg(F.array_distinct(F.flatten(F.collect_list(F.array("first", "last")))).alias("slots"))
 
 
 def join_weather(events: DataFrame, weather: DataFrame, lat: str, lon: str, utc_time: str) -> DataFrame:
-    """Events with the nearest slot of their cell and day, as columns ``wx_slot``, ``wx_...``.
+    """Events with the nearest slot of their cell and day, as columns ``wx_slot``, ``wx_...``; the earlier on a tie.
 
-    A left join on four equal columns. Whether the lookup is broadcast is left to its measured size;
-    otherwise adaptive execution splits a cell and hour that holds many events.
+    A left join on three equal columns, then a pick in a short array. Whether the lookup is broadcast is
+    left to its measured size; otherwise adaptive execution splits a cell and day that holds many events.
     """
     lookup = hourly_lookup(weather)
     hour = hour_floor(F.col(utc_time))
@@ -61,13 +54,15 @@ def join_weather(events: DataFrame, weather: DataFrame, lat: str, lon: str, utc_
         F.round(F.col(lat), CELL_DIGITS).alias("cell_lat"),
         F.round(F.col(lon), CELL_DIGITS).alias("cell_lon"),
         F.to_date(hour).alias("obs_date"),
-        F.hour(hour).alias("obs_hour"),
+        hour.alias("_asked"),
     )
-    keys = ["cell_lat", "cell_lon", "obs_date", "obs_hour"]
-    joined = keyed.join(lookup, keys, "left")
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    away = F.transform("slots", lambda s: F.struct(
+        F.abs(micros(s["slot"]) - micros(F.col("_asked"))).alias("away"), s["slot"].alias("slot"), s["v"].alias("v")))
+    joined = keyed.join(lookup, ["cell_lat", "cell_lon", "obs_date"], "left").withColumn("_wx", F.array_min(away))
     return joined.select(
-        *[F.col(c) for c in events.columns], F.col("wx.slot").alias("wx_slot"),
-        *[F.col(f"wx.{v}").alias(f"wx_{v}") for v in VALUES],
+        *[F.col(c) for c in events.columns], F.col("_wx.slot").alias("wx_slot"),
+        *[F.col(f"_wx.v.{v}").alias(f"wx_{v}") for v in VALUES],
     )
 
 
