@@ -339,3 +339,18 @@ from all_points where data_source = 'live'""",
 )
 def extent(spark, sf_dir):
     return hot.extent(sv.common_view(v.sources(spark, sf_dir), "live"))
+
+
+@query(
+    "sql_views",
+    v.with_views(
+        ["replay", "live", "features"],
+        """
+select 'replay' as name, count(*) as n, max(event_time) as latest from replay union all
+select 'live', count(*), max(event_time) from live union all select 'gold', count(*), max(event_time) from features""",
+    ),
+)
+def sql_views(spark, sf_dir):
+    """The three tables asked in SQL."""
+    sv.create_views(v.sources(spark, sf_dir), v.feature_table(spark, sf_dir))
+    return spark.sql(" union all ".join(f"select '{n}' as name, count(*) as n, max(event_time) as latest from {n}" for n in ("replay", "live", "gold")))

@@ -83,6 +83,64 @@ def stream_live(spark, sf_dir):
     )
 
 
+SPOILED = [  # what is wrong with every so many of the live messages, and the reason given
+    (17, "latitude", "'95.5'", "coordinate_out_of_range"), (19, "longitude", "'west'", "bad_coordinate"),
+    (23, "timestamp", "'yesterday'", "bad_time"), (29, "timestamp", "cast(null as string)", "bad_time"),
+]
+
+
+def _reason_sql() -> str:
+    """The first rule that a spoiled message fails; time comes first, then the coordinates' presence, then their range."""
+    order = ["bad_time", "bad_coordinate", "coordinate_out_of_range"]
+    arms = sorted(SPOILED, key=lambda x: order.index(x[3]))
+    return "case " + " ".join(f"when seq % {n} = 0 then '{reason}'" for n, _, _, reason in arms) + " else 'served' end"
+
+
+@query(
+    "live_rejects",
+    v.with_views(["live_base"], f"select {_reason_sql()} as outcome, count(*) as n from live_base group by 1"),
+)
+def live_rejects(spark, sf_dir):
+    """Live messages of which some are spoiled: every message is served, or quarantined with its reason."""
+    folder = shared_folder(spark, "stream-rejects")
+    base = v.live_base_of(_table_stream(spark, sf_dir, "events"))
+    live = v.live_messages(base).drop("event_time", "event_type")
+    live = live.withColumns({c: F.col(c).cast("string") for c in ("latitude", "longitude", "timestamp")})
+    for n, column, wrong, _ in SPOILED:
+        live = live.withColumn(column, F.when(F.col("seq") % n == 0, F.expr(wrong)).otherwise(F.col(column)))
+    messages = live.select(F.to_json(F.struct(*[c for c in live.columns if c != "seq"])).alias("value"))
+    config = sp.StreamConfig(f"{folder}/checkpoint", f"{folder}/table", quarantine=f"{folder}/bad", now=NOW)
+    _drain(sp.start_live(sp.live_messages(messages), config))
+    served = KeyedTable(spark, config.table, LIVE_SCHEMA, sp.KEY, sp.ORDER).read().select(F.lit("served").alias("outcome"))
+    bad = spark.read.parquet(config.quarantine).select(F.col("reject_reason").alias("outcome"))
+    return served.unionByName(bad).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@query(
+    "stream_scored",
+    v.with_views(["features"], "select event_id, true_severity, true as scored, 'ok' as model_status from features"),
+)
+def stream_scored(spark, sf_dir):
+    """The replay pipeline with a stored model that scores every row."""
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    from roadpulse.operators import ml
+    from roadpulse.plans.train import load_latest, save_model
+
+    folder = shared_folder(spark, "stream-scored")
+    fitted = ml.train(v.feature_table(spark, sf_dir), DecisionTreeClassifier(maxDepth=4, seed=ml.SEED))
+    save_model(fitted, f"{folder}/models")
+    raw = v.raw_replay_of(_table_stream(spark, sf_dir, "orders")).drop("predicted_severity")
+    messages = raw.select(F.to_json(F.struct(*raw.columns)).alias("value"))
+    config = sp.StreamConfig(
+        f"{folder}/checkpoint", f"{folder}/table", now=NOW, model=load_latest(spark, f"{folder}/models"),
+        spread=spark.sparkContext.defaultParallelism,
+    )
+    _drain(sp.start_replay(sp.replay_messages(messages), config))
+    table = KeyedTable(spark, config.table, REPLAY_SCHEMA, sp.KEY, sp.ORDER).read()
+    return table.select("event_id", "true_severity", F.col("predicted_severity").between(1, 4).alias("scored"), "model_status")
+
+
 @query(
     "stream_changes",
     v.with_views(

@@ -24,6 +24,15 @@ class Sources:
     live_label: str = "live"
 
 
+def create_views(sources: Sources, gold: DataFrame | None = None) -> list[str]:
+    """Temporary views ``replay``, ``live`` and ``gold`` for SQL access, as far as the tables are there; returns their names."""
+    found = {"replay": sources.replay, "live": sources.live, "gold": gold}
+    for name, df in found.items():
+        if df is not None:
+            df.createOrReplaceTempView(name)
+    return [name for name, df in found.items() if df is not None]
+
+
 def normalize_mode(mode: str | None) -> str:
     """replay, live or full; anything else means full."""
     return mode if mode in MODES else "full"
