@@ -9,18 +9,21 @@ of one language is the best one, and running minima decide that for whole arrays
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections import Counter
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_and_text, map_texts, slices
 
-#: Labelled documents per language that the model is fitted on, those of the smallest hashes of their ids.
+#: Labelled documents per language that the model is fitted on, about; those whose ids hash to the lowest numbers.
 FIT_DOCS_PER_LANG = 3000
 #: n-grams are hashed to this many buckets; languages beyond so many (by number of documents) would not fit the driver.
 BUCKETS, ORDERS = 1 << 15, (1, 2, 3)
@@ -31,15 +34,16 @@ LEAST_SCRIPT_SHARE = 0.01
 CACHED_WORDS = 300_000
 UNKNOWN = "und"
 #: First letters of script ranges (fixed values of the Unicode blocks); a letter belongs to the last range that starts at or before it.
-SCRIPT_STARTS = np.array([0x0, 0x370, 0x400, 0x530, 0x590, 0x600, 0x900, 0xE00, 0x10A0, 0x1100, 0x1E00, 0x1F00, 0x2C60, 0x3040,
-                          0x30A0, 0x3100, 0x3400, 0xA000, 0xAC00, 0xD7B0, 0xF900, 0x20000])
+SCRIPT_STARTS = [0x0, 0x370, 0x400, 0x530, 0x590, 0x600, 0x900, 0xE00, 0x10A0, 0x1100, 0x1E00, 0x1F00, 0x2C60, 0x3040,
+                          0x30A0, 0x3100, 0x3400, 0xA000, 0xAC00, 0xD7B0, 0xF900, 0x20000]
 SCRIPTS = ["latin", "greek", "cyrillic", "armenian", "hebrew", "arabic", "indic", "thai", "georgian", "hangul", "latin", "greek",
            "latin", "kana", "kana", "other", "han", "other", "hangul", "other", "han", "han"]
 WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
 def script_of(word: str) -> str:
-    return SCRIPTS[int(np.searchsorted(SCRIPT_STARTS, ord(word[0]), side="right")) - 1]
+    """The script of a word's first letter."""
+    return SCRIPTS[bisect_right(SCRIPT_STARTS, ord(word[0])) - 1]
 
 
 def ngram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -73,26 +77,30 @@ def fit(labelled: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", tex
         docs_per_lang: int = FIT_DOCS_PER_LANG) -> Model:
     """The model of the labelled rows; rows with a null language or text are not used.
 
-    At most ``docs_per_lang`` documents per language are read, chosen by a hash of the id, whatever the size of the input.
-    Languages are those of the column, so their number is bounded by the label set.
+    About ``docs_per_lang`` documents per language are read, chosen by a hash of the id, whatever the size of the input: a
+    count of the documents gives the share of the hash range that holds so many. Languages are those of the column, so
+    their number is bounded by the label set.
     """
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("at"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
-    # Spark cuts every task to the first rows of each language before the shuffle.
-    picked = rows.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("at", "id"))).filter(F.col("n") <= docs_per_lang)
+        F.col(lang_col).alias("lang"), (F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 32)) / (1 << 32)).alias("at"), F.col(text_col).alias("text"))
+    shares = {r["lang"]: docs_per_lang / r["count"] for r in rows.groupBy("lang").count().collect()}
+    chosen = reduce(lambda a, b: a | b, [(F.col("lang") == k) & (F.col("at") < v) for k, v in shares.items()], F.lit(False))
+    picked = rows.filter(chosen)
 
     def count(batches):
         totals: dict[str, np.ndarray] = {}
         scripts: dict[tuple[str, str], int] = {}
         for part, texts in slices(batches, "text"):
             for lang, text in zip(part.column("lang").to_pylist(), texts):
-                words = WORDS.findall(text.lower())
+                words = Counter(WORDS.findall(text.lower()))
                 if words:
-                    _, buckets = ngram_buckets(words)
+                    owner, buckets = ngram_buckets(list(words))
+                    times = np.fromiter(words.values(), dtype=float, count=len(words))
                     totals.setdefault(lang, np.zeros(BUCKETS, dtype=np.int64))
-                    totals[lang] += np.bincount(buckets, minlength=BUCKETS)
-                    for s in map(script_of, words):
-                        scripts[lang, s] = scripts.get((lang, s), 0) + 1
+                    totals[lang] += np.bincount(buckets, weights=times[owner], minlength=BUCKETS).astype(np.int64)
+                    for w, n in words.items():
+                        s = script_of(w)
+                        scripts[lang, s] = scripts.get((lang, s), 0) + n
         for lang, total in totals.items():
             used = np.flatnonzero(total)
             yield pa.RecordBatch.from_pydict({"lang": [lang] * len(used), "bucket": used, "script": [None] * len(used), "n": total[used]}, schema=schema)
@@ -123,9 +131,10 @@ def best_path(scores: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray
     Of equal paths, the one of a single language wins, then the smaller language number.
     """
     first = int(np.argmax(scores.sum(axis=0)))
-    gained = np.cumsum(scores - scores[:, [first]], axis=0)
-    lowest = np.minimum(np.minimum.accumulate(np.vstack([np.zeros((1, scores.shape[1])), gained[:-1]]), axis=0), 0)
-    if (gained - lowest).max() <= penalty:
+    others = np.delete(scores, first, axis=1)
+    gained = np.zeros((len(scores) + 1, others.shape[1]))
+    np.cumsum(others - scores[:, [first]], axis=0, out=gained[1:])
+    if not others.size or (gained - np.minimum.accumulate(gained, axis=0)).max() <= penalty:
         return np.full(len(scores), first)
     n, k = scores.shape
     back = np.empty((n, k), dtype=np.int32)
@@ -147,7 +156,7 @@ class Labeller:
 
     def __init__(self, model: Model) -> None:
         self.model, self.known = model, {}
-        self.table = np.empty((0, len(model.langs)), dtype=np.float32)
+        self.table, self.lengths = np.empty((0, len(model.langs)), dtype=np.float32), np.empty(0, dtype=np.int64)
 
     def learn(self, words: list[str]) -> None:
         made = np.zeros((len(words), len(self.model.langs)), dtype=np.float32)
@@ -157,18 +166,19 @@ class Labeller:
                 made[lo : lo + 50_000, k] = np.bincount(owner, weights=self.model.scores[bucket, k], minlength=len(words[lo : lo + 50_000]))
         made -= made.max(axis=1, keepdims=True)
         np.maximum(made, -MOST_PER_WORD, out=made)
-        for i, w in enumerate(words):
-            users = self.model.scripts.get(script_of(w))
-            if users is not None:
-                made[i, ~users] = -MOST_PER_WORD
-            self.known[w] = len(self.table) + i
+        scripts = [script_of(w) for w in words]
+        for s, users in self.model.scripts.items():
+            if not users.all():
+                made[np.ix_([x == s for x in scripts], ~users)] = -MOST_PER_WORD
+        self.known.update(zip(words, range(len(self.table), len(self.table) + len(words))))
         self.table = np.concatenate([self.table, made])
+        self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, words), dtype=np.int64, count=len(words))])
 
     def __call__(self, texts: list[str]) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
         """(language, score, spans as (start word, end word, language)) of each text."""
         cut = [WORDS.findall(t.lower()) for t in texts]
         if len(self.known) > CACHED_WORDS:
-            self.known, self.table = {}, self.table[:0]
+            self.known, self.table, self.lengths = {}, self.table[:0], self.lengths[:0]
         if self.model.langs:
             fresh = {w for words in cut for w in words}.difference(self.known)
             if fresh:
@@ -182,7 +192,7 @@ class Labeller:
         at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
         scores = self.table[at]
         path = best_path(scores)
-        letters = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        letters = self.lengths[at]
         share = np.bincount(path, weights=letters, minlength=len(langs)) / letters.sum()
         best = int(np.argmax(share))
         # How sure the words of the winning spans are of it, against the next language.
