@@ -12,12 +12,13 @@ comparison per class.
 
 from __future__ import annotations
 
-from functools import lru_cache
+import math
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_and_text, map_texts, slices, stored
@@ -27,9 +28,11 @@ SHINGLE, PERCENT = 3, 85
 #: 25 bands of 5: a pair at the threshold shares no band with a chance of 4 in 10 million.
 BANDS, ROWS = 25, 5
 COORDINATES, UNIVERSE_BITS = 128, 20
-#: Candidates of the second step agree in all but so many low bits of the coordinates; at the threshold 10 differ on
-#: average, and more than 28 in less than one of a million pairs.
-MOST_BITS = 28
+#: Candidates of the second step agree in all but so many low bits of 128, then of 1024 coordinates. With similarity J the
+#: share (1 - J) / 2 of them differs; the bounds lie five standard deviations above the mean at the threshold.
+FINE_COORDINATES, DEVIATIONS = 1024, 5.0
+#: Classes of a band up to which its pairs are formed by the first 128 bits alone.
+FEW = 8
 CACHED_WORDS = 500_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -70,27 +73,38 @@ def shingler(size: int) -> Shingler:
     return Shingler(size)
 
 
-@lru_cache(maxsize=1)
-def permutations() -> tuple[np.ndarray, np.ndarray]:
+def most_bits(coordinates: int, percent: int) -> int:
+    """Low bits that may differ."""
+    share = (1 - percent / 100) / 2
+    return math.ceil(coordinates * share + DEVIATIONS * math.sqrt(coordinates * share * (1 - share)))
+
+
+@lru_cache(maxsize=2)
+def permutations(coordinates: int) -> tuple[np.ndarray, np.ndarray]:
     """The placing permutation, and all shifted stretches of the second one (a view, no copies)."""
     rng = np.random.default_rng(20231)
     size = 1 << UNIVERSE_BITS
     place = rng.permutation(size).astype(np.int32)
     second = rng.permutation(size).astype(np.int32)
-    round_about = np.concatenate([second, second[: COORDINATES - 1]])
-    return place, np.lib.stride_tricks.sliding_window_view(round_about, COORDINATES)
+    round_about = np.concatenate([second, second[: coordinates - 1]])
+    return place, np.lib.stride_tricks.sliding_window_view(round_about, coordinates)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
+def signature(shingles: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
     """All coordinates of a non-empty set."""
-    place, stretches = permutations()
+    place, stretches = permutations(coordinates)
     at = place[(shingles >> np.uint64(64 - UNIVERSE_BITS)).astype(np.int64)]
-    least = stretches[at[:2048]].min(axis=0)
-    for i in range(2048, len(at), 2048):
-        np.minimum(least, stretches[at[i : i + 2048]].min(axis=0), out=least)
+    least = stretches[at[:512]].min(axis=0)
+    for i in range(512, len(at), 512):
+        np.minimum(least, stretches[at[i : i + 512]].min(axis=0), out=least)
     return least
 
 
+def low_bits(signatures: np.ndarray) -> np.ndarray:
+    """One bit of each coordinate, packed in 64-bit numbers."""
+    return np.packbits((mixed(signatures.astype(np.uint64)) >> np.uint64(63)).astype(np.uint8), axis=1).view(np.int64)
+
+
 def sketch(texts: list[str], size: int) -> dict[str, list]:
     """Per text: number of shingles, 128-bit hash of the set, packed band keys, 128 low bits of the coordinates."""
     make = shingler(size)
@@ -105,7 +119,7 @@ def sketch(texts: list[str], size: int) -> dict[str, list]:
     for r in range(ROWS):
         keys = mixed(keys + signatures[:, r : BANDS * ROWS : ROWS].astype(np.uint64) + _ODD[3])
     keys = mixed(keys + np.arange(BANDS, dtype=np.uint64) * _ODD[2]).view(np.int64)
-    bits = np.packbits((mixed(signatures.astype(np.uint64)) >> np.uint64(63)).astype(np.uint8), axis=1).view(np.int64)
+    bits = low_bits(signatures)
     return {
         "n": pa.array(counts, pa.int64()), "same": pa.array(sets, pa.binary()),
         "keys": pa.array(list(keys), pa.list_(pa.int64())),
@@ -133,6 +147,33 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(work, "a long, b long")
 
 
+def fine_bits(texts: DataFrame, size: int) -> DataFrame:
+    """(rep, fine): more low bits, for the classes of the second step only."""
+    names = [f"f{i}" for i in range(FINE_COORDINATES // 64)]
+
+    def work(found: list[str]) -> dict:
+        signatures = np.stack([signature(shingler(size)(t), FINE_COORDINATES) for t in found])
+        bits = low_bits(signatures)
+        return {"fine": pa.StructArray.from_arrays([pa.array(bits[:, i], pa.int64()) for i in range(len(names))], names=names)}
+
+    kind = ", ".join(f"{n}: bigint" for n in names)
+    return map_texts(texts, work, f"doc_id long, fine struct<{kind}>", ["doc_id"]).withColumnRenamed("doc_id", "rep")
+
+
+def apart(names: list[str]) -> Column:
+    """Bits that differ between the rows x and y."""
+    return reduce(lambda a, b: a + b, [F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in names])
+
+
+def crossing(rows: DataFrame, percent: int, more: Column | None = None) -> DataFrame:
+    """Pairs (a, b) of one band and two components that may reach the threshold by their sizes and bits."""
+    on = ((F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component"))
+          & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+          & (apart(["bits0", "bits1"]) <= most_bits(COORDINATES, percent)))
+    found = rows.alias("x").join(rows.alias("y"), on if more is None else on & more)
+    return found.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+
+
 def near_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept (its id is that of the component).
 
@@ -144,7 +185,7 @@ def near_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id
     schema = "doc_id long, n long, same binary, keys array<long>, bits0 long, bits1 long"
     sketches = stored(map_texts(rows, lambda texts: sketch(texts, size), schema, ["doc_id"]), "sketches")
     classes = sketches.filter("n > 0 and doc_id is not null").groupBy("same", "n", "keys", "bits0", "bits1").agg(F.min("doc_id").alias("rep"))
-    banded = classes.select("rep", "n", "bits0", "bits1", F.explode("keys").alias("key"))
+    banded = classes.select("rep", "n", "bits0", "bits1", F.posexplode("keys").alias("band", "key"))
 
     shared = banded.groupBy("key").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("in_band")).filter("in_band > 1").drop("in_band")
     members = stored(banded.join(shared, "key"), "bands")
@@ -155,16 +196,20 @@ def near_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id
     links = stored(confirmed(first.select("a", "b"), texts, size, percent), "links")
     found = components(links)
 
-    # Bands that still hold several components: only classes of different components are compared.
+    # Bands that still hold several components: only classes of different components are compared. In bands of many
+    # classes the finer bits, and the rule that a pair counts in its first band only, come before any pair is made.
     placed = members.join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    open_bands = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    placed = stored(placed.join(open_bands.select("key"), "key", "left_semi").select("key", "rep", "n", "bits0", "bits1", "component"), "open")
-    a, b = placed.alias("x"), placed.alias("y")
-    apart = F.bit_count(F.col("x.bits0").bitwiseXOR(F.col("y.bits0"))) + F.bit_count(F.col("x.bits1").bitwiseXOR(F.col("y.bits1")))
-    second = a.join(b, (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep"))
-                    & (F.col("x.component") != F.col("y.component"))
-                    & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent) & (apart <= MOST_BITS))
-    second = second.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
+    open_bands = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("in_band"))
+    open_bands = open_bands.filter("low < high").select("key", "in_band")
+    placed = stored(placed.join(open_bands, "key").select("key", "band", "rep", "n", "bits0", "bits1", "component", "in_band"), "open")
+    crowded = placed.filter(F.col("in_band") > FEW)
+    fine = fine_bits(texts.join(crowded.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), size)
+    crowded = stored(crowded.join(fine, "rep").join(classes.select("rep", "keys"), "rep"), "crowded")
+    fine_names = [f"fine.f{i}" for i in range(FINE_COORDINATES // 64)]
+    first_band = F.expr("array_position(zip_with(x.keys, y.keys, (a, b) -> a = b), true) = x.band + 1")
+    alike = (apart(fine_names) <= most_bits(FINE_COORDINATES, percent)) & first_band
+    second = crossing(placed.filter(F.col("in_band") <= FEW), percent).union(crossing(crowded, percent, alike)).distinct()
+    second = second.join(first, ["a", "b"], "left_anti")
     more = stored(confirmed(stored(second, "pairs"), texts, size, percent), "links")
     if not more.isEmpty():
         found = components(links.union(more))
