@@ -60,3 +60,10 @@ def test_weather_join_has_one_shuffle_of_the_events_at_most(spark, sf):
     assert "Window" not in text and text.count("HashJoin") + text.count("SortMergeJoin") == 1
     # At most one match per event: a count does not even look at the weather.
     assert "Join" not in plan(joined.select(F.count("*")))
+
+
+def test_latest_rows_need_no_sort_aggregate(spark, sf):
+    """The latest row of a key, Gold cleaning and upserts rank rows; none carries whole rows through an aggregate."""
+    for name in ("latest_per_key", "gold_clean", "upsert_latest"):
+        plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "Window" in plan
