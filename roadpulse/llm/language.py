@@ -9,6 +9,7 @@ of one language is the best one, and running minima decide that for whole arrays
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
@@ -39,6 +40,7 @@ SCRIPT_STARTS = [0x0, 0x370, 0x400, 0x530, 0x590, 0x600, 0x900, 0xE00, 0x10A0, 0
 SCRIPTS = ["latin", "greek", "cyrillic", "armenian", "hebrew", "arabic", "indic", "thai", "georgian", "hangul", "latin", "greek",
            "latin", "kana", "kana", "other", "han", "other", "hangul", "other", "han", "han"]
 WORDS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+ASCII_WORDS = re.compile(r"[a-z]+")
 
 
 def script_of(word: str) -> str:
@@ -125,16 +127,26 @@ def fit(labelled: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", tex
     return Model(langs, np.log(counts / counts.sum(axis=0)).astype(np.float32), scripts)
 
 
+def one_language(scores: np.ndarray, penalty: float) -> int:
+    """The language of the best path when that is one without changes, else -1."""
+    first = int(scores.sum(axis=0).argmax())
+    own = scores[:, first]
+    for k in range(scores.shape[1]):
+        if k != first:
+            gained = np.zeros(len(scores) + 1)
+            np.cumsum(scores[:, k] - own, out=gained[1:])
+            if (gained - np.minimum.accumulate(gained)).max() > penalty:
+                return -1
+    return first
+
+
 def best_path(scores: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray:
     """Viterbi: the language of each word on the path with the largest sum of scores less ``penalty`` per change.
 
     Of equal paths, the one of a single language wins, then the smaller language number.
     """
-    first = int(np.argmax(scores.sum(axis=0)))
-    others = np.delete(scores, first, axis=1)
-    gained = np.zeros((len(scores) + 1, others.shape[1]))
-    np.cumsum(others - scores[:, [first]], axis=0, out=gained[1:])
-    if not others.size or (gained - np.minimum.accumulate(gained, axis=0)).max() <= penalty:
+    first = one_language(scores, penalty)
+    if first >= 0:
         return np.full(len(scores), first)
     n, k = scores.shape
     back = np.empty((n, k), dtype=np.int32)
@@ -176,7 +188,7 @@ class Labeller:
 
     def __call__(self, texts: list[str]) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
         """(language, score, spans as (start word, end word, language)) of each text."""
-        cut = [WORDS.findall(t.lower()) for t in texts]
+        cut = [(ASCII_WORDS if t.isascii() else WORDS).findall(t.lower()) for t in texts]
         if len(self.known) > CACHED_WORDS:
             self.known, self.table, self.lengths = {}, self.table[:0], self.lengths[:0]
         if self.model.langs:
@@ -191,6 +203,11 @@ class Labeller:
             return UNKNOWN, 0.0, []
         at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
         scores = self.table[at]
+        single = one_language(scores, SWITCH_PENALTY)
+        if single >= 0:
+            own = scores.sum(axis=0, dtype=float)
+            sure = 1.0 / np.exp(np.minimum(own - own[single], 0)).sum() if len(langs) > 1 else 1.0
+            return langs[single], float(sure), [(0, len(words), langs[single])]
         path = best_path(scores)
         letters = self.lengths[at]
         share = np.bincount(path, weights=letters, minlength=len(langs)) / letters.sum()
