@@ -45,12 +45,12 @@ def windows_hashed(data: np.ndarray, size: int) -> np.ndarray:
     return h * _M[1]
 
 
-def runs_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def runs_of(data: np.ndarray, grams: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(anchor hash, place of the anchor, first window, number of windows) of the runs of one text, in order."""
     if len(data) < LENGTH:
         empty = np.empty(0, dtype=np.int64)
         return empty.view(np.uint64), empty, empty, empty
-    grams = windows_hashed(data, GRAM)
+    grams = windows_hashed(data, GRAM) if grams is None else grams
     least, n = grams, 1
     while n < SPAN:
         by = min(n, SPAN - n)
@@ -79,10 +79,18 @@ def runs_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return grams[place], place, first, count
 
 
-def run_hashes(data: np.ndarray, place: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+def run_hashes(grams: np.ndarray, place: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """64-bit hash of the text of each run, and of where its anchor lies in it."""
-    whole = windows_hashed(data, LENGTH)
-    out = whole[first] * _M[0] ^ whole[first + count - 1]
+    def window(at: np.ndarray) -> np.ndarray:
+        """Hash of LENGTH bytes, from those of the stretches that cover them."""
+        out = grams[at]
+        for k, lo in enumerate([*range(GRAM, LENGTH - GRAM, GRAM), LENGTH - GRAM]):
+            out = (out * _M[k % 5]) ^ grams[at + lo]
+            out ^= out >> np.uint64(31)
+        return out
+
+    # The first and the last window cover a run: it has no more than SPAN windows.
+    out = window(first) * _M[0] ^ window(first + count - 1)
     out = (out ^ (out >> np.uint64(29))) * _M[2] + (place - first).astype(np.uint64) * _M[3] + count.astype(np.uint64) * _M[4]
     return (out ^ (out >> np.uint64(32))) * _M[1]
 
@@ -105,11 +113,12 @@ def sketch_slice(ids: list[int], texts: list[bytes], buckets: int) -> list[tuple
     """Per bucket: packed entries (anchor, run, document, number of the run in it) and packed copies (document, number)."""
     anchors, runs, docs, numbers = [], [], [], []
     for doc, raw in zip(ids, texts):
-        data = np.frombuffer(raw, np.uint8)
-        a, place, first, count = runs_of(data)
-        if len(a):
+        if len(raw) >= LENGTH:
+            data = np.frombuffer(raw, np.uint8)
+            grams = windows_hashed(data, GRAM)
+            a, place, first, count = runs_of(data, grams)
             anchors.append(a)
-            runs.append(run_hashes(data, place, first, count))
+            runs.append(run_hashes(grams, place, first, count))
             docs.append(np.full(len(a), doc, dtype=np.int64))
             numbers.append(np.arange(len(a), dtype=np.int32))
     if not anchors:
@@ -155,19 +164,22 @@ def settle_bucket(a: np.ndarray, r: np.ndarray, d: np.ndarray, i: np.ndarray) ->
     return d[marked], i[marked], np.where(sort, SORT, COPY)[marked]
 
 
-def words_at(text: np.ndarray, at: np.ndarray, size: int) -> list[np.ndarray]:
-    """The ``size`` bytes at each place as numbers of eight bytes that order as the bytes do."""
-    out = []
-    for lo in range(0, size, 8):
-        word = np.zeros(len(at), dtype=np.uint64)
-        for b in range(8):
-            word <<= np.uint64(8)
-            if lo + b < size:
-                word |= text[at + lo + b].astype(np.uint64)
-        out.append(word)
+def words_of(text: np.ndarray) -> np.ndarray:
+    """The eight bytes at each place as a number that orders as the bytes do."""
+    out = np.zeros(len(text) - 7, dtype=np.uint64)
+    for b in range(8):
+        out <<= np.uint64(8)
+        out |= text[b : len(text) - 7 + b]
     return out
 
 
+def words_at(words: np.ndarray, at: np.ndarray, size: int) -> list[np.ndarray]:
+    """The ``size`` bytes at each place as numbers."""
+    return [
+        words[at + lo] if lo + 8 <= size else words[at + lo] >> np.uint64(8 * (lo + 8 - size)) for lo in range(0, size, 8)
+    ]
+
+
 def names(keys: list[np.ndarray]) -> np.ndarray:
     """Rank of each row of keys, equal rows equal ranks; the first key counts most."""
     order = np.lexsort(keys[::-1])
@@ -179,12 +191,13 @@ def names(keys: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def cover_ranks(text: np.ndarray) -> np.ndarray:
+def cover_ranks(text: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Ranks of the positions of the difference-cover sample among themselves, 0 elsewhere; by doubling steps of PERIOD."""
-    sample = (np.arange(0, len(text) - PERIOD, PERIOD)[:, None] + COVER).ravel()
-    sample = sample[sample < len(text) - PERIOD]
+    last = len(words) - PERIOD
+    sample = (np.arange(0, last, PERIOD)[:, None] + COVER).ravel()
+    sample = sample[sample < last]
     rank = np.zeros(len(text) + LENGTH + 2 * PERIOD, dtype=np.int64)
-    rank[sample] = names(words_at(text, sample, PERIOD)) + 1
+    rank[sample] = names(words_at(words, sample, PERIOD)) + 1
     reach = PERIOD
     while reach < LENGTH:  # ranks by LENGTH bytes tell apart what counts here
         rank[sample] = names([rank[sample], rank[np.minimum(sample + reach, len(rank) - 1)]]) + 1
@@ -197,9 +210,10 @@ def equal_windows(text: np.ndarray, suffixes: np.ndarray) -> np.ndarray:
 
     The suffixes are sorted one bucket of leading bytes at a time. ``text`` ends in LENGTH + PERIOD spare bytes.
     """
-    rank = cover_ranks(text)
+    words = words_of(text)
+    rank = cover_ranks(text, words)
     shift = np.array([min((c - r) % PERIOD for c in COVER) for r in range(PERIOD)])
-    lead = words_at(text, suffixes, 8)[0]
+    lead = words[suffixes]
     groups = np.empty(len(suffixes), dtype=np.int64)
     spread = np.sort(lead[:: max(1, len(lead) // 4096)])
     parts = max(1, -(-len(suffixes) // SORT_SUFFIXES))
@@ -212,12 +226,12 @@ def equal_windows(text: np.ndarray, suffixes: np.ndarray) -> np.ndarray:
             continue
         at = suffixes[of]
         residue = at % PERIOD
-        keys = [*words_at(text, at, PERIOD), residue, rank[at + shift[residue]]]
+        keys = [*words_at(words, at, PERIOD), residue, rank[at + shift[residue]]]
         order = np.lexsort(keys[::-1])
         ordered = at[order]
         differs = np.ones(len(of), dtype=np.int64)
         differs[1:] = 0
-        for w in words_at(text, ordered, LENGTH):
+        for w in words_at(words, ordered, LENGTH):
             differs[1:] |= w[1:] != w[:-1]
         groups[of[order]] = np.cumsum(differs) - 1 + given
         given += int(differs.sum())
@@ -233,7 +247,7 @@ def shared_windows(texts: list[bytes], anchor_at: np.ndarray, docs: np.ndarray)
         at += (-(at + int(anchor_at[k]))) % PERIOD
         begins[k] = at
         at += len(t)
-    text = np.zeros(at + LENGTH + 2 * PERIOD, dtype=np.uint8)
+    text = np.zeros(at + LENGTH + 2 * PERIOD + 8, dtype=np.uint8)
     for b, t in zip(begins.tolist(), texts):
         text[b : b + len(t)] = np.frombuffer(t, np.uint8)
     owner = np.repeat(np.arange(len(texts)), counts)
