@@ -1,7 +1,8 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming search, exact check.
 
-Built-in functions only. A window has as many words as a benchmark item and lies where the text shares a shingle with
-some item; any other window has similarity 0, so leaving it out loses nothing. Every window gets a 128-bit SimHash of its
+Built-in functions only. A window has as many words as a benchmark item and may start anywhere in the text. One that reaches
+the similarity has so many shingles of items of its size that a count of them tells it apart beforehand; windows with fewer
+can't reach it, so leaving them out loses nothing. Every window left gets a 128-bit SimHash of its
 weighted shingles (weight: how often a shingle occurs in it). The fingerprints are cut into 32 blocks of 4 bits; of two that differ in at
 most 31 bits at least one block is equal, so a join on (window size, block number, block) finds all items within that
 radius. Pairs within the radius are then compared exactly: sum of lesser over sum of greater weights of the shingles.
@@ -54,9 +55,28 @@ def weighted_similarity(a: Column, b: Column) -> Column:
     return common / (F.size(a) + F.size(b) - common)
 
 
+def least_common(a: Column, b: Column, similarity: float) -> Column:
+    """Shingles that two lists of ``a`` and ``b`` shingles have in common at least, if they reach the similarity."""
+    return F.greatest(F.ceil((a + b) * (similarity / (1 + similarity)) - 1e-6), F.lit(1)).cast("int")
+
+
+def starts_with_hits() -> Column:
+    """All starts of windows of ``m`` shingles that hold ``need`` or more of the places ``ats``, each once.
+
+    Entry i of the list is the first place in the window, so the start lies behind the place before and not behind i; the
+    window ends at place i + need - 1 or later.
+    """
+    return F.expr("""flatten(transform(filter(transform(sequence(0, size(ats) - need), i -> struct(
+        greatest(0, if(i > 0, ats[i - 1] + 1, 0), ats[i + need - 1] - m + 1) as low, least(ats[i], n - words_in) as high)),
+        r -> r.low <= r.high), r -> sequence(r.low, r.high)))""")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row per document and item found in it: doc_id, item_id, similarity (the best window's), n_windows (that reach it).
+    """One row per document and item found in it: doc_id, item_id, similarity (the best window's), n_windows.
+
+    All windows count for what is found and for the similarity. Of the windows that reach the threshold, n_windows counts
+    those where a shared shingle lies at the same place as in an item; it is 0 where only others do.
 
     Items shorter than five words are one shingle of their length; items and texts without words match nothing, as do null
     texts. A document shorter than an item can't hold it. Rows without an id are read but never reported; repeated documents
@@ -86,13 +106,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     places = rows.select("doc_id", F.size("words").alias("n"), F.inline(hashes)).join(anchors, ["h", "q"]).select(
         "doc_id", "n", F.explode("places").alias("place"), "at")
     start = F.least(F.greatest(F.col("at") - F.col("place.at_item"), F.lit(0)), F.col("n") - F.col("place.words_in"))
-    spans = places.filter("n >= place.words_in").select("doc_id", F.col("place.words_in").alias("words_in"), start.alias("start")).distinct()
-    spans = stored(spans, "spans")
+    hits = places.filter("n >= place.words_in").groupBy("doc_id", "n", F.col("place.words_in").alias("words_in")).agg(
+        F.array_sort(F.collect_set("at")).alias("ats"), F.collect_set(start).alias("aligned"))
+    m = F.greatest(F.col("words_in") - SHINGLE + 1, F.lit(1))
+    hits = hits.withColumn("m", m).withColumn("need", least_common(F.col("m"), F.col("m"), similarity)).filter("size(ats) >= need")
+    spans = hits.select("doc_id", "words_in", "aligned", F.explode(starts_with_hits()).alias("start"))
+    spans = stored(spans.select("doc_id", "words_in", "start", F.array_contains("aligned", F.col("start")).alias("aligned")), "spans")
 
     held = rows.join(spans.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     windows = spans.join(held, "doc_id").select(
-        "doc_id", "words_in", shingles_of(F.slice("words", F.col("start") + 1, F.col("words_in")), F.least("words_in", F.lit(SHINGLE))).alias("shingles"))
-    windows = windows.groupBy("doc_id", "words_in", "shingles").agg(F.count(F.lit(1)).alias("n_windows"))
+        "doc_id", "words_in", "aligned", shingles_of(F.slice("words", F.col("start") + 1, F.col("words_in")), F.least("words_in", F.lit(SHINGLE))).alias("shingles"))
+    windows = windows.groupBy("doc_id", "words_in", "shingles").agg(F.count_if("aligned").alias("n_windows"))
     windows = stored(windows.withColumn("low", fingerprint("shingles", 1)).withColumn("high", fingerprint("shingles", 2)), "windows")
 
     w = windows.select("doc_id", "words_in", "n_windows", "shingles", F.col("low").alias("w_low"), F.col("high").alias("w_high"),

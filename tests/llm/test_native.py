@@ -135,6 +135,24 @@ def test_leaks(spark):
     assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-12 for k in want)
 
 
+def test_leaks_between_alignments(spark):
+    rnd = random.Random(5)
+    items = [(i, prose(rnd, 35 + 2 * i, 3000)) for i in range(12)]
+    docs = []
+    for i, text in items:
+        words = text.split()
+        half = len(words) // 2 + i % 3
+        docs.append((i, f"{prose(rnd, 60, 3000)} {' '.join(words[half:] + words[:half])} {prose(rnd, 30, 3000)}"))
+        third = words[half:] + ["new"] + words[:half]
+        docs.append((100 + i, " ".join([*third, *words[half:], prose(rnd, 9, 3000)])))
+    want = brute.leaks(docs, items)
+    assert len(want) > 12
+    found = decontaminate.leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r.doc_id, r.item_id): r.similarity for r in found}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+    assert any(r.n_windows == 0 for r in found)
+
+
 def test_empty_tables(spark):
     none = frame(spark, [])
     items = spark.createDataFrame([], "item_id long, text string")
