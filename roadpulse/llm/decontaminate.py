@@ -2,7 +2,7 @@
 
 Built-in functions only. A window has as many words as a benchmark item and may start anywhere in the text. One that reaches
 the similarity has so many shingles of items of its size that a count of them tells it apart beforehand; windows with fewer
-can't reach it, so leaving them out loses nothing. Every window left gets a 128-bit SimHash of its
+can't reach it, so leaving them out loses nothing. A document with fewer words than an item is one window. Every window left gets a 128-bit SimHash of its
 weighted shingles (weight: how often a shingle occurs in it). The fingerprints are cut into 32 blocks of 4 bits; of two that differ in at
 most 31 bits at least one block is equal, so a join on (window size, block number, block) finds all items within that
 radius. Pairs within the radius are then compared exactly: sum of lesser over sum of greater weights of the shingles.
@@ -67,7 +67,7 @@ def starts_with_hits() -> Column:
     window ends at place i + need - 1 or later.
     """
     return F.expr("""flatten(transform(filter(transform(sequence(0, size(ats) - need), i -> struct(
-        greatest(0, if(i > 0, ats[i - 1] + 1, 0), ats[i + need - 1] - m + 1) as low, least(ats[i], n - words_in) as high)),
+        greatest(0, if(i > 0, ats[i - 1] + 1, 0), ats[i + need - 1] - m + 1) as low, least(ats[i], n - width) as high)),
         r -> r.low <= r.high), r -> sequence(r.low, r.high)))""")
 
 
@@ -79,8 +79,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     those where a shared shingle lies at the same place as in an item; it is 0 where only others do.
 
     Items shorter than five words are one shingle of their length; items and texts without words match nothing, as do null
-    texts. A document shorter than an item can't hold it. Rows without an id are read but never reported; repeated documents
-    are one, and repeated items give the same rows once.
+    texts. A document shorter than an item is compared as a whole. Rows without an id are read but never reported; repeated
+    documents are one, and repeated items give the same rows once.
     """
     items = benchmark.select(F.col(item_col).alias("item_id"), words_of(F.coalesce(F.col(item_text_col), F.lit(""))).alias("words"))
     items = items.filter((F.size("words") > 0) & F.col("item_id").isNotNull()).select(
@@ -105,11 +105,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     hashes = F.flatten(F.array(*[hashed(q) for q in sizes])) if len(sizes) > 1 else hashed(sizes[0])
     places = rows.select("doc_id", F.size("words").alias("n"), F.inline(hashes)).join(anchors, ["h", "q"]).select(
         "doc_id", "n", F.explode("places").alias("place"), "at")
-    start = F.least(F.greatest(F.col("at") - F.col("place.at_item"), F.lit(0)), F.col("n") - F.col("place.words_in"))
-    hits = places.filter("n >= place.words_in").groupBy("doc_id", "n", F.col("place.words_in").alias("words_in")).agg(
+    width = F.least(F.col("n"), F.col("place.words_in"))
+    start = F.least(F.greatest(F.col("at") - F.col("place.at_item"), F.lit(0)), F.col("n") - width)
+    hits = places.groupBy("doc_id", "n", F.col("place.words_in").alias("words_in"), width.alias("width")).agg(
         F.array_sort(F.collect_set("at")).alias("ats"), F.collect_set(start).alias("aligned"))
-    m = F.greatest(F.col("words_in") - SHINGLE + 1, F.lit(1))
-    hits = hits.withColumn("m", m).withColumn("need", least_common(F.col("m"), F.col("m"), similarity)).filter("size(ats) >= need")
+    size = F.least(F.col("words_in"), F.lit(SHINGLE))
+    hits = hits.withColumn("m", F.col("width") - size + 1)
+    hits = hits.withColumn("need", least_common(F.col("m"), F.col("words_in") - size + 1, similarity)).filter("size(ats) >= need")
     spans = hits.select("doc_id", "words_in", "aligned", F.explode(starts_with_hits()).alias("start"))
     spans = stored(spans.select("doc_id", "words_in", "start", F.array_contains("aligned", F.col("start")).alias("aligned")), "spans")
 

@@ -153,6 +153,29 @@ def test_leaks_between_alignments(spark):
     assert any(r.n_windows == 0 for r in found)
 
 
+def test_leaks_of_documents_shorter_than_the_item(spark):
+    rnd = random.Random(6)
+    items = [(i, prose(rnd, n, 3000)) for i, n in enumerate([7, 15, 20, 40, 59])]
+    docs, want = [], {}
+    for i, text in items:
+        words = text.split()
+        shingles = brute.Counter(zip(*(words[k:] for k in range(5))))
+        inner = len(words) // 2
+        for j, part in enumerate([words[:-1], words[1:], words[2:-1], words[:inner] + words[inner + 1:], words[: len(words) * 2 // 3]]):
+            docs.append((10 * i + j, " ".join(part)))
+            got = brute.Counter(zip(*(part[k:] for k in range(5))))
+            common = sum((shingles & got).values())
+            value = common / (sum(shingles.values()) + sum(got.values()) - common)
+            if value >= 0.8:
+                want[10 * i + j, i] = value
+    assert {i for _, i in want} == {1, 2, 3, 4} and (43, 4) in want
+    found = decontaminate.leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r.doc_id, r.item_id): r.similarity for r in found}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-12 for k in want)
+    left = decontaminate.drop_leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert {r.doc_id for r in left.collect()} == {d for d, _ in docs} - {d for d, _ in want}
+
+
 def test_empty_tables(spark):
     none = frame(spark, [])
     items = spark.createDataFrame([], "item_id long, text string")
