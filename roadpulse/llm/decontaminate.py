@@ -3,9 +3,9 @@
 Built-in functions only. A window has as many words as a benchmark item and may start anywhere in the text. One that reaches
 the similarity has so many shingles of items of its size that a count of them tells it apart beforehand; windows with fewer
 can't reach it, so leaving them out loses nothing. A document with fewer words than an item is one window. Every window left gets a 128-bit SimHash of its
-weighted shingles (weight: how often a shingle occurs in it). The fingerprints are cut into 32 blocks of 4 bits; of two that differ in at
-most 31 bits at least one block is equal, so a join on (window size, block number, block) finds all items within that
-radius. Pairs within the radius are then compared exactly: sum of lesser over sum of greater weights of the shingles.
+weighted shingles (weight: how often a shingle occurs in it). The fingerprints are cut into 43 blocks of 3 bits (the last
+has 2); of two that differ in at most 42 bits at least one block is equal, so a join on (window size, block number, block)
+finds all items within that radius. It lies five deviations above the mean at similarity 0.8. Pairs within the radius are then compared exactly: sum of lesser over sum of greater weights of the shingles.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .common import id_and_text, stored
 
 SHINGLE, SIMILARITY = 5, 0.8
-BLOCKS, BLOCK_BITS, RADIUS = 32, 4, 31
+BLOCKS, BLOCK_BITS, RADIUS = 43, 3, 42
 #: Distinct item shingles up to which they are sent to all tasks (16 MB); beyond it, the join is left to a shuffle.
 MOST_SENT = 1_000_000
 
@@ -40,10 +40,11 @@ def fingerprint(shingles: str, seed: int) -> Column:
 
 
 def blocks_of(low: str, high: str) -> Column:
-    """(block number, value) packed in one integer, for all blocks of both halves."""
+    """(block number, value) packed in one integer, for all blocks of both halves; the last block is the top bit of each."""
     half, values = BLOCKS // 2, 1 << BLOCK_BITS
-    return F.expr(f"""transform(sequence(0, {BLOCKS - 1}), i -> i * {values} + cast(
-        shiftrightunsigned(if(i < {half}, {low}, {high}), {BLOCK_BITS} * (i % {half})) & {values - 1}L as int))""")
+    return F.expr(f"""concat(transform(sequence(0, {2 * half - 1}), i -> i * {values} + cast(
+        shiftrightunsigned(if(i < {half}, {low}, {high}), {BLOCK_BITS} * (i % {half})) & {values - 1}L as int)),
+        array({2 * half * values} + cast(2 * shiftrightunsigned({low}, 63) + shiftrightunsigned({high}, 63) as int)))""")
 
 
 def weighted_similarity(a: Column, b: Column) -> Column:

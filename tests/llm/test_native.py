@@ -176,6 +176,22 @@ def test_leaks_of_documents_shorter_than_the_item(spark):
     assert {r.doc_id for r in left.collect()} == {d for d, _ in docs} - {d for d, _ in want}
 
 
+def test_leaks_far_apart_in_bits(spark):
+    rnd = random.Random(8)
+    items = [(i, prose(rnd, 9, 3000)) for i in range(200)]
+    docs = [(i, text.rsplit(" ", 1)[0]) for i, text in items]  # four of five shingles: 24 of 128 bits differ on average
+    found = decontaminate.leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(i, i) for i, _ in items}
+
+
+def test_blocks_hold_every_bit_once(spark):
+    bits = spark.range(128).selectExpr("if(id < 64, shiftleft(1L, cast(id as int)), 0L) as low", "if(id < 64, 0L, shiftleft(1L, cast(id - 64 as int))) as high")
+    none = spark.range(1).selectExpr("0L as low", "0L as high").select(decontaminate.blocks_of("low", "high")).first()[0]
+    got = [r[0] for r in bits.select(decontaminate.blocks_of("low", "high")).collect()]
+    assert len(none) == decontaminate.BLOCKS == decontaminate.RADIUS + 1
+    assert all(sum(a != b for a, b in zip(x, none)) == 1 for x in got) and len(set(map(tuple, got))) == 128
+
+
 def test_empty_tables(spark):
     none = frame(spark, [])
     items = spark.createDataFrame([], "item_id long, text string")
