@@ -32,11 +32,18 @@ def shingles_of(words: Column, size: Column) -> Column:
 
 
 def fingerprint(shingles: str, seed: int) -> Column:
-    """64 bits: bit b is set when it is set in more than half of the shingles, each counted as often as it occurs."""
-    return F.expr(f"""aggregate(
-        transform({shingles}, s -> xxhash64({seed}, s)), array_repeat(0, 64),
-        (n, h) -> zip_with(n, sequence(0, 63), (x, b) -> x + cast(shiftrightunsigned(h, b) & 1L as int)),
-        n -> aggregate(sequence(0, 63), 0L, (bits, b) -> bits | shiftleft(cast(n[b] * 2 > size({shingles}) as bigint), b)))""")
+    """64 bits: bit b is set when it is set in more than half of the shingles, each counted as often as it occurs.
+
+    Up to 127 shingles eight numbers hold eight counts of a byte each; longer lists are counted bit by bit.
+    """
+    def counted(zeros: str, step: str, count: str) -> str:
+        return f"""aggregate(transform({shingles}, s -> xxhash64({seed}, s)), {zeros}, (n, h) -> {step},
+            n -> aggregate(sequence(0, 63), 0L, (bits, b) -> bits | shiftleft(cast({count} * 2 > size({shingles}) as bigint), b)))"""
+
+    packed = counted("array_repeat(0L, 8)", f"transform(sequence(0, 7), j -> n[j] + (shiftrightunsigned(h, j) & {0x0101010101010101}L))",
+                     "(shiftrightunsigned(n[b % 8], b - b % 8) & 255L)")
+    plain = counted("array_repeat(0, 64)", "zip_with(n, sequence(0, 63), (x, b) -> x + cast(shiftrightunsigned(h, b) & 1L as int))", "n[b]")
+    return F.expr(f"if(size({shingles}) <= 127, {packed}, {plain})")
 
 
 def blocks_of(low: str, high: str) -> Column:

@@ -184,6 +184,15 @@ def test_leaks_far_apart_in_bits(spark):
     assert {(r.doc_id, r.item_id) for r in found.collect()} == {(i, i) for i, _ in items}
 
 
+def test_fingerprint_is_the_majority_of_bits(spark):
+    rnd = random.Random(3)
+    lists = [[f"s{rnd.randrange(n)}" for _ in range(n)] for n in (1, 2, 5, 55, 126, 127, 128, 300)] + [["same"] * 127, ["same"] * 128]
+    df = spark.createDataFrame([(x,) for x in lists], "s array<string>")
+    for r in df.select("s", decontaminate.fingerprint("s", 1).alias("got"), F.expr("transform(s, x -> xxhash64(1, x))").alias("hashes")).collect():
+        want = sum((2 * sum(h >> b & 1 for h in r.hashes) > len(r.hashes)) << b for b in range(64))
+        assert r.got % 2**64 == want
+
+
 def test_blocks_hold_every_bit_once(spark):
     bits = spark.range(128).selectExpr("if(id < 64, shiftleft(1L, cast(id as int)), 0L) as low", "if(id < 64, 0L, shiftleft(1L, cast(id - 64 as int))) as high")
     none = spark.range(1).selectExpr("0L as low", "0L as high").select(decontaminate.blocks_of("low", "high")).first()[0]
