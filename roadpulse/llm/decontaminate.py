@@ -107,7 +107,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
         """(hash, size, place) of all runs of q words; none where the text is shorter."""
         last = F.size("words") - q
         runs = F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
-            F.xxhash64(F.array_join(F.slice("words", i + 1, q), " ")).alias("h"), F.lit(q).alias("q"), i.alias("at")))
+            F.xxhash64(F.concat_ws(" ", *[F.get("words", i + k) for k in range(q)])).alias("h"), F.lit(q).alias("q"), i.alias("at")))
         return F.when(last >= 0, runs).otherwise(F.array().cast("array<struct<h:bigint,q:int,at:int>>"))
 
     hashes = F.flatten(F.array(*[hashed(q) for q in sizes])) if len(sizes) > 1 else hashed(sizes[0])
@@ -124,8 +124,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     spans = stored(spans.select("doc_id", "words_in", "start", F.array_contains("aligned", F.col("start")).alias("aligned")), "spans")
 
     held = rows.join(spans.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    windows = spans.join(held, "doc_id").select(
-        "doc_id", "words_in", "aligned", shingles_of(F.slice("words", F.col("start") + 1, F.col("words_in")), F.least("words_in", F.lit(SHINGLE))).alias("shingles"))
+    # A slice goes over its whole array, so a window is cut once, not once for each of its shingles.
+    window = F.array(F.slice("words", F.col("start") + 1, F.col("words_in")))
+    windows = spans.join(held, "doc_id").select("doc_id", "words_in", "aligned", F.get(
+        F.transform(window, lambda w: shingles_of(w, F.least("words_in", F.lit(SHINGLE)))), F.lit(0)).alias("shingles"))
     windows = windows.groupBy("doc_id", "words_in", "shingles").agg(F.count_if("aligned").alias("n_windows"))
     windows = stored(windows.withColumn("low", fingerprint("shingles", 1)).withColumn("high", fingerprint("shingles", 2)), "windows")
 
