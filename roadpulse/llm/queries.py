@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_tree, chat, decontaminate, exact_dedup, html_text, language, near_dedup, secret_scan, suffix_dedup, token_counts
+from . import bpe_tree, chat, decontaminate, exact_dedup, html_text, language, merkle, near_dedup, secret_scan, suffix_dedup, token_counts
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -114,3 +114,55 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    every_third = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return merkle.verify(table(spark, sf_dir, "documents"), {"text": F.translate("text", upper, upper.lower())}, every_third)
+
+
+ORACLES["op11_merkle_manifest"] = r"""
+with recursive docs as (
+  select row_number() over (order by doc_id) as line, *,
+    list_reduce(list_concat([4294967295::bigint], flatten(list_transform(string_split(doc_id::varchar, ''), lambda c:
+      list_concat([ord(c)::bigint], list_value(-1, -1, -1, -1, -1, -1, -1, -1))))), lambda crc, x: case when x >= 0 then xor(crc, x)
+      when crc % 2 = 1 then xor(crc // 2, 3988292384) else crc // 2 end) as crc,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as lowered
+  from documents),
+hashed as (
+  select line, doc_id, lang, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
+    case when xor(crc, 4294967295) % 3 = 0 then sha256(head || coalesce(strlen(lowered) || ':' || lowered, '-')) end as changed
+  from (select *, coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+    || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') as head from docs)),
+leaves as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf, line) - 1 as pos, count(*) over (partition by lang) as n from hashed),
+below as (
+  select 0 as level, lang, pos, n, leaf as node from leaves
+  union all
+  select level + 1, lang, pos // 8, (n + 7) // 8, sha256(string_agg(node, '' order by pos)) from below where n > 1 group by level, lang, pos // 8, n),
+tops as (
+  select lang, node as subroot, row_number() over (order by lang nulls first) - 1 as pos, count(*) over () as n from below where n = 1),
+above as (
+  select 0 as level, pos, n, subroot as node from tops
+  union all
+  select level + 1, pos // 8, (n + 7) // 8, sha256(string_agg(node, '' order by pos)) from above where n > 1 group by level, pos // 8, n),
+runs as (
+  select false as upper, level, lang, pos // 8 as up, list(node order by pos) as nodes from below where n > 1 group by level, lang, pos // 8
+  union all
+  select true, level, null, pos // 8, list(node order by pos) from above where n > 1 group by level, pos // 8),
+walk as (
+  select l.line, false as upper, 0 as level, l.lang, l.pos, l.n, coalesce(changed, leaf) as value, '' as proof, t.pos as top_at, t.n as top_n
+  from leaves l join tops t on l.lang is not distinct from t.lang
+  union all
+  select line, w.upper or w.n = 1, case when w.n = 1 then 0 else w.level + 1 end, case when w.n > 1 then w.lang end, case when w.n = 1 then top_at else w.pos // 8 end,
+    case when w.n = 1 then top_n else (w.n + 7) // 8 end,
+    case when w.n = 1 then value else sha256(array_to_string(list_concat(nodes[:w.pos % 8], [value], nodes[w.pos % 8 + 2:]), '')) end,
+    case when w.n = 1 then proof else proof || array_to_string(list_concat(nodes[:w.pos % 8], nodes[w.pos % 8 + 2:]), '') end, top_at, top_n
+  from walk w left join runs r on r.upper = w.upper and r.level = w.level and r.lang is not distinct from w.lang and r.up = w.pos // 8
+  where w.n > 1 or not w.upper)
+select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, value as folded_root, value = root as verified
+from walk join leaves using (line) join tops t on leaves.lang is not distinct from t.lang
+cross join (select node as root from above where n = 1) where walk.upper and walk.n = 1
+"""
