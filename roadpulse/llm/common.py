@@ -6,7 +6,7 @@ import os
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Characters of text that a task takes into Python objects at once.
@@ -59,3 +59,17 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ranked(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Adds ``at``, the place of a row in its ``grp`` by ``order``, and ``n``, the rows of the group; drops the columns of ``order``.
+
+    One global sort; the rows of a group in each part of it are counted, and the counts before them give each row its place.
+    """
+    ordered = stored(rows.orderBy("grp", *order).withColumn("row", F.monotonically_increasing_id()), "ordered")
+    part = F.shiftrightunsigned("row", 33)
+    runs = ordered.groupBy("grp", part.alias("part")).agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("rows"))
+    group = Window.partitionBy("grp")
+    runs = runs.select("grp", "part", "first", (F.sum("rows").over(group.orderBy("part")) - F.col("rows")).alias("earlier"), F.sum("rows").over(group).alias("n"))
+    placed = ordered.withColumn("part", part).join(runs, ["grp", "part"])
+    return placed.withColumn("at", F.col("earlier") + F.col("row") - F.col("first")).drop("part", "row", "first", "earlier", *order)

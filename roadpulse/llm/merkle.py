@@ -15,10 +15,10 @@ import hashlib
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import ranked, stored
 
 #: Children of a node, fixed by the contract; levels that a task works at once, and the nodes it takes for them.
 FANOUT, LEVELS = 8, 3
@@ -37,17 +37,6 @@ def leaf_digest(values: Sequence[Column]) -> Column:
     return F.unhex(F.sha2(F.concat(*map(field, values)), 256))
 
 
-def ranked(rows: DataFrame, order: list[str]) -> DataFrame:
-    """Adds ``at``, the place of a row in its ``grp`` by ``order``, and ``n``, the rows of the group."""
-    ordered = stored(rows.orderBy("grp", *order).withColumn("row", F.monotonically_increasing_id()), "ordered")
-    part = F.shiftrightunsigned("row", 33)
-    runs = ordered.groupBy("grp", part.alias("part")).agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("rows"))
-    group = Window.partitionBy("grp")
-    runs = runs.select("grp", "part", "first", (F.sum("rows").over(group.orderBy("part")) - F.col("rows")).alias("earlier"), F.sum("rows").over(group).alias("n"))
-    placed = ordered.withColumn("part", part).join(runs, ["grp", "part"])
-    return placed.withColumn("at", F.col("earlier") + F.col("row") - F.col("first")).drop("part", "row", "first", "earlier", *order)
-
-
 def levels_of(nodes: list[bytes], n: int) -> list[list[bytes]]:
     """The nodes and up to three levels above them; a single node of a group needs no parent."""
     levels = [nodes]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_tree, chat, decontaminate, exact_dedup, html_text, language, merkle, near_dedup, secret_scan, suffix_dedup, token_counts
+from . import bpe_tree, chat, decontaminate, exact_dedup, fingerprint, html_text, language, merkle, near_dedup, secret_scan, suffix_dedup, token_counts
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -166,3 +166,8 @@ select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, value as fold
 from walk join leaves using (line) join tops t on leaves.lang is not distinct from t.lang
 cross join (select node as root from above where n = 1) where walk.upper and walk.n = 1
 """
+
+
+@query
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_edits(table(spark, sf_dir, "documents"))
