@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_tree, chat, decontaminate, exact_dedup, fingerprint, html_text, language, merkle, near_dedup, secret_scan, suffix_dedup, token_counts
+from . import bpe_tree, chat, decontaminate, exact_dedup, fingerprint, html_text, language, merkle, near_dedup, phrases, secret_scan, suffix_dedup, token_counts
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -171,3 +171,37 @@ cross join (select node as root from above where n = 1) where walk.upper and wal
 @query
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_edits(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_collocations"] = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece from documents),
+word_lists as (select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') as words from pieces),
+runs as (
+  select lang, k, array_to_string(words[i:i + k - 1], ' ') as phrase
+  from word_lists, unnest([1, 2, 3]) as s(k), unnest(range(1, len(words) - k + 2)) as p(i)),
+counts as (select lang, phrase, any_value(k) as k, count(*) as f from runs group by lang, phrase),
+totals as (select lang, sum(f)::bigint as n from counts where k = 1 group by lang),
+found as (select lang, phrase, k, f as a, string_split(phrase, ' ') as words from counts where k > 1 and f >= 10),
+cuts as (
+  select lang, phrase, a, cut, array_to_string(words[:cut], ' ') as head, array_to_string(words[cut + 1:], ' ') as tail
+  from found, unnest(range(1, k)) as c(cut)),
+scored as (
+  select c.lang, c.phrase, c.a, cut, x.f as l, y.f as r, 1000000::hugeint * c.a * c.a // (x.f::hugeint * y.f) as score
+  from cuts c join counts x on x.lang = c.lang and x.phrase = c.head join counts y on y.lang = c.lang and y.phrase = c.tail),
+best as (
+  select lang, phrase, any_value(a) as a, min(score)::bigint as score, arg_min(l, (score, cut)) as l, arg_min(r, (score, cut)) as r
+  from scored group by lang, phrase),
+inside as (
+  select lang, array_to_string(words[i:i + 1], ' ') as phrase, max(a) as longer from found, unnest([1, 2]) as s(i) where k = 3 group by all),
+kept as (
+  select b.*, row_number() over (partition by b.lang order by score desc, a desc, b.phrase) as rank
+  from best b left join inside i on i.lang = b.lang and i.phrase = b.phrase where i.longer is null or 100 * i.longer < 50 * a)
+select lang, rank, phrase, a, l, r, n, score from kept join totals using (lang) where rank <= 2000
+"""
