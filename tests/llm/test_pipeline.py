@@ -47,6 +47,6 @@ def test_stages_keep_columns_and_accept_empty_and_hostile_tables(spark, sf):
             stage(spark, table, sf).count()
 
 
-@pytest.mark.parametrize("n", range(1, 11))
+@pytest.mark.parametrize("n", range(1, 14))
 def test_every_operator_is_registered(n):
     assert sum(name.startswith(f"op{n}_") for name in entry.queries()) == 1
