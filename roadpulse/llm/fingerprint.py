@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import ranked, stored
 
 #: Samples of a fingerprint, four hexadecimal digits each; how many of them a row of terms works out at a time.
-SAMPLES, AT_ONCE = 64, 8
+SAMPLES, AT_ONCE = 64, 4
 BLANKS = r"[\x20\x09-\x0D]+"
 LOW = "4294967295L"
 
@@ -89,7 +89,7 @@ def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def fingerprints(docs: DataFrame, samples: int = SAMPLES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, fingerprint (four hexadecimal digits for each of ``samples``, a multiple of 8).
+    """One row per document: doc_id, fingerprint (four hexadecimal digits for each of ``samples``, a multiple of 4).
 
     Equal texts have equal fingerprints, and so have texts with the same words equally often. Null text counts as empty; texts
     without words have all the same one. Repeated rows give repeated results.
