@@ -142,7 +142,7 @@ def latency(
     quantiles = exact_percentiles(rows, "latency_ms", PERCENTILES)
     chosen = metric if metric in (*PERCENTILES, "avg") else "p95"
     live = anchor.select("is_live_window").scalar()
-    joined = totals.select("*", *[quantiles.select(p).scalar().alias(p) for p in PERCENTILES])
+    joined = totals.withColumn("_q", quantiles.select(F.struct(*PERCENTILES)).scalar()).select("*", "_q.*")
     return joined.select(
         _status(F.col("sample_count"), live).alias("status"), F.lit(chosen).alias("metric"),
         F.lit(window).alias("window"), anchor.select("window_anchor").scalar().alias("window_anchor"),

@@ -31,16 +31,54 @@ def skewed(spark):
     return spark.createDataFrame(data, "g string, x double").cache()
 
 
-@pytest.mark.parametrize("chunks", [64, 1024])
-def test_chunked_percentiles_equal_the_built_in(spark, skewed, chunks):
+@pytest.mark.parametrize("accuracy", [200, 1000, 20_000])
+def test_percentiles_equal_the_built_in(spark, skewed, accuracy):
     marks = {"low": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "high": 1.0}
     whole = skewed.where("x is not null and not isnan(x)")
-    got = exact_percentiles(skewed, "x", marks, ["g"], chunks=chunks)
+    got = exact_percentiles(skewed, "x", marks, ["g"], accuracy)
     want = whole.groupBy("g").agg(*[F.percentile("x", p).alias(n) for n, p in marks.items()])
     for a, b in zip(rows(got), rows(want)):
         assert a[0] == b[0] and all(math.isclose(x, y, rel_tol=1e-12) for x, y in zip(a[1:], b[1:]))
 
 
+def test_percentiles_order_only_what_lies_near_a_rank(spark):
+    """Half a million rows in two groups, one of them without a name, a third of each a single value."""
+    value = F.when(F.col("id") % 3 == 0, 0.25).otherwise(F.abs(F.xxhash64("id")) % 1_000_003 / 1000.0 - F.col("id") % 7)
+    df = spark.range(500_000).select(F.when(F.col("id") % 5 > 0, "a").alias("g"), value.alias("x"))
+    marks = {"p50": 0.5, "p333": 0.3334, "p95": 0.95, "p99": 0.99}
+    got = exact_percentiles(df, "x", marks, ["g"], 5000)
+    want = df.groupBy("g").agg(*[F.percentile("x", p).alias(n) for n, p in marks.items()])
+    for a, b in zip(rows(got), rows(want)):
+        assert a[0] == b[0] and all(math.isclose(x, y, rel_tol=1e-12) for x, y in zip(a[1:], b[1:]))
+    whole = exact_percentiles(df, "x", marks, accuracy=5000)
+    assert all(math.isclose(x, y, rel_tol=1e-12) for x, y in zip(whole.head(), df.agg(*[F.percentile("x", p) for p in marks.values()]).head()))
+    assert _rows_of(spark, got, "WindowExec") < 10_000  # of 320,000 distinct values
+
+
+def _rows_of(spark, df, node):
+    """Rows that reach the nodes of a kind, by the plan's own metrics."""
+    df.collect()
+
+    def walk(plan):
+        name = plan.getClass().getSimpleName()
+        inner = plan.executedPlan() if name == "AdaptiveSparkPlanExec" else plan.plan() if name.endswith("QueryStageExec") else None
+        if inner is not None:
+            return walk(inner)
+        below = [plan.children().apply(i) for i in range(plan.children().length())]
+        here = max((_first_rows(c) for c in below), default=0) if name == node else 0
+        return max([here, *map(walk, below)])
+
+    def _first_rows(plan):
+        while True:
+            metric = plan.metrics().get("numOutputRows")
+            if metric.isDefined() and metric.get().value() > 0:
+                return metric.get().value()
+            name = plan.getClass().getSimpleName()
+            plan = plan.plan() if name.endswith("QueryStageExec") else plan.children().apply(0)
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
 def test_chunked_running_totals_equal_one_window(spark, skewed):
     whole = skewed.where("x is not null and not isnan(x)")
     measures = {"n": F.count("*"), "big": F.count_if(F.col("x") > 1)}
