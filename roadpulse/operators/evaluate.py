@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import staged
 from .quantiles import running_totals
 from .serving import union_all
 
@@ -27,12 +28,26 @@ def label_set(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return labels.where("class_label is not null").distinct()
 
 
+def pair_sums(df: DataFrame, actual: str, predicted: str, probabilities: dict[int, str] | None = None) -> DataFrame:
+    """Rows per (actual, predicted), nulls included, and with probabilities the sum and number of their log losses.
+
+    One aggregate that tasks merge before the shuffle; its size is that of the confusion matrix, and all metrics
+    but the areas under curves come from it.
+    """
+    sums = [F.count("*").alias("n")]
+    if probabilities:
+        loss = _row_loss(actual, probabilities)
+        sums += [F.sum(loss).alias("loss"), F.count(loss).alias("losses")]
+    return df.groupBy(F.col(actual).cast("int").alias("a"), F.col(predicted).cast("int").alias("p")).agg(*sums)
+
+
+def _known(sums: DataFrame) -> DataFrame:
+    return sums.where("a is not null and p is not null")
+
+
 def pair_counts(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """Rows per (actual, predicted): everything below works on this small table."""
-    pairs = df.where(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
-    return pairs.groupBy(F.col(actual).cast("int").alias("a"), F.col(predicted).cast("int").alias("p")).agg(
-        F.count("*").alias("n")
-    )
+    """Rows per (actual, predicted), both known: everything below works on this small table."""
+    return _known(pair_sums(df, actual, predicted))
 
 
 def confusion(df: DataFrame, actual: str, predicted: str, labels: list[int]) -> DataFrame:
@@ -52,7 +67,10 @@ def _ratio(top: Column, bottom: Column) -> Column:
 
 def class_report(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """Precision, recall, specificity, F1 and support of each label that occurs on either side."""
-    counts = pair_counts(df, actual, predicted)
+    return _report(pair_counts(df, actual, predicted))
+
+
+def _report(counts: DataFrame) -> DataFrame:
     sides = union_all(
         [
             counts.select(F.col("a").alias("class_label"), F.col("n").alias("support"), F.lit(0).cast("bigint").alias("predicted"),
@@ -75,7 +93,11 @@ def class_report(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 
 def scalar_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """Accuracy, and macro and support-weighted precision, recall, F1 and specificity."""
-    report = class_report(df, actual, predicted)
+    return _scalars(pair_counts(df, actual, predicted))
+
+
+def _scalars(counts: DataFrame) -> DataFrame:
+    report = _report(counts)
     weighted = lambda c: _ratio(F.sum(F.col(c) * F.col("support")), F.sum("support"))
     names = {"precision": "precision", "recall": "recall", "f1": "f1", "specificity": "specificity"}
     return report.agg(
@@ -90,7 +112,11 @@ def agreement_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 
     Balanced accuracy averages over labels that occur as actual; the per-class error over all labels.
     """
-    report = class_report(df, actual, predicted)
+    return _agreement(pair_counts(df, actual, predicted))
+
+
+def _agreement(counts: DataFrame) -> DataFrame:
+    report = _report(counts)
     total, hits = F.sum("support").cast("double"), F.sum("tp").cast("double")
     cross = F.sum(F.col("support").cast("double") * F.col("predicted"))
     actual_sq = F.sum(F.col("support").cast("double") * F.col("support"))
@@ -112,7 +138,10 @@ def agreement_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 
 def ordinal_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """Errors of labels read as numbers: MSE, RMSE, MAE, R2, RMSLE."""
-    counts = pair_counts(df, actual, predicted)
+    return _ordinals(pair_counts(df, actual, predicted))
+
+
+def _ordinals(counts: DataFrame) -> DataFrame:
     a, p, n = F.col("a").cast("double"), F.col("p").cast("double"), F.col("n").cast("double")
     log_gap = F.log1p(a) - F.log1p(p)
     sums = counts.agg(
@@ -127,16 +156,21 @@ def ordinal_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     )
 
 
-def log_loss(df: DataFrame, actual: str, probabilities: dict[int, str]) -> DataFrame:
-    """Mean of -log of the true class's share of the row's probabilities, kept away from 0 and 1."""
+def _row_loss(actual: str, probabilities: dict[int, str]) -> Column:
+    """-log of the true class's share of a row's probabilities, kept away from 0 and 1; null where it is unknown."""
     chosen = None
     for label, column in probabilities.items():
         hit = F.col(actual) == label
         chosen = F.when(hit, F.col(column)) if chosen is None else chosen.when(hit, F.col(column))
-    total = sum((F.col(c) for c in probabilities.values()), F.lit(0.0))
+    share = chosen / sum((F.col(c) for c in probabilities.values()), F.lit(0.0))
     epsilon = 2.220446049250313e-16
-    share = F.greatest(F.lit(epsilon), F.least(F.lit(1 - epsilon), chosen / total))
-    return df.agg(F.avg(-F.log(share)).alias("logloss"))
+    bounded = F.greatest(F.lit(epsilon), F.least(F.lit(1 - epsilon), share))
+    return -F.log(bounded)
+
+
+def log_loss(df: DataFrame, actual: str, probabilities: dict[int, str]) -> DataFrame:
+    """Mean log loss of the rows."""
+    return df.agg(F.avg(_row_loss(actual, probabilities)).alias("logloss"))
 
 
 def class_auc(df: DataFrame, actual: str, probabilities: dict[int, str]) -> DataFrame:
@@ -163,29 +197,39 @@ def proba_metrics(df: DataFrame, actual: str, probabilities: dict[int, str]) ->
 
     As in common practice the AUC figures are null unless every class has an AUC.
     """
-    aucs = class_auc(df, actual, probabilities)
+    return _chances(class_auc(df, actual, probabilities), log_loss(df, actual, probabilities))
+
+
+def _chances(aucs: DataFrame, loss: DataFrame) -> DataFrame:
     complete = F.count("*") == F.count("auc")
     macro = F.when(complete, F.avg("auc"))
     weighted = F.when(complete, F.sum(F.col("auc") * F.col("support")) / F.sum("support"))
     figures = aucs.agg(macro.alias("auc_macro_ovr"), weighted.alias("auc_weighted_ovr"))
-    loss = log_loss(df, actual, probabilities).scalar()
     return figures.select(
-        loss.alias("logloss"), "auc_macro_ovr", "auc_weighted_ovr",
+        loss.scalar().alias("logloss"), "auc_macro_ovr", "auc_weighted_ovr",
         (2 * F.col("auc_macro_ovr") - 1).alias("gini_macro_ovr"),
         (2 * F.col("auc_weighted_ovr") - 1).alias("gini_weighted_ovr"),
     )
 
 
 def full_metrics(df: DataFrame, actual: str, predicted: str, probabilities: dict[int, str] | None = None) -> DataFrame:
-    """All metric groups side by side, one row."""
-    parts = [f(df, actual, predicted) for f in (scalar_metrics, agreement_metrics, ordinal_metrics)]
-    if probabilities:
-        parts.append(proba_metrics(df, actual, probabilities))
-    first, *others = parts
-    single = first.withColumn("_one", F.lit(1))
-    for part in others:
-        single = single.join(part.withColumn("_one", F.lit(1)), "_one")
-    return single.drop("_one")
+    """All metric groups side by side, one row.
+
+    Two passes at most: one aggregate of pairs, written once, that all but the areas under curves are read from,
+    and the score counts of the classes.
+    """
+    with staged(pair_sums(df, actual, predicted, probabilities), "pairs") as sums:
+        counts = _known(sums)
+        parts = [make(counts) for make in (_scalars, _agreement, _ordinals)]
+        if probabilities:
+            loss = sums.agg((F.sum("loss") / F.sum("losses")).alias("logloss"))
+            parts.append(_chances(class_auc(df, actual, probabilities), loss))
+        first, *others = parts
+        single = first.withColumn("_one", F.lit(1))
+        for part in others:
+            single = single.join(part.withColumn("_one", F.lit(1)), "_one")
+        row = single.drop("_one")
+        return df.sparkSession.createDataFrame(row.collect(), row.schema)  # one row
 
 
 STATUS_ORDER = {"ok": 0, "skipped": 1, "failed": 2}

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import LABEL, MODEL_FEATURES, NON_FEATURES
+from ..session import staged
 from .evaluate import class_factors, full_metrics, leaderboard
 from .sampling import stratified_cap
 from .serving import union_all
@@ -128,10 +129,14 @@ def score(df: DataFrame, model: PipelineModel) -> DataFrame:
 
 
 def evaluate(model: PipelineModel, test: DataFrame, name: str, label: str = LABEL) -> DataFrame:
-    """One row of metrics of a model on a test set."""
+    """One row of metrics of a model on a test set.
+
+    The rows are scored once: what the metrics need of them is written, and read from there.
+    """
     scored = score(test.drop("predicted_severity"), model).where(F.col("predicted_severity").isNotNull())
     shares = PROBABILITIES if model.stages[-1].hasParam("probabilityCol") else None
-    metrics = full_metrics(scored, label, "predicted_severity", shares)
+    with staged(scored.select(label, "predicted_severity", *PROBABILITIES.values()), "scored") as rows:
+        metrics = full_metrics(rows, label, "predicted_severity", shares)
     if shares is None:
         metrics = metrics.withColumn("logloss", F.lit(None).cast("double"))
     return metrics.select(F.lit(name).alias("model"), F.lit("ok").alias("status"), "*")

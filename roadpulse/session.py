@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "roadpulse", master: str | None = None, **conf: str) -> SparkSession:
@@ -49,3 +51,18 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     if not base:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/roadpulse-{purpose}-{os.urandom(6).hex()}"
+
+
+@contextmanager
+def staged(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """The frame, written once and read from its files as often as needed inside the block; the files go with it.
+
+    What is made of it must be brought out of the block before it ends.
+    """
+    spark, path = df.sparkSession, shared_folder(df.sparkSession, purpose)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -67,3 +67,22 @@ def test_latest_rows_need_no_sort_aggregate(spark, sf):
     for name in ("latest_per_key", "gold_clean", "upsert_latest"):
         plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
         assert "SortAggregate" not in plan and "Window" in plan
+
+
+def test_a_model_scores_its_test_rows_once(spark):
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from roadpulse.operators import ml
+
+    rows = spark.range(400).select(
+        (F.col("id") % 4 + 1).cast("int").alias("true_severity"), (F.col("id") % 4 + F.col("id") % 3 / 10).alias("temperature_f"), (F.col("id") % 5).cast("double").alias("hour"))
+    model = ml.train(rows, DecisionTreeClassifier(maxDepth=4))
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    row = ml.evaluate(model, rows.mapInArrow(counted, rows.schema), "tree").head()
+    assert read.value == 400
+    assert row["accuracy"] == 1.0 and row["logloss"] < 1e-9 and row["auc_macro_ovr"] == 1.0 and row["mse"] == 0.0
