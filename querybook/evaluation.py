@@ -488,5 +488,45 @@ def metric_log(spark, sf_dir):
         F.lit("\n  macro_f1: N/A\nEvaluating model rank 3: X_0 (x)\n  accuracy: 0.2\n"),
     )
     folder = f"{shared_folder(spark, 'logs')}/logs"
+    # A row of several lines is several lines of the file, so a log is written by one row.
     counts.select(log.alias("value"), F.col("r").alias("run")).write.partitionBy("run").text(folder)
     return files.read_metric_log(spark, f"{folder}/*").select("model", "accuracy", "logloss", "macro_f1")
+
+
+@query(
+    "class_log",
+    """
+with p as (select o_orderpriority as model, o_orderstatus as class_label, count(*) as support from orders group by 1, 2)
+select replace(model, ' ', '_') as model, class_label, round(support % 89 / 89, 4) as precision, round(support % 83 / 83, 4) as recall,
+  round(support % 79 / 79, 4) as f1, support from p""",
+)
+def class_log(spark, sf_dir):
+    """Text logs made of the orders, one per priority, each with the reports of three models; that of the best one is read back."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    counts = orders.groupBy(F.replace("o_orderpriority", F.lit(" "), F.lit("_")).alias("model"), "o_orderstatus").agg(F.count("*").alias("n"))
+    share = lambda by: F.format_string("%.4f", F.round(F.col("n") % by / by, 4))
+    line = F.concat_ws("  ", F.lit(" 0"), "o_orderstatus", share(89), share(83), share(79), F.col("n").cast("string"))
+    text = counts.groupBy("model").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("report"))
+    other = "  Per-class classification report:\n  0  X  0.5  0.5  0.5  7\n  Confusion matrix table:\n  0  9  9  9  9  9\n"
+    log = F.concat(
+        F.lit("Best model ID: "), "model", F.lit(f"\nEvaluating model rank 1: A_0 (x)\n{other}Evaluating model rank 2: "), "model",
+        F.lit(" (m)\n  accuracy: 0.5\n  Per-class classification report:\n  class_label  precision  recall  f1  support\n"), "report",
+        F.lit(f"\n  Confusion matrix table:\n  1  9  9  9  9  9\nEvaluating model rank 3: B_0 (x)\n{other}"))
+    folder = f"{shared_folder(spark, 'logs')}/logs"
+    text.select(log.alias("value"), F.col("model").alias("run")).write.partitionBy("run").text(folder)
+    return files.read_class_log(spark, f"{folder}/*").drop("file")
+
+
+@query(
+    "compare_with_reference",
+    f"""
+with {RUNS}, m as (select run_id as model, 'ok' as status, macro_f1, weighted_f1 from runs where macro_f1 is not null order by macro_f1 desc, model limit 1)
+select model, status, macro_f1, weighted_f1, cast(null as double) as accuracy from m
+union all select 'majority class', 'reference', null, null, (select max(n) / sum(n) from (select count(*) as n from orders group by o_orderstatus))""",
+)
+def compare_with_reference(spark, sf_dir):
+    """The best run next to a reference: always the most frequent class."""
+    models = runs(spark, sf_dir).select(F.col("run_id").alias("model"), F.lit("ok").alias("status"), "macro_f1", "weighted_f1")
+    counts = spark.read.parquet(f"{sf_dir}/orders.parquet").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    reference = counts.agg((F.max("n") / F.sum("n")).alias("accuracy")).select(F.lit("majority class").alias("model"), F.lit("reference").alias("status"), "accuracy")
+    return ev.compare_with_reference(models, reference)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from roadpulse.functions import geo
+from roadpulse.functions import clean, geo
 from roadpulse.operators import changes as ch
 from roadpulse.operators.features import build_features, enrich_live, stream_features
 from roadpulse.operators.weather import explode_hourly, join_weather, lookup_work_list
 from roadpulse.schemas import FEATURE_COLUMNS, RAW_COLUMNS
+from roadpulse.session import shared_folder
+from roadpulse.sources import files
 
 from . import views as v
 from .registry import Registry
@@ -139,8 +141,8 @@ def change_summary(spark, sf_dir):
     )
 
 
-def payloads(spark, sf_dir):
-    """Feed documents made of the events, one incident each, as they would be parsed."""
+def payloads(spark, sf_dir, *also):
+    """Incidents made of the events, one each, as they would be parsed."""
     n = F.col("event_id")
     lon, lat = (F.lit(-74.2) + n % 40 / 100).cast("string"), (F.lit(40.4) + n % 50 / 100).cast("string")
     point = F.concat(F.lit("["), lon, F.lit(","), lat, F.lit("]"))
@@ -166,7 +168,7 @@ def payloads(spark, sf_dir):
     source = spark.read.parquet(f"{sf_dir}/events.parquet")
     return source.select(
         F.struct(properties.alias("properties"), geometry.alias("geometry")).alias("incident"),
-        F.lit("US").alias("state_or_region"), F.lit("New York").alias("city"),
+        F.lit("US").alias("state_or_region"), F.lit("New York").alias("city"), *also,
     )
 
 
@@ -203,3 +205,34 @@ def to_wkt(spark, sf_dir):
     kind = F.when(n % 5 == 0, F.lit("Point")).when(n % 5 == 1, F.lit("Polygon")).otherwise(F.lit("LineString"))
     shape = F.when(n % 5 == 0, point).when(n % 77 == 3, F.lit("[]")).otherwise(line)
     return rows.select("event_id", geo.to_wkt(shape, kind).alias("wkt"))
+
+
+REGIONS = "NY:New York:-74,40,-73,41; NJ : Newark:-75,40,-74,41;:nowhere:0,0,1,1;CT:Hartford:-73,41,-72,42"
+DOCUMENT = "event_id // 40"
+
+
+@query(
+    "payload_scan",
+    f"""
+with e as (select *, {DOCUMENT} as doc, event_id // 40 % 3 as region, event_id // 40 % 7 = 3 as spoiled from events),
+r as (select * from (values (0, 'NY', 'New York'), (1, 'NJ', 'Newark'), (2, 'CT', 'Hartford')) t(region, state_or_region, city))
+select 'incident' as kind, 'live-' || event_id as event_id, state_or_region, city, 'I-95, US-1' as roads, {WKT} as geometry_wkt
+from e join r using (region) where not spoiled and {USABLE}
+union all select 'damaged', null, state_or_region, city, null, null from (select distinct doc, region from e where spoiled) join r using (region)""",
+)
+def payload_scan(spark, sf_dir):
+    """Feed documents of several incidents landed by region, some cut off: incidents as flat messages, damaged documents apart."""
+    made = payloads(spark, sf_dir, "event_id")
+    text = F.to_json(F.struct(F.collect_list("incident").alias("incidents")))
+    documents = made.groupBy(F.floor(F.col("event_id") / 40).alias("doc")).agg(text.alias("whole"))
+    cut = F.when(F.col("doc") % 7 == 3, F.expr("left(whole, cast(length(whole) / 2 as int))")).otherwise(F.col("whole"))
+    folder = f"{shared_folder(spark, 'payloads')}/documents"
+    documents.select(cut.alias("value"), (F.col("doc") % 3).alias("region")).write.partitionBy("region").text(folder)
+
+    listed = spark.range(1).select(F.posexplode(ch.parse_regions(F.lit(REGIONS))).alias("region", "of")).select("region", "of.state_or_region", "of.city")
+    found = files.read_payload_documents(spark, folder).join(F.broadcast(listed), "region")
+    flat = ch.normalize_incident(files.incidents_of(found), now="2024-05-01 00:00:00")
+    incidents = flat.select(F.lit("incident").alias("kind"), "event_id", "state_or_region", "city", clean.join_array(F.col("road_numbers")).alias("roads"), "geometry_wkt")
+    none = F.lit(None).cast("string")
+    damaged = found.where("damaged is not null").select(F.lit("damaged"), none, "state_or_region", "city", none, none)
+    return incidents.union(damaged)

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from roadpulse.schemas import LIVE_SCHEMA, REPLAY_SCHEMA
 from roadpulse.session import shared_folder
 from roadpulse.sources.sinks import KeyedTable
+from roadpulse.sources.streams import replay_source
 from roadpulse.streaming import changes as sc
 from roadpulse.streaming import metrics as sm
 from roadpulse.streaming import pipelines as sp
+from roadpulse.streaming import running
 
 from . import views as v
 from .live import CHANGES, states
@@ -57,6 +59,68 @@ def stream_replay(spark, sf_dir):
     )
 
 
+def _landed_messages(spark, sf_dir, folder, files=6):
+    """The replay messages of the orders as JSON files, one for each micro-batch: the folder and their schema."""
+    raw = v.raw_replay(spark, sf_dir).withColumn("_ingested_at_utc", F.lit("2024-05-01T00:00:00+00:00"))
+    raw.repartition(files).write.json(f"{folder}/in")
+    return f"{folder}/in", raw.schema
+
+
+@query(
+    "stream_restart",
+    v.with_views(
+        ["features"],
+        f"""
+select event_id, true_severity, coalesce({v.write_risk_sql('predicted_severity')}, {v.write_risk_sql('true_severity')}) as risk_score,
+  1 as copies, 2 as restarts, 6 as batches from features""",
+    ),
+)
+def stream_restart(spark, sf_dir):
+    """The replay pipeline with two failures between a batch's write and its commit, started again from its checkpoint."""
+    folder, failures = shared_folder(spark, "stream-restart"), {1, 4}
+    landed, schema = _landed_messages(spark, sf_dir, folder)
+
+    def fails_once(batch_id):
+        if batch_id in failures:
+            failures.remove(batch_id)
+            raise RuntimeError(f"lost after the write of batch {batch_id}")
+
+    config = sp.StreamConfig(f"{folder}/checkpoint", f"{folder}/table", now=NOW, after_write=fails_once)
+    restarts = running.run_until_drained(lambda: sp.start_replay(replay_source(spark, landed, 1, schema), config))
+    table = KeyedTable(spark, config.table, REPLAY_SCHEMA, sp.KEY, sp.ORDER)
+    copies = table.written().groupBy("event_id").agg(F.count("*").cast("int").alias("copies"))
+    rows = table.read().select("event_id", "true_severity", "risk_score").join(copies, "event_id")
+    return rows.withColumns({"restarts": F.lit(restarts), "batches": F.lit(len(table.batch_numbers()))})
+
+
+@query(
+    "both_streams",
+    v.with_views(
+        ["features", "live_features"],
+        """
+select 'replay' as stream, (select count(*) from orders) as input_rows, (select count(*) from features) as served, 4 as batches, true as rated
+union all select 'live', (select count(*) from events), (select count(*) from live_features), 1, true""",
+    ),
+)
+def both_streams(spark, sf_dir):
+    """Replay and live pipelines at the same time in one session: rows read and served by each, with the rates reported."""
+    folder = shared_folder(spark, "both-streams")
+    landed, schema = _landed_messages(spark, sf_dir, folder, 4)
+    live = v.live_messages(v.live_base_of(_table_stream(spark, sf_dir, "events"))).drop("event_time", "seq", "event_type")
+    text = live.select(F.to_json(F.struct(*live.columns)).alias("value"))
+    configs = {n: sp.StreamConfig(f"{folder}/{n}/checkpoint", f"{folder}/{n}/table", now=NOW, name=n) for n in ("replay", "live")}
+    rates = running.run_together(spark, {
+        "replay": lambda: sp.start_replay(replay_source(spark, landed, 1, schema), configs["replay"]),
+        "live": lambda: sp.start_live(sp.live_messages(text), configs["live"], v.hourly_weather(spark, sf_dir)),
+    })
+    schemas = {"replay": REPLAY_SCHEMA, "live": LIVE_SCHEMA}
+    served = [KeyedTable(spark, configs[n].table, schemas[n], sp.KEY, sp.ORDER).read().select(F.lit(n).alias("stream")) for n in configs]
+    counts = served[0].union(served[1]).groupBy("stream").agg(F.count("*").alias("served"))
+    sums = rates.groupBy("stream").agg(
+        F.sum("input_rows").alias("input_rows"), F.count("*").cast("int").alias("batches"), (F.min("rows_per_second") > 0).alias("rated"))
+    return sums.join(counts, "stream")
+
+
 @query(
     "stream_live",
     v.with_views(

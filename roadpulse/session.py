@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "roadpulse", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with adaptive execution and a fixed zone; any setting can be overridden.
+    """A session with adaptive execution, fair pools and a fixed zone; any setting can be overridden.
 
     The number of shuffle partitions is left to the cluster: adaptive execution merges small ones,
     so a large value costs little and lets big shuffles fit in memory.
@@ -20,6 +20,7 @@ def build_session(app: str = "roadpulse", master: str | None = None, **conf: str
         builder = builder.master(master)
     settings = {
         "spark.sql.session.timeZone": "UTC",
+        "spark.scheduler.mode": "FAIR",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

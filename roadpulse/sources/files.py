@@ -71,10 +71,28 @@ def read_incident_payloads(spark: SparkSession, path: str) -> DataFrame:
 
     A document is read as text, one per line, so a damaged one yields no incidents and fails nothing.
     """
-    documents = spark.read.text(path).select(
-        F.from_json("value", INCIDENT_PAYLOAD).alias("d"), F.col("_metadata.file_path").alias("source_file")
+    return incidents_of(read_payload_documents(spark, path)).select("incident", "source_file")
+
+
+def read_payload_documents(spark: SparkSession, path: str) -> DataFrame:
+    """One row per landed feed document: its incidents, or in ``damaged`` the text that could not be read.
+
+    Folders named ``key=value`` above the files become columns, as in any partitioned source.
+    """
+    parsed = F.from_json(
+        "value", f"{INCIDENT_PAYLOAD.strip()}, _corrupt_record string",
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"},
     )
-    return documents.select(F.explode("d.incidents").alias("incident"), "source_file")
+    rows = spark.read.text(path).select("*", F.col("_metadata.file_path").alias("source_file")).withColumn("_d", parsed)
+    damaged = F.when(F.col("_d").isNull(), F.col("value")).otherwise(F.col("_d._corrupt_record"))
+    read = rows.withColumns({"damaged": damaged, "incidents": F.when(damaged.isNull(), F.col("_d.incidents"))})
+    return read.where(F.trim("value") != "").drop("value", "_d")
+
+
+def incidents_of(documents: DataFrame) -> DataFrame:
+    """One row per incident of readable documents, with the columns of its document."""
+    rest = [c for c in documents.columns if c not in ("incidents", "damaged")]
+    return documents.where("damaged is null").select(*rest, F.explode("incidents").alias("incident"))
 
 
 def _child_folders(spark: SparkSession, root: str) -> list[str]:
@@ -171,40 +189,32 @@ def path_freshness(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _log_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of text logs with their file and position.
+    """Lines of text logs with their file and place.
 
-    A log is one file of a training run: each is read whole by one task and split there, which keeps
-    its line order.
+    Read line by line, so a large log is cut into splits that many tasks read. A place is the byte at which
+    a line's split begins, then its number among the lines of the reading task: greater for a later line of a file.
     """
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(
-        F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "line")
-    )
+    place = F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row"))
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), place.alias("place"), "value").withColumnRenamed("value", "line")
 
 
 def _best_block(spark: SparkSession, path: str) -> DataFrame:
     """Lines of the evaluation block of each log's best model.
 
-    A model id must follow the block marker as a whole word, so that an id that starts like another
-    does not match it.
+    Only the marked lines are put in order, a few per model; they give one stretch per log, and the lines in
+    it are picked wherever they were read. A model id must stand in the line that opens its block.
     """
     lines = _log_lines(spark, path)
-    file_order = Window.partitionBy("file").orderBy("line_no")
-    starts = F.col("line").contains(LOG_BLOCK)
-    best = F.regexp_extract("line", rf"{LOG_BEST}\s+(.+)$", 1)
-    named = lines.withColumns(
-        {
-            "block": F.sum(starts.cast("int")).over(file_order),
-            "model": F.first(F.nullif(F.trim(best), F.lit("")), ignorenulls=True).over(
-                Window.partitionBy("file").orderBy("line_no").rowsBetween(
-                    Window.unboundedPreceding, Window.unboundedFollowing
-                )
-            ),
-        }
-    )
-    has_model = starts & F.col("line").contains(F.col("model"))
-    chosen = F.min(F.when(has_model, F.col("block"))).over(Window.partitionBy("file"))
-    return named.withColumn("chosen", chosen).where(F.col("block") == F.col("chosen"))
+    opens, named = F.col("line").contains(LOG_BLOCK), F.col("line").contains(LOG_BEST)
+    model = F.nullif(F.trim(F.regexp_extract("line", rf"{LOG_BEST}\s+(.+)$", 1)), F.lit(""))
+    best = lines.where(named).select("file", "place", model.alias("model")).where("model is not null")
+    best = best.groupBy("file").agg(F.min_by("model", "place").alias("model"))
+    following = F.lead("place").over(Window.partitionBy("file").orderBy("place"))
+    blocks = lines.where(opens).select("file", "line", F.col("place").alias("low"), following.alias("high"))
+    own = blocks.join(best, "file").where(F.col("line").contains(F.col("model")))
+    chosen = own.groupBy("file", "model").agg(F.min_by(F.struct("low", "high"), "low").alias("at")).select("file", "model", "at.*")
+    inside = (F.col("place") >= F.col("low")) & (F.col("high").isNull() | (F.col("place") < F.col("high")))
+    return lines.join(chosen, "file").where(inside).drop("low", "high")
 
 
 def read_metric_log(spark: SparkSession, path: str) -> DataFrame:
@@ -213,20 +223,21 @@ def read_metric_log(spark: SparkSession, path: str) -> DataFrame:
     columns = []
     for name, printed in LOG_METRICS.items():
         found = F.nullif(F.regexp_extract("line", rf"{printed}:\s+([0-9.]+|N/A)", 1), F.lit(""))
-        first = F.min_by(found, F.when(found.isNotNull(), F.col("line_no")))
+        first = F.min_by(found, F.when(found.isNotNull(), F.col("place")))
         columns.append(first.try_cast("double").alias(name))
     return block.groupBy("file", "model").agg(*columns)
 
 
 def read_class_log(spark: SparkSession, path: str) -> DataFrame:
-    """Per-class rows of the best model's report in each log."""
-    order = Window.partitionBy("file").orderBy("line_no")
-    inside = F.max(F.col("line").contains(LOG_REPORT)).over(order) & ~F.max(F.col("line").contains(LOG_MATRIX)).over(order)
-    pattern = r"^\s*\d+\s+(\S+)\s+([0-9.]+)\s+([0-9.]+)\s+([0-9.]+)\s+(\d+)\s*$"
-    rows = _best_block(spark, path).withColumn("inside", inside).where("inside").where(F.col("line").rlike(pattern))
-    part = lambda i: F.regexp_extract("line", pattern, i)
-    return rows.select(
-        "file", "model", part(1).alias("class_label"), part(2).try_cast("double").alias("precision"),
-        part(3).try_cast("double").alias("recall"), part(4).try_cast("double").alias("f1"),
-        part(5).try_cast("bigint").alias("support"),
-    )
+    """Per-class rows of the best model's report in each log: what stands in six fields between report and matrix."""
+    block = _best_block(spark, path)
+    here = lambda mark: F.min(F.when(F.col("line").contains(mark), F.col("place")))
+    ends = block.groupBy("file").agg(here(LOG_REPORT).alias("low"), here(LOG_MATRIX).alias("high"))
+    inside = (F.col("place") > F.col("low")) & (F.col("high").isNull() | (F.col("place") < F.col("high")))
+    fields = F.split(F.trim("line"), r"\s+")
+    rows = block.join(ends, "file").where(inside).select("file", "model", fields.alias("of")).where(F.size("of") == 6)
+    number = lambda i, kind="double": F.col("of")[i].try_cast(kind)
+    table = rows.select(
+        "file", "model", F.col("of")[1].alias("class_label"), number(2).alias("precision"), number(3).alias("recall"),
+        number(4).alias("f1"), number(5, "bigint").alias("support"), number(0, "int").alias("_row"))
+    return table.dropna(subset=["precision", "recall", "f1", "support", "_row"]).drop("_row")

@@ -122,6 +122,15 @@ class KeyedTable:
     def _numbers(self, kind: str) -> list[int]:
         return sorted(int(f.split("=", 1)[1]) for f in finished_folders(self.spark, f"{self.path}/{kind}") if "=" in f)
 
+    def batch_numbers(self) -> list[int]:
+        """Numbers of the batches whose write has finished and that no compaction has removed."""
+        return self._numbers("batches")
+
+    def written(self) -> DataFrame:
+        """The rows of those batches as they were written, several to a key that came in several batches."""
+        numbers = self.batch_numbers()
+        return self._read("batches", "batch_id", numbers) if numbers else self.spark.createDataFrame([], self._stored)
+
     def exists(self) -> bool:
         return bool(self._numbers("batches") or self._numbers("base"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -29,7 +30,9 @@ class StreamConfig:
     ``now`` fixes the processing time, which makes a run repeatable. ``spread`` redistributes each
     micro-batch over that many tasks before features are built: useful where a source brings few
     large files or has fewer partitions than the cluster has cores. After ``compact_after`` batches the
-    serving table is compacted, so its reads and folders stay bounded.
+    serving table is compacted, so its reads and folders stay bounded. ``after_write`` is called with
+    the number of a micro-batch when all its outputs are written and before it is committed; if it fails, the batch
+    runs again.
     """
 
     checkpoint: str
@@ -43,6 +46,11 @@ class StreamConfig:
     name: str | None = None
     spread: int | None = None
     compact_after: int = 64
+    after_write: Callable[[int], None] | None = None
+
+    def written(self, batch_id: int) -> None:
+        if self.after_write is not None:
+            self.after_write(batch_id)
 
 
 def replay_messages(df: DataFrame, extra: str = "") -> DataFrame:
@@ -72,7 +80,8 @@ def _quarantine(bad: DataFrame, config: StreamConfig, batch_id: int) -> None:
 
 
 def replay_batch(batch: DataFrame, batch_id: int, config: StreamConfig) -> None:
-    """One micro-batch of raw rows. Every output is a folder of this batch, replaced when it runs again."""
+    """One micro-batch of raw rows. Every output is a folder of this batch, replaced when it runs again.
+    """
     keep = [c for c in ("predicted_severity", "inference_latency_ms") if c in batch.columns]
     stamp = F.col("_ingested_at_utc") if "_ingested_at_utc" in batch.columns else F.lit(None).cast("string")
     stamped = batch.withColumn("ingestion_time", clean.to_utc(stamp))
@@ -91,6 +100,7 @@ def replay_batch(batch: DataFrame, batch_id: int, config: StreamConfig) -> None:
         table.compact_beyond(config.compact_after)
     finally:
         rows.unpersist()
+    config.written(batch_id)
 
 
 def start_replay(stream: DataFrame, config: StreamConfig) -> StreamingQuery:
@@ -142,6 +152,7 @@ def live_batch(batch: DataFrame, batch_id: int, config: StreamConfig, weather: D
         table.compact_beyond(config.compact_after)
     finally:
         rows.unpersist()
+    config.written(batch_id)
 
 
 def start_live(stream: DataFrame, config: StreamConfig, weather: DataFrame | None = None) -> StreamingQuery:

@@ -165,6 +165,36 @@ def test_metric_log(spark, tmp_path):
     assert [(r["class_label"], r["recall"], r["support"]) for r in classes] == [("1", 0.25, 12), ("2", 0.95, 900)]
 
 
+def test_large_logs_are_read_in_splits(spark, tmp_path):
+    """A block that begins in one split and ends in another, among logs of other models."""
+    (tmp_path / "log").mkdir()
+    noise = "".join(f"  progress {i} of the search\n" for i in range(3000))
+    long_log = LOG.replace("  Logloss", noise + "  Logloss").replace("  1  2  0.9", noise + "  1  2  0.9").replace("  2  ", "  2  ")
+    (tmp_path / "log" / "a.log").write_text(noise + long_log)
+    (tmp_path / "log" / "b.log").write_text(LOG.replace("GBM_1", "DRF_3").replace("0.79", "0.5"))
+    (tmp_path / "log" / "c.log").write_text("no model here\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    try:
+        assert files._log_lines(spark, str(tmp_path / "log")).rdd.getNumPartitions() > 5
+        got = {(r["model"], r["logloss"], r["accuracy"]) for r in files.read_metric_log(spark, str(tmp_path / "log")).collect()}
+        classes = sorted((r["model"], r["class_label"], r["precision"], r["support"]) for r in files.read_class_log(spark, str(tmp_path / "log")).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {("GBM_1", 0.55, 0.79), ("DRF_3", 0.55, 0.5)}
+    assert classes == [("DRF_3", "1", 0.5, 12), ("DRF_3", "2", 0.9, 900), ("GBM_1", "1", 0.5, 12), ("GBM_1", "2", 0.9, 900)]
+
+
+def test_damaged_documents_are_kept_apart(spark, tmp_path):
+    (tmp_path / "docs" / "region=0").mkdir(parents=True)
+    good = json.dumps({"incidents": [{"properties": {"id": "1"}, "geometry": {"type": "Point", "coordinates": [1, 2]}}]})
+    (tmp_path / "docs" / "region=0" / "a.json").write_text(f"{good}\n{good[:40]}\n\n[]\nnull\n{{}}\n{good}\n")
+    documents = files.read_payload_documents(spark, str(tmp_path / "docs"))
+    assert documents.count() == 6 and documents.where(F.col("damaged") == good[:40]).count() == 1
+    rows_ = files.incidents_of(documents)
+    assert rows_.count() == 2 and {r["region"] for r in rows_.collect()} == {0}
+
+
 def test_keyed_table_batches_repeat_and_compact(spark, tmp_path):
     table = sinks.KeyedTable(spark, str(tmp_path / "t"), REPLAY_SCHEMA, "event_id", ["processed_time"])
     assert not table.exists() and table.read().count() == 0

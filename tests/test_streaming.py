@@ -147,3 +147,26 @@ def test_features_or_reason_covers_every_row(spark, sf, keep):
     both = features_or_reason(raw, keep)
     good = both.where("reject_reason is null").drop("reject_reason", "message")
     assert both.count() == raw.count() and rows(good) == rows(build_features(raw, keep))
+
+
+def test_failures_beyond_the_restarts_are_raised(spark, tmp_path):
+    from pyspark.errors import StreamingQueryException
+
+    from roadpulse.streaming.running import run_until_drained
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text('{"ID": "A", "Severity": "2", "Start_Time": "2020-01-01 01:00:00", "Start_Lat": "1", "Start_Lng": "2"}\n')
+    seen = []
+
+    def fails(batch_id):
+        seen.append(batch_id)
+        if len(seen) < 4:
+            raise RuntimeError("again")
+
+    conf = config(tmp_path, after_write=fails)
+    start = lambda: sp.start_replay(sp.replay_messages(text_source(spark, str(tmp_path / "in"))), conf)
+    with pytest.raises(StreamingQueryException):
+        run_until_drained(start, restarts=1)
+    assert run_until_drained(start, restarts=3) == 1 and seen == [0, 0, 0, 0]
+    table = KeyedTable(spark, conf.table, REPLAY_SCHEMA, sp.KEY, sp.ORDER)
+    assert table.batch_numbers() == [0] and table.written().count() == 1
