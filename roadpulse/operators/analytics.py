@@ -15,7 +15,6 @@ HISTOGRAMS = {
     "temperature": ("temperature_f", 130), "humidity": ("humidity", 100), "wind_speed": ("wind_speed_mph", 100),
 }
 BINS = 8
-SAMPLE_ROWS = 5000
 
 
 def _high(risk: Column) -> Column:

@@ -13,7 +13,7 @@ from ..operators.health import run_report
 from ..operators.keyed import latest_per_key
 from ..schemas import REPLAY_SCHEMA
 from ..session import shared_folder
-from ..sources.files import read_raw_csv, read_silver
+from ..sources.files import finished_folders, read_raw_csv, read_silver
 from ..sources.sinks import (
     KeyedTable,
     write_gold_csv,
@@ -97,15 +97,41 @@ def local_replay(spark: SparkSession, raw: DataFrame, out: str, model=None) -> d
     return counts
 
 
+def gold_manifest(gold: DataFrame, partition: str = "event_year") -> DataFrame:
+    """Rows and digest of each Gold partition; the digest does not depend on the order of rows or files."""
+    row = F.xxhash64(*sorted(gold.columns)).cast("decimal(38,0)")
+    return gold.groupBy(partition).agg(F.count("*").alias("rows"), F.sum(row).cast("string").alias("digest"))
+
+
+def changed_partitions(now: DataFrame, before: DataFrame, partition: str = "event_year") -> DataFrame:
+    """Partitions that are new, gone or different between two manifests, with their rows in both."""
+    old = before.select(F.col(partition).alias("_p"), F.col("rows").alias("rows_before"), F.col("digest").alias("_digest"))
+    both = now.join(old, F.col(partition).eqNullSafe(F.col("_p")), "full_outer")
+    same = F.col("rows").eqNullSafe(F.col("rows_before")) & F.col("digest").eqNullSafe(F.col("_digest"))
+    return both.where(~same).select(F.coalesce(partition, "_p").alias(partition), "rows", "rows_before")
+
+
 def retrain_after_gold(spark: SparkSession, silver_path: str, gold_path: str, model_root: str, **options) -> dict:
-    """Silver to Gold, then training on Gold."""
+    """Silver to Gold, then training on Gold, unless Gold is what the newest model was trained on.
+
+    Each stored model has the manifest of its Gold beside it. A run whose manifest equals the newest one trains
+    nothing; a run that is lost before its manifest is written trains again.
+    """
     from .train import train_job
 
     counts = silver_to_gold(spark, silver_path, gold_path)
     if not counts["written"]:
-        return {**counts, "trained": False}
-    outcome = train_job(spark.read.parquet(gold_path), model_root, **options)
-    return {**counts, "trained": True, **outcome}
+        return {**counts, "trained": False, "changed": 0}
+    gold, root = spark.read.parquet(gold_path), f"{model_root.rstrip('/')}/manifests"
+    manifest = gold_manifest(gold)
+    known = sorted(int(f.split("=", 1)[1]) for f in finished_folders(spark, root))
+    before = spark.read.schema(manifest.schema).parquet(f"{root}/version={known[-1]}") if known else manifest.limit(0)
+    changed = changed_partitions(manifest, before).count()
+    if not changed:
+        return {**counts, "trained": False, "changed": 0}
+    outcome = train_job(gold, model_root, **options)
+    manifest.write.mode("overwrite").parquet(f"{root}/version={outcome['version']}")
+    return {**counts, "trained": True, "changed": changed, **outcome}
 
 
 def profile_report(periods: DataFrame, out: str, names: list[str]) -> None:
