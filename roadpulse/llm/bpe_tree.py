@@ -19,12 +19,12 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame
 
-from .common import id_and_text, map_texts
+from .common import Words, id_and_text, map_texts
 from .cutting import Cutter
 
 #: Characters of a leaf of text, symbols of a leaf of one word.
 LEAF_CHARS, LEAF_SYMBOLS = 4096, 256
-CACHED_WORDS, CACHED_CHARS = 300_000, 64
+CACHED_CHARS = 64
 
 #: Fixed by the vocabulary: its words; the blanks after a word, or at the start of a text, go with them here.
 WORD = r"(?:\p{L}+|'(?:[stmd]|re|ve|ll)|\p{N}|[^\s\p{L}\p{N}]+)\s*|\s+"
@@ -85,7 +85,7 @@ class WordCodec:
         self.blank = regex.compile(r"\s+")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.known = Words()
 
     def words(self, text: str) -> list[str]:
         """Words with the blanks after them; together they are the text."""
@@ -129,12 +129,11 @@ class WordCodec:
             parts = self.specials.split(text) if "<|" in text else [text]
             cut.append([w for p in parts for w in ([p] if p in self.special else self.words(self.normal(p)))] if len(parts) > 1
                        else self.words(self.normal(text)))
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
+        self.known.make_room()
         if not self.known:
             self.known.update((s, (np.array([i], dtype="<u4").tobytes(), s)) for s, i in self.special.items())
         fresh = self.learn({w for words in cut for w in words}.difference(self.known))
-        self.known.update((w, v) for w, v in fresh.items() if len(w) <= CACHED_CHARS)
+        self.known.add({w: v for w, v in fresh.items() if len(w) <= CACHED_CHARS}, 320)
         out = []
         for words in cut:
             try:
@@ -156,7 +155,7 @@ def codec(path: str | None) -> WordCodec:
 def encode_decode(docs: DataFrame, vocab_path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, ids (binary, little-endian unsigned 32-bit), decoded (string).
 
-    Null text counts as empty: no ids, empty decoded text. Repeated rows give repeated results.
+    Null text counts as empty: no ids, empty decoded text. A very long text is cut in halves and joined again. Repeated rows give repeated results.
     """
     def work(texts: list[str]) -> dict:
         found = codec(vocab_path)(texts)

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Characters of text that a task takes into Python objects at once.
-SLICE_CHARS = 4_000_000
+#: Bytes of text that a task takes into Python objects at once.
+SLICE_BYTES = 2_000_000
+#: Bytes a worker may spend on results of words it has met, about.
+CACHE_BYTES = 20_000_000
 
 
 def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -18,18 +23,52 @@ def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Record batches cut to a bounded number of characters (one longer text stands alone), with the texts of one column."""
+def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Record batches cut to ``most`` bytes of text (one longer text stands alone), with the texts of one column.
+
+    Sizes come from the Arrow column; only the texts of one slice are Python objects at a time.
+    """
     for batch in batches:
-        texts = batch.column(column).to_pylist()
-        start, chars = 0, 0
-        for i, text in enumerate(texts):
-            if i > start and chars + len(text) > SLICE_CHARS:
-                yield batch.slice(start, i - start), texts[start:i]
-                start, chars = i, 0
-            chars += len(text)
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+        start, n = 0, batch.num_rows
+        ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), dtype=np.int64)
+        while start < n:
+            before = ends[start - 1] if start else 0
+            stop = max(int(np.searchsorted(ends, before + most, side="right")), start + 1)
+            part = batch.slice(start, stop - start)
+            yield part, part.column(column).to_pylist()
+            start = stop
+
+
+class Words(dict):
+    """Results of words met before; emptied when they take more than ``CACHE_BYTES``, by an estimate."""
+
+    held = 0
+
+    def make_room(self) -> bool:
+        """Empties a full cache."""
+        if full := self.held > CACHE_BYTES:
+            self.clear()
+            self.held = 0
+        return full
+
+    def add(self, found: dict, each: int) -> None:
+        """``each``: bytes of an entry beside its word's letters."""
+        self.update(found)
+        self.held += 2 * sum(map(len, found)) + each * len(found)
+
+
+def release() -> None:
+    """Gives free memory of a worker back at the end of a task: an idle worker stays beside the tasks of the next stage."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id and text hash are not in ``gone`` (one column ``__gone``: struct of doc_id, digest)."""
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
+    same = (docs[id_col].cast("long") == gone["__gone.doc_id"]) & (F.xxhash64(text) == gone["__gone.digest"])
+    return docs.join(gone, same, "left_anti")
 
 
 def map_texts(df: DataFrame, work: Callable[[list[str]], dict[str, list]], schema: str, keep: list[str]) -> DataFrame:
@@ -42,6 +81,7 @@ def map_texts(df: DataFrame, work: Callable[[list[str]], dict[str, list]], schem
             made = work(texts)
             columns = [part.column(c) for c in keep] + [v if isinstance(v, pa.Array) else pa.array(v) for v in made.values()]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, *made])
+        release()
 
     return df.mapInArrow(run, schema)
 

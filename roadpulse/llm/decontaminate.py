@@ -13,12 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, stored
+from .common import id_and_text, stored, without
 
 SHINGLE, SIMILARITY = 5, 0.8
 BLOCKS, BLOCK_BITS, RADIUS = 43, 3, 42
-#: Distinct item shingles up to which they are sent to all tasks (16 MB); beyond it, the join is left to a shuffle.
-MOST_SENT = 1_000_000
 
 
 def words_of(text: Column) -> Column:
@@ -88,8 +86,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
 
     Items shorter than five words are one shingle of their length; items and texts without words match nothing, as do null
     texts. A document shorter than an item is compared as a whole. Rows without an id are read but never reported; repeated
-    documents are one, and repeated items give the same rows once.
+    documents are one, and repeated items give the same rows once. Unlike texts of one id are searched one by one and
+    reported together. Very long texts are searched as a whole.
     """
+    found = _found(docs, benchmark, similarity, id_col, text_col, item_col, item_text_col)
+    return found.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"), F.sum("n_windows").alias("n_windows"))
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, similarity: float, id_col: str, text_col: str, item_col: str, item_text_col: str) -> DataFrame:
+    """One row per document, window text and item that reach the similarity, with ``digest``, a hash of the document's text."""
     items = benchmark.select(F.col(item_col).alias("item_id"), words_of(F.coalesce(F.col(item_text_col), F.lit(""))).alias("words"))
     items = items.filter((F.size("words") > 0) & F.col("item_id").isNotNull()).select(
         "item_id", F.size("words").alias("words_in"), F.least(F.size("words"), F.lit(SHINGLE)).alias("q"), "words")
@@ -98,10 +103,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
     anchors = items.select("words_in", "q", F.posexplode("item_shingles").alias("at_item", "shingle")).select(
         "q", F.xxhash64("shingle").alias("h"), F.struct("words_in", "at_item").alias("place")).distinct()
     anchors = stored(anchors.groupBy("h", "q").agg(F.collect_set("place").alias("places")), "anchors")
-    if anchors.count() <= MOST_SENT:
-        anchors = F.broadcast(anchors)
 
-    rows = id_and_text(docs, id_col, text_col).filter("doc_id is not null").select("doc_id", words_of(F.col("text")).alias("words"))
+    rows = id_and_text(docs, id_col, text_col).filter("doc_id is not null").select(
+        "doc_id", F.xxhash64("text").alias("digest"), words_of(F.col("text")).alias("words"))
     sizes = [r["q"] for r in items.select("q").distinct().collect()] or [SHINGLE]  # at most five
     def hashed(q: int) -> Column:
         """(hash, size, place) of all runs of q words; none where the text is shorter."""
@@ -111,38 +115,37 @@ def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY,
         return F.when(last >= 0, runs).otherwise(F.array().cast("array<struct<h:bigint,q:int,at:int>>"))
 
     hashes = F.flatten(F.array(*[hashed(q) for q in sizes])) if len(sizes) > 1 else hashed(sizes[0])
-    places = rows.select("doc_id", F.size("words").alias("n"), F.inline(hashes)).join(anchors, ["h", "q"]).select(
-        "doc_id", "n", F.explode("places").alias("place"), "at")
+    places = rows.select("doc_id", "digest", F.size("words").alias("n"), F.inline(hashes)).join(anchors, ["h", "q"]).select(
+        "doc_id", "digest", "n", F.explode("places").alias("place"), "at")
     width = F.least(F.col("n"), F.col("place.words_in"))
     start = F.least(F.greatest(F.col("at") - F.col("place.at_item"), F.lit(0)), F.col("n") - width)
-    hits = places.groupBy("doc_id", "n", F.col("place.words_in").alias("words_in"), width.alias("width")).agg(
+    hits = places.groupBy("doc_id", "digest", "n", F.col("place.words_in").alias("words_in"), width.alias("width")).agg(
         F.array_sort(F.collect_set("at")).alias("ats"), F.collect_set(start).alias("aligned"))
     size = F.least(F.col("words_in"), F.lit(SHINGLE))
     hits = hits.withColumn("m", F.col("width") - size + 1)
     hits = hits.withColumn("need", least_common(F.col("m"), F.col("words_in") - size + 1, similarity)).filter("size(ats) >= need")
-    spans = hits.select("doc_id", "words_in", "aligned", F.explode(starts_with_hits()).alias("start"))
-    spans = stored(spans.select("doc_id", "words_in", "start", F.array_contains("aligned", F.col("start")).alias("aligned")), "spans")
+    spans = hits.select("doc_id", "digest", "words_in", "aligned", F.explode(starts_with_hits()).alias("start"))
+    spans = stored(spans.select("doc_id", "digest", "words_in", "start", F.array_contains("aligned", F.col("start")).alias("aligned")), "spans")
 
-    held = rows.join(spans.select("doc_id").distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    held = rows.join(spans.select("doc_id", "digest").distinct(), ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
     # A slice goes over its whole array, so a window is cut once, not once for each of its shingles.
     window = F.array(F.slice("words", F.col("start") + 1, F.col("words_in")))
-    windows = spans.join(held, "doc_id").select("doc_id", "words_in", "aligned", F.get(
+    windows = spans.join(held, ["doc_id", "digest"]).select("doc_id", "digest", "words_in", "aligned", F.get(
         F.transform(window, lambda w: shingles_of(w, F.least("words_in", F.lit(SHINGLE)))), F.lit(0)).alias("shingles"))
-    windows = windows.groupBy("doc_id", "words_in", "shingles").agg(F.count_if("aligned").alias("n_windows"))
+    windows = windows.groupBy("doc_id", "digest", "words_in", "shingles").agg(F.count_if("aligned").alias("n_windows"))
     windows = stored(windows.withColumn("low", fingerprint("shingles", 1)).withColumn("high", fingerprint("shingles", 2)), "windows")
 
-    w = windows.select("doc_id", "words_in", "n_windows", "shingles", F.col("low").alias("w_low"), F.col("high").alias("w_high"),
+    w = windows.select("doc_id", "digest", "words_in", "n_windows", "shingles", F.col("low").alias("w_low"), F.col("high").alias("w_high"),
                        F.explode(blocks_of("low", "high")).alias("block"))
     i = items.select("item_id", "words_in", "item_shingles", "low", "high", F.explode(blocks_of("low", "high")).alias("block"))
     apart = F.bit_count(F.col("low").bitwiseXOR(F.col("w_low"))) + F.bit_count(F.col("high").bitwiseXOR(F.col("w_high")))
     # A pair may share many blocks; it goes on from the first one only.
     both = F.array_intersect(blocks_of("low", "high"), blocks_of("w_low", "w_high"))
     near = w.join(i, ["words_in", "block"]).filter(apart <= RADIUS).filter(F.array_min(both) == F.col("block"))
-    exact = near.withColumn("similarity", weighted_similarity(F.col("shingles"), F.col("item_shingles"))).filter(F.col("similarity") >= similarity)
-    return exact.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"), F.sum("n_windows").alias("n_windows"))
+    return near.withColumn("similarity", weighted_similarity(F.col("shingles"), F.col("item_shingles"))).filter(F.col("similarity") >= similarity)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents in which no item is found, with all their columns."""
-    found = leaks(docs, benchmark, similarity, id_col, text_col).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(found, docs[id_col] == found["__gone"], "left_anti")
+    """The documents in which no item is found, with all their columns. Rows of one id with unlike texts are judged one by one."""
+    found = _found(docs, benchmark, similarity, id_col, text_col, "item_id", "text")
+    return without(docs, found.select(F.struct("doc_id", "digest").alias("__gone")), id_col, text_col)

@@ -3,8 +3,7 @@
 The model is counts of letter n-grams per language, learned from a bounded number of labelled documents. A word's score for
 a language is the log-likelihood of its n-grams; languages whose texts do not use the word's script are no candidates for
 it. Along a document the best path pays a penalty for every change of language, which yields spans of mixed-language text.
-Most documents need no search over paths: when no stretch gains more in another language than one change costs, the path
-of one language is the best one, and running minima decide that for whole arrays at once.
+The search runs over all texts of a slice side by side, and over the blocks of a long text side by side.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
 from functools import reduce
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, map_texts, slices
+from .common import Words, id_and_text, map_texts, release, slices
 
 #: Labelled documents per language that the model is fitted on, about; those whose ids hash to the lowest numbers.
 FIT_DOCS_PER_LANG = 3000
@@ -32,7 +32,8 @@ SWITCH_PENALTY = 12.0
 #: A word can speak for a language against another by so much at most, so one odd word does not make a span.
 MOST_PER_WORD = 8.0
 LEAST_SCRIPT_SHARE = 0.01
-CACHED_WORDS = 300_000
+#: Steps of a score's unit, and words of a block of a long text.
+SCALE, BLOCK = 1024, 512
 UNKNOWN = "und"
 #: First letters of script ranges (fixed values of the Unicode blocks); a letter belongs to the last range that starts at or before it.
 SCRIPT_STARTS = [0x0, 0x370, 0x400, 0x530, 0x590, 0x600, 0x900, 0xE00, 0x10A0, 0x1100, 0x1E00, 0x1F00, 0x2C60, 0x3040,
@@ -108,6 +109,7 @@ def fit(labelled: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", tex
             yield pa.RecordBatch.from_pydict({"lang": [lang] * len(used), "bucket": used, "script": [None] * len(used), "n": total[used]}, schema=schema)
         for (lang, s), n in scripts.items():
             yield pa.RecordBatch.from_pydict({"lang": [lang], "bucket": [-1], "script": [s], "n": [n]}, schema=schema)
+        release()
 
     schema = pa.schema([("lang", pa.string()), ("bucket", pa.int64()), ("script", pa.string()), ("n", pa.int64())])
     counted = picked.select("lang", "text").repartition(12, F.xxhash64("text")).mapInArrow(count, "lang string, bucket long, script string, n long")
@@ -127,102 +129,168 @@ def fit(labelled: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", tex
     return Model(langs, np.log(counts / counts.sum(axis=0)).astype(np.float32), scripts)
 
 
-def one_language(scores: np.ndarray, penalty: float) -> int:
-    """The language of the best path when that is one without changes, else -1."""
-    first = int(scores.sum(axis=0).argmax())
-    own = scores[:, first]
-    for k in range(scores.shape[1]):
-        if k != first:
-            gained = np.zeros(len(scores) + 1)
-            np.cumsum(scores[:, k] - own, out=gained[1:])
-            if (gained - np.minimum.accumulate(gained)).max() > penalty:
-                return -1
-    return first
+def sweep(scores: np.ndarray, start: np.ndarray, size: np.ndarray, total: np.ndarray, penalty, back: np.ndarray | None = None) -> np.ndarray:
+    """Viterbi over many rows side by side, a word of each at a step; returns ``total`` (row x language) after their last words.
 
-
-def best_path(scores: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray:
-    """Viterbi: the language of each word on the path with the largest sum of scores less ``penalty`` per change.
-
-    Of equal paths, the one of a single language wins, then the smaller language number.
+    Row r reads the scores of the words from ``start[r]`` on; ``size`` falls from row to row. ``back`` takes the language
+    of the word before, for every word and language; staying wins over changing.
     """
-    first = one_language(scores, penalty)
-    if first >= 0:
-        return np.full(len(scores), first)
-    n, k = scores.shape
-    back = np.empty((n, k), dtype=np.int32)
-    total = scores[0].astype(float)
-    for i in range(1, n):
-        top = int(np.argmax(total))
-        stay = total >= total[top] - penalty
-        back[i] = np.where(stay, np.arange(k), top)
-        total = np.where(stay, total, total[top] - penalty) + scores[i]
-    path = np.empty(n, dtype=np.int64)
-    path[-1] = int(np.argmax(total))
-    for i in range(n - 1, 0, -1):
-        path[i - 1] = back[i, path[i]]
+    own = np.arange(scores.shape[1])
+    live = len(size) - np.searchsorted(size[::-1], np.arange(size[0] if len(size) else 0), side="right")
+    for i, m in enumerate(live.tolist()):
+        now, at = total[:m], start[:m] + i
+        top = now.argmax(axis=1)
+        changed = now[np.arange(m), top][:, None] - penalty
+        if back is not None:
+            back[at] = np.where(now >= changed, own, top[:, None])
+        np.maximum(now, changed, out=now)
+        now += scores[at]
+    return total
+
+
+def trace(back: np.ndarray, start: np.ndarray, size: np.ndarray, last: np.ndarray, path: np.ndarray) -> None:
+    """Follows ``back`` from the languages of the last words and writes the languages of all words to ``path``."""
+    state = last.copy()
+    live = len(size) - np.searchsorted(size[::-1], np.arange(size[0] if len(size) else 0), side="right")
+    for i in range(len(live) - 1, -1, -1):
+        m = live[i]
+        at = start[:m] + i
+        path[at] = state[:m]
+        state[:m] = back[at, state[:m]]
+
+
+def best_paths(scores: np.ndarray, sizes: np.ndarray, penalty) -> np.ndarray:
+    """Viterbi: the language of every word on its text's path with the largest sum of scores less ``penalty`` per change.
+
+    ``scores`` (word x language) holds the texts one behind the other, ``sizes`` their numbers of words. Texts go side by
+    side; one of more than ``BLOCK`` words is cut into blocks that go side by side as well, each once for every language
+    before it, and the blocks' (max, +) matrices are chained. Of equal paths, one of a single language wins.
+    """
+    k = scores.shape[1]
+    kind, never = (np.int64, -(1 << 50)) if scores.dtype.kind == "i" else (np.float64, -1e18)
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    path, back = np.zeros(len(scores), dtype=np.int64), np.zeros(scores.shape, dtype=np.int16)
+    before = np.where(np.eye(k, dtype=bool), kind(0), kind(never))
+
+    rows = np.flatnonzero((sizes > 0) & (sizes <= BLOCK))
+    rows = rows[np.argsort(-sizes[rows], kind="stable")]
+    total = sweep(scores, starts[rows], sizes[rows], np.zeros((len(rows), k), dtype=kind), penalty, back)
+    trace(back, starts[rows], sizes[rows], total.argmax(axis=1), path)
+
+    long = np.flatnonzero(sizes > BLOCK)
+    if len(long):
+        first = np.concatenate([np.arange(starts[t], ends[t], BLOCK) for t in long])
+        size = np.concatenate([np.minimum(BLOCK, ends[t] - np.arange(starts[t], ends[t], BLOCK)) for t in long])
+        order = np.argsort(-size, kind="stable")
+        made = sweep(scores, np.repeat(first[order], k), np.repeat(size[order], k), np.tile(before, (len(order), 1)), penalty).reshape(-1, k, k)
+        gain = np.empty_like(made)
+        gain[order] = made
+        enter, leave, b = np.empty(len(first), dtype=np.int64), np.empty(len(first), dtype=np.int64), 0
+        for t in long:
+            blocks = range(b, b + -(-int(sizes[t]) // BLOCK))
+            total, came = np.zeros(k, dtype=kind), []
+            for b in blocks:
+                ways = total[:, None] + gain[b]
+                came.append(ways.argmax(axis=0))
+                total = ways.max(axis=0)
+            state = int(total.argmax())
+            for b, by in zip(reversed(blocks), reversed(came)):
+                leave[b] = state
+                enter[b] = state = by[state]
+            b = blocks.stop
+        sweep(scores, first[order], size[order], before[enter[order]], penalty, back)
+        trace(back, first[order], size[order], leave[order], path)
+
+    # Of equal paths the one of a single language wins.
+    some = np.flatnonzero(sizes > 0)
+    if len(some):
+        whole = np.add.reduceat(scores, starts[some], axis=0, dtype=kind)
+        of = np.repeat(np.arange(len(some)), sizes[some])
+        changes = np.bincount(of[1:], weights=(path[1:] != path[:-1]) & (of[1:] == of[:-1]), minlength=len(some)).astype(np.int64)
+        gained = np.add.reduceat(scores[np.arange(len(path)), path], starts[some], dtype=kind) - penalty * changes
+        single = (changes > 0) & (whole.max(axis=1) >= gained)
+        path = np.where(single[of], whole.argmax(axis=1)[of], path)
     return path
 
 
+def best_path(scores: np.ndarray, penalty: float = SWITCH_PENALTY) -> np.ndarray:
+    """The best path of one text."""
+    return best_paths(scores, np.array([len(scores)]), penalty)
+
+
 class Labeller:
-    """Labels texts with a model; remembers the scores of a bounded number of words."""
+    """Labels texts with a model; remembers the scores of words, as many as ``CACHE_BYTES`` hold. Scores are whole numbers,
+    so sums and ties do not depend on the order of additions."""
 
     def __init__(self, model: Model) -> None:
-        self.model, self.known = model, {}
-        self.table, self.lengths = np.empty((0, len(model.langs)), dtype=np.float32), np.empty(0, dtype=np.int64)
+        self.model, self.known = model, Words()
+        self.table, self.lengths = np.empty((0, len(model.langs)), dtype=np.int32), np.empty(0, dtype=np.int64)
 
     def learn(self, words: list[str]) -> None:
         made = np.zeros((len(words), len(self.model.langs)), dtype=np.float32)
-        for lo in range(0, len(words), 50_000):
-            owner, bucket = ngram_buckets(words[lo : lo + 50_000])
+        for lo in range(0, len(words), 20_000):
+            owner, bucket = ngram_buckets(words[lo : lo + 20_000])
             for k in range(made.shape[1]):
-                made[lo : lo + 50_000, k] = np.bincount(owner, weights=self.model.scores[bucket, k], minlength=len(words[lo : lo + 50_000]))
+                made[lo : lo + 20_000, k] = np.bincount(owner, weights=self.model.scores[bucket, k], minlength=len(words[lo : lo + 20_000]))
         made -= made.max(axis=1, keepdims=True)
         np.maximum(made, -MOST_PER_WORD, out=made)
-        scripts = [script_of(w) for w in words]
+        scripts = np.array([script_of(w) for w in words])
         for s, users in self.model.scripts.items():
             if not users.all():
-                made[np.ix_([x == s for x in scripts], ~users)] = -MOST_PER_WORD
-        self.known.update(zip(words, range(len(self.table), len(self.table) + len(words))))
-        self.table = np.concatenate([self.table, made])
+                made[np.ix_(scripts == s, ~users)] = -MOST_PER_WORD
+        self.known.add(dict(zip(words, range(len(self.table), len(self.table) + len(words)))), 200 + 4 * made.shape[1])
+        self.table = np.concatenate([self.table, np.rint(made * SCALE).astype(np.int32)])
         self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, words), dtype=np.int64, count=len(words))])
 
     def __call__(self, texts: list[str]) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
         """(language, score, spans as (start word, end word, language)) of each text."""
-        cut = [(ASCII_WORDS if t.isascii() else WORDS).findall(t.lower()) for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known, self.table, self.lengths = {}, self.table[:0], self.lengths[:0]
-        if self.model.langs:
-            fresh = {w for words in cut for w in words}.difference(self.known)
-            if fresh:
-                self.learn(sorted(fresh))
-        return [self.label(words) for words in cut]
-
-    def label(self, words: list[str]) -> tuple[str, float, list[tuple[int, int, str]]]:
         langs = self.model.langs
-        if not words or not langs:
-            return UNKNOWN, 0.0, []
-        at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
-        scores = self.table[at]
-        single = one_language(scores, SWITCH_PENALTY)
-        if single >= 0:
-            own = scores.sum(axis=0, dtype=float)
-            sure = 1.0 / np.exp(np.minimum(own - own[single], 0)).sum() if len(langs) > 1 else 1.0
-            return langs[single], float(sure), [(0, len(words), langs[single])]
-        path = best_path(scores)
-        letters = self.lengths[at]
-        share = np.bincount(path, weights=letters, minlength=len(langs)) / letters.sum()
-        best = int(np.argmax(share))
+        if not langs:
+            return [(UNKNOWN, 0.0, [])] * len(texts)
+        cut = [(ASCII_WORDS if t.isascii() else WORDS).findall(t.lower()) for t in texts]
+        if self.known.make_room():
+            self.table, self.lengths = self.table[:0].copy(), self.lengths[:0].copy()
+        fresh = {w for words in cut for w in words}.difference(self.known)
+        if fresh:
+            self.learn(sorted(fresh))
+        sizes = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), dtype=np.int64, count=int(sizes.sum()))
+        return self.label(at, sizes)
+
+    def label(self, at: np.ndarray, sizes: np.ndarray) -> list[tuple[str, float, list[tuple[int, int, str]]]]:
+        """The results of texts given as places of their words in the table, one text behind the other."""
+        langs, some = self.model.langs, np.flatnonzero(sizes > 0)
+        found = [(UNKNOWN, 0.0, [])] * len(sizes)
+        if not len(some):
+            return found
+        k, scores, letters, n = len(langs), self.table[at], self.lengths[at], sizes[some]
+        path = best_paths(scores, n, int(SWITCH_PENALTY * SCALE))
+        starts, of = np.cumsum(n) - n, np.repeat(np.arange(len(n)), n)
+        share = np.bincount(of * k + path, weights=letters, minlength=len(n) * k).reshape(-1, k)
+        share /= share.sum(axis=1, keepdims=True)
+        best = share.argmax(axis=1)
         # How sure the words of the winning spans are of it, against the next language.
-        own = scores[path == best].sum(axis=0)
-        sure = 1.0 / np.exp(np.minimum(own - own[best], 0)).sum() if len(langs) > 1 else 1.0
-        cuts = np.concatenate([[0], np.flatnonzero(np.diff(path)) + 1, [len(path)]]).tolist()
-        return langs[best], float(share[best] * sure), [(a, b, langs[path[a]]) for a, b in zip(cuts, cuts[1:])]
+        own = np.add.reduceat(np.where((path == best[of])[:, None], scores, 0), starts, axis=0, dtype=np.int64)
+        above = np.minimum(own - own[np.arange(len(n)), best][:, None], 0) / SCALE
+        score = share[np.arange(len(n)), best] / np.exp(above).sum(axis=1)
+        opens = np.ones(len(path), dtype=bool)
+        opens[1:] = (path[1:] != path[:-1]) | (of[1:] != of[:-1])
+        cuts = np.flatnonzero(opens)
+        stops = np.append(cuts[1:], len(path)) - starts[of[cuts]]
+        spans: list[list[tuple[int, int, str]]] = [[] for _ in n]
+        for t, a, b, x in zip(of[cuts].tolist(), (cuts - starts[of[cuts]]).tolist(), stops.tolist(), path[cuts].tolist()):
+            spans[t].append((a, b, langs[x]))
+        for i, x, s, own_spans in zip(some.tolist(), best.tolist(), score.tolist(), spans):
+            found[i] = langs[x], s, own_spans
+        return found
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, lang_pred, score (0 to 1), spans (of words: start, end, language).
 
-    ``und`` with score 0 and no spans when the text is null or has no letter. Repeated rows give repeated results.
+    ``und`` with score 0 and no spans when the text is null or has no letter. A very long text is a slice of its own, read
+    as a whole. Repeated rows give repeated results.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # buckets x languages numbers
     held: list[Labeller] = []
@@ -262,5 +330,6 @@ def keep_identified(docs: DataFrame, least: float, id_col: str = "doc_id", text_
                     held.append(Labeller(sent.value))
                 keep += [lang != UNKNOWN and score >= least for lang, score, _ in held[0](texts)]
             yield batch.filter(pa.array(keep, pa.bool_()))
+        release()
 
     return docs.mapInArrow(run, docs.schema)

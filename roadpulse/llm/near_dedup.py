@@ -21,19 +21,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, map_texts, slices, stored
+from .common import Words, id_and_text, map_texts, release, slices, stored, without
 from .components import components
 
 SHINGLE, PERCENT = 3, 85
 #: 25 bands of 5: a pair at the threshold shares no band with a chance of 4 in 10 million.
 BANDS, ROWS = 25, 5
 COORDINATES, UNIVERSE_BITS = 128, 20
-#: Candidates of the second step agree in all but so many low bits of 128, then of 1024 coordinates. With similarity J the
+#: Candidates of the second step agree in all but so many low bits of 128 and of 1024 coordinates. With similarity J the
 #: share (1 - J) / 2 of them differs; the bounds lie five standard deviations above the mean at the threshold.
 FINE_COORDINATES, DEVIATIONS = 1024, 5.0
-#: Classes of a band up to which its pairs are formed by the first 128 bits alone.
-FEW = 8
-CACHED_WORDS = 500_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
 
@@ -49,17 +46,16 @@ class Shingler:
 
     def __init__(self, size: int) -> None:
         self.size = size
-        self.words: dict[bytes, int] = {}
+        self.words = Words()
 
     def __call__(self, text: str) -> np.ndarray:
         words = text.encode("utf-8", "replace").lower().split()  # bytes: lowers A-Z only, splits at the six ASCII blanks
         if not words:
             return np.empty(0, dtype=np.uint64)
-        if len(self.words) > CACHED_WORDS:
-            self.words.clear()
         known = self.words
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
+        known.make_room()
+        if fresh := set(words).difference(known):
+            known.add({w: xxhash.xxh3_64_intdigest(w) for w in fresh}, 200)
         ids = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
         size = min(self.size, len(ids))
         total = np.full(len(ids) - size + 1, size, dtype=np.uint64) * _ODD[4]
@@ -141,6 +137,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
                 common = len(np.intersect1d(last[1], other, assume_unique=True))
                 keep.append(100 * common >= percent * (len(last[1]) + len(other) - common))
             yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        release()
 
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
@@ -165,13 +162,14 @@ def apart(names: list[str]) -> Column:
     return reduce(lambda a, b: a + b, [F.bit_count(F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}"))) for c in names])
 
 
-def crossing(rows: DataFrame, percent: int, more: Column | None = None) -> DataFrame:
-    """Pairs (a, b) of one band and two components that may reach the threshold by their sizes and bits."""
+def crossing(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one band and two components that may reach the threshold by their sizes and bits; each in its first band only."""
+    fine = [f"fine.f{i}" for i in range(FINE_COORDINATES // 64)]
+    first_band = F.expr("array_position(zip_with(x.keys, y.keys, (a, b) -> a = b), true) = x.band + 1")
     on = ((F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.component") != F.col("y.component"))
           & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-          & (apart(["bits0", "bits1"]) <= most_bits(COORDINATES, percent)))
-    found = rows.alias("x").join(rows.alias("y"), on if more is None else on & more)
-    return found.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+          & (apart(["bits0", "bits1"]) <= most_bits(COORDINATES, percent)) & (apart(fine) <= most_bits(FINE_COORDINATES, percent)) & first_band)
+    return rows.alias("x").join(rows.alias("y"), on).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
 
 
 def near_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -179,12 +177,19 @@ def near_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id
 
     Shingles are ``size`` words, words are what stands between ASCII blanks, A-Z lowered; a shorter text is one shingle.
     Null and empty texts have none and are linked with nothing. Rows without an id stay alone, with a null component and
-    kept. Repeated rows are one document with two rows.
+    kept. Repeated rows are one document with two rows. Rows of one id with unlike sets go with equal sets of other ids, if
+    any, and else stay alone. A very long text is a slice of its own. Classes of equal sets are told apart by 128 bits.
     """
+    return _grouped(docs, size, percent, id_col, text_col).drop("digest")
+
+
+def _grouped(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``near_groups`` with ``digest``, a hash of the text that tells rows of one id apart."""
     rows = id_and_text(docs, id_col, text_col)
-    schema = "doc_id long, n long, same binary, keys array<long>, bits0 long, bits1 long"
-    sketches = stored(map_texts(rows, lambda texts: sketch(texts, size), schema, ["doc_id"]), "sketches")
-    classes = sketches.filter("n > 0 and doc_id is not null").groupBy("same", "n", "keys", "bits0", "bits1").agg(F.min("doc_id").alias("rep"))
+    schema = "doc_id long, digest long, n long, same binary, keys array<long>, bits0 long, bits1 long"
+    sketches = stored(map_texts(rows.withColumn("digest", F.xxhash64("text")), lambda texts: sketch(texts, size), schema, ["doc_id", "digest"]), "sketches")
+    unlike = sketches.groupBy("doc_id").agg(F.min(F.xxhash64("same")).alias("low"), F.max(F.xxhash64("same")).alias("high")).filter("low < high")
+    classes = sketches.filter("n > 0 and doc_id is not null").join(unlike, "doc_id", "left_anti").groupBy("same", "n", "keys", "bits0", "bits1").agg(F.min("doc_id").alias("rep"))
     banded = classes.select("rep", "n", "bits0", "bits1", F.posexplode("keys").alias("band", "key"))
 
     shared = banded.groupBy("key").agg(F.min("rep").alias("a"), F.count(F.lit(1)).alias("in_band")).filter("in_band > 1").drop("in_band")
@@ -196,34 +201,30 @@ def near_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id
     links = stored(confirmed(first.select("a", "b"), texts, size, percent), "links")
     found = components(links)
 
-    # Bands that still hold several components: only classes of different components are compared. In bands of many
-    # classes the finer bits, and the rule that a pair counts in its first band only, come before any pair is made.
+    # Bands that still hold several components: only classes of different components are compared. The finer bits,
+    # and the rule that a pair counts in its first band only, come before any pair is made.
     placed = members.join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    open_bands = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("in_band"))
-    open_bands = open_bands.filter("low < high").select("key", "in_band")
-    placed = stored(placed.join(open_bands, "key").select("key", "band", "rep", "n", "bits0", "bits1", "component", "in_band"), "open")
-    crowded = placed.filter(F.col("in_band") > FEW)
-    fine = fine_bits(texts.join(crowded.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), size)
-    crowded = stored(crowded.join(fine, "rep").join(classes.select("rep", "keys"), "rep"), "crowded")
-    fine_names = [f"fine.f{i}" for i in range(FINE_COORDINATES // 64)]
-    first_band = F.expr("array_position(zip_with(x.keys, y.keys, (a, b) -> a = b), true) = x.band + 1")
-    alike = (apart(fine_names) <= most_bits(FINE_COORDINATES, percent)) & first_band
-    second = crossing(placed.filter(F.col("in_band") <= FEW), percent).union(crossing(crowded, percent, alike)).distinct()
-    second = second.join(first, ["a", "b"], "left_anti")
+    open_bands = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    open_bands = open_bands.filter("low < high").select("key")
+    placed = stored(placed.join(open_bands, "key").select("key", "band", "rep", "n", "bits0", "bits1", "component"), "open")
+    fine = fine_bits(texts.join(placed.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), size)
+    placed = stored(placed.join(fine, "rep").join(classes.select("rep", "keys"), "rep"), "crossing")
+    second = crossing(placed, percent).distinct().join(first, ["a", "b"], "left_anti")
     more = stored(confirmed(stored(second, "pairs"), texts, size, percent), "links")
     if not more.isEmpty():
         found = components(links.union(more))
 
     of_class = classes.select("same", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         "same", F.coalesce("component", "rep").alias("component"))
-    placed_rows = sketches.filter("n > 0").join(of_class, "same", "left").select("doc_id", "n", "component")
-    alone = sketches.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component"))
+    placed_rows = sketches.filter("n > 0").join(of_class, "same", "left").select(
+        "doc_id", "digest", "n", F.coalesce("component", "doc_id").alias("component"))
+    alone = sketches.filter("n = 0").select("doc_id", "digest", "n", F.col("doc_id").alias("component"))
     every = placed_rows.union(alone).withColumn("component", F.when(F.col("doc_id").isNotNull(), F.col("component")))
-    return every.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
+    return every.select("doc_id", "digest", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
                         F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, one of each group, with all their columns."""
-    gone = near_groups(docs, size, percent, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    """The documents that stay, one of each group, with all their columns. Rows of one id with unlike texts are judged one by one."""
+    gone = _grouped(docs, size, percent, id_col, text_col).filter("not kept").select(F.struct("doc_id", "digest").alias("__gone"))
+    return without(docs, gone, id_col, text_col)

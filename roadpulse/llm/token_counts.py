@@ -18,11 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, map_texts
+from .common import Words, id_and_text, map_texts
 from .cutting import Cutter
 
 LONG = 512
-CACHED_WORDS, CACHED_BYTES = 400_000, 64
+CACHED_BYTES = 64
 NEVER = np.int64(2**31)
 
 
@@ -150,7 +150,7 @@ class TokenCounter:
         self.table = MergeTable(path)
         self.words = Cutter(public_tokenizers.PATTERN)
         self.special = re.compile("(?:" + "|".join(map(re.escape, self.table.special)) + ")") if self.table.special else None
-        self.known: dict[str, int] = {}
+        self.known = Words()
 
     def __call__(self, texts: list[str]) -> list[int]:
         totals = [0] * len(texts)
@@ -161,11 +161,10 @@ class TokenCounter:
                 parts = self.special.split(text)
                 totals[i] += len(parts) - 1
             cut.append([w for p in parts for w in self.words(p)] if len(parts) > 1 else self.words(text))
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
+        self.known.make_room()
         fresh = list({w for words in cut for w in words}.difference(self.known))
         counts = dict(zip(fresh, self.table.count([w.encode("utf-8", "replace") for w in fresh]).tolist()))
-        self.known.update((w, n) for w, n in counts.items() if len(w) <= CACHED_BYTES)
+        self.known.add({w: n for w, n in counts.items() if len(w) <= CACHED_BYTES}, 170)
         for i, words in enumerate(cut):
             try:
                 totals[i] += sum(map(self.known.__getitem__, words))
@@ -185,7 +184,7 @@ def counter(path: str | None) -> TokenCounter:
 def token_counts(docs: DataFrame, limit: int = 512, vocab_path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_bytes, n_tokens, over_limit (more than ``limit`` tokens).
 
-    Null text counts as empty: no bytes, no tokens. A special string inside a text is one token, as in the library.
+    Null text counts as empty: no bytes, no tokens. A very long text is a slice of its own and is counted as a whole. A special string inside a text is one token, as in the library.
     Repeated rows give repeated results.
     """
     def work(texts: list[str]) -> dict:

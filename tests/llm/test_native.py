@@ -68,6 +68,24 @@ def test_keep_first_keeps_columns(spark, rows):
     assert {r.doc_id for r in kept.select("doc_id").collect()} == want | {None}
 
 
+ONE_ID = [(5, "a b"), (5, "ab"), (6, "some other words"), (None, "ab")]
+
+
+def test_filters_judge_unlike_texts_of_one_id_one_by_one(spark):
+    def left(kept):
+        return [(str(r.doc_id), r.text) for r in kept.orderBy("doc_id", F.length("text").desc()).select("doc_id", "text").collect()]
+
+    assert left(exact_dedup.keep_first(frame(spark, ONE_ID))) == [("None", "ab"), ("5", "a b"), ("6", "some other words")]
+    words = [f"w{i}" for i in range(40)]
+    near, apart = " ".join(words), " ".join(w.upper() + "x" for w in words)
+    rows = [(3, near), (5, apart), (5, near), (5, near + " "), (7, "short"), (7, "other"), (8, None)]
+    # The copies of 3 go, the unlike text under the same id stays, as do both unlike texts of 7.
+    assert set(left(near_dedup.keep_one(frame(spark, rows)))) == {("3", near), ("5", apart), ("7", "short"), ("7", "other"), ("8", None)}
+    items = spark.createDataFrame([(1, near)], "item_id long, text string")
+    rows = [(3, near), (5, apart), (5, "before " + near + " after"), (6, None)]
+    assert set(left(decontaminate.drop_leaks(frame(spark, rows), items))) == {("5", apart), ("6", None)}
+
+
 @pytest.mark.parametrize("size,percent", [(3, 85), (5, 80)])
 def test_near(spark, rows, size, percent):
     got = near_dedup.near_groups(frame(spark, [*rows, (None, "nameless")]), size, percent).collect()

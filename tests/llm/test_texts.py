@@ -7,10 +7,11 @@ import re
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from roadpulse.llm import bpe_tree, chat, html_text, language, secret_scan, token_counts
+from roadpulse.llm import bpe_tree, chat, common, html_text, language, secret_scan, token_counts
 
 SCHEMA = "doc_id long, text string, n_tokens string, spans string"
 
@@ -84,6 +85,75 @@ def test_language_path_is_the_best_one():
         assert value == pytest.approx(plain_viterbi(scores, 3.0)[1])
 
 
+@pytest.mark.parametrize("block", [512, 5])
+def test_language_paths_side_by_side(monkeypatch, block):
+    """Harsh scores, whole and broken numbers, many texts at once, empty ones among them, cut in blocks or not."""
+    monkeypatch.setattr(language, "BLOCK", block)
+    rng = np.random.default_rng(2)
+    for i in range(400):
+        sizes, k = rng.integers(0, 40, size=10), rng.integers(1, 7)
+        scores = -8 * rng.random((sizes.sum(), k)) if i % 2 else -rng.integers(0, 8 * language.SCALE, (sizes.sum(), k)).astype(np.int32)
+        penalty = 12.0 if i % 2 else 12 * language.SCALE
+        path = language.best_paths(scores, sizes, penalty)
+        for end, n in zip(np.cumsum(sizes), sizes):
+            if n:
+                own, part = scores[end - n : end], path[end - n : end]
+                value = own[np.arange(n), part].sum() - penalty * (np.diff(part) != 0).sum()
+                assert value == pytest.approx(plain_viterbi(own.astype(float), float(penalty))[1])
+
+
+def test_language_path_of_two_halves():
+    """One change costs 12; each half gains less than that, both together gain more."""
+    scores = np.array([[0.0, -1.0, -2.0]] * 10 + [[-2.0, -1.0, 0.0]] * 10)
+    assert language.best_path(scores, 12.0).tolist() == [0] * 10 + [2] * 10
+    assert language.best_path(scores, 25.0).tolist() == [0] * 20
+
+
+def test_language_spans_and_scores_against_plain_sums(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = language.fit(docs.filter(~language.held_out()))
+    texts = [r.text or "" for r in docs.orderBy("doc_id").limit(60).collect()]
+    texts += ["", "1 2", " ".join(texts[:8]), " ".join(texts[8:30])]
+    labeller = language.Labeller(model)
+    together = labeller(texts)
+    for text, (lang, score, spans) in zip(texts, together):
+        assert language.Labeller(model)([text])[0] == (lang, score, spans)
+        words = language.WORDS.findall(text.lower())
+        if not words:
+            assert (lang, score, spans) == ("und", 0.0, [])
+            continue
+        scores = np.array([labeller.table[labeller.known[w]] for w in words], dtype=float) / language.SCALE
+        path = [model.langs.index(x) for a, b, x in spans for _ in range(a, b)]
+        assert len(path) == len(words) and all(x[2] != y[2] and x[1] == y[0] for x, y in zip(spans, spans[1:]))
+        value = scores[np.arange(len(path)), path].sum() - language.SWITCH_PENALTY * (len(spans) - 1)
+        assert value == pytest.approx(plain_viterbi(scores, language.SWITCH_PENALTY)[1])
+        letters = {k: sum(len(w) for w, p in zip(words, path) if p == k) for k in set(path)}
+        best = max(letters, key=lambda k: (letters[k], -k))
+        own = sum(s for s, p in zip(scores, path) if p == best)
+        assert lang == model.langs[best]
+        assert score == pytest.approx(letters[best] / sum(letters.values()) / np.exp(np.minimum(own - own[best], 0)).sum())
+
+
+def test_slices_bound_the_texts_held_at_once():
+    texts = ["a" * 700, None, "é" * 300, "b" * 5000, "", "c", "d" * 999]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([t or "" for t in texts]), "i": pa.array(range(7))})
+    for offered in ([batch], [batch.slice(0, 3), batch.slice(3)]):
+        parts = list(common.slices(offered, "text", 1000))
+        assert [t for _, found in parts for t in found] == [t or "" for t in texts]
+        assert [i for part, _ in parts for i in part.column("i").to_pylist()] == list(range(7))
+        assert all(len(found) == 1 or sum(len(t.encode()) for t in found) <= 1000 for _, found in parts)
+    assert list(common.slices([batch.slice(0, 0)], "text")) == []
+
+
+def test_word_caches_are_emptied_when_full(monkeypatch):
+    monkeypatch.setattr(common, "CACHE_BYTES", 1000)
+    known = common.Words()
+    known.add({"a": 1, "b" * 300: 2}, 100)
+    assert not known.make_room() and len(known) == 2
+    known.add({"c" * 200: 3}, 100)
+    assert known.make_room() and not known and not known.make_room()
+
+
 def test_language(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     model = language.fit(docs.filter(~language.held_out()))
