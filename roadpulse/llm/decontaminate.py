@@ -5,7 +5,10 @@ the similarity has so many shingles of items of its size that a count of them te
 can't reach it, so leaving them out loses nothing. A document with fewer words than an item is one window. Every window left gets a 128-bit SimHash of its
 weighted shingles (weight: how often a shingle occurs in it). The fingerprints are cut into 43 blocks of 3 bits (the last
 has 2); of two that differ in at most 42 bits at least one block is equal, so a join on (window size, block number, block)
-finds all items within that radius. It lies five deviations above the mean at similarity 0.8. Pairs within the radius are then compared exactly: sum of lesser over sum of greater weights of the shingles.
+finds all items within that radius. It lies five deviations above the mean at similarity 0.8. Blocks of 3 bits alone would
+let most pairs meet, so the key also holds one of the first shingles in hash order: two lists that reach the similarity
+share one of these, which is exact. Pairs within the radius are then compared exactly: sum of lesser over sum of greater
+weights of the shingles.
 """
 
 from __future__ import annotations
@@ -61,6 +64,17 @@ def weighted_similarity(a: Column, b: Column) -> Column:
     return common / (F.size(a) + F.size(b) - common)
 
 
+def early(shingles: str, n: Column) -> Column:
+    """The distinct hashes among the ``n`` least, counted with repeats: two lists of ``a`` and ``b`` shingles with ``c`` or more in
+    common share one of their ``a - c + 1`` and ``b - c + 1`` least."""
+    return F.array_distinct(F.slice(F.array_sort(F.transform(shingles, lambda s: F.xxhash64(s))), F.lit(1), n))
+
+
+def keys_of(hashes: Column, blocks: Column) -> Column:
+    """One key for each pair of an early shingle and a block."""
+    return F.flatten(F.transform(hashes, lambda h: F.transform(blocks, lambda b: F.xxhash64(h, b))))
+
+
 def least_common(a: Column, b: Column, similarity: float) -> Column:
     """Shingles that two lists of ``a`` and ``b`` shingles have in common at least, if they reach the similarity."""
     return F.greatest(F.ceil((a + b) * (similarity / (1 + similarity)) - 1e-6), F.lit(1)).cast("int")
@@ -99,7 +113,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, similarity: float, id_col: str
     items = items.filter((F.size("words") > 0) & F.col("item_id").isNotNull()).select(
         "item_id", F.size("words").alias("words_in"), F.least(F.size("words"), F.lit(SHINGLE)).alias("q"), "words")
     items = items.withColumn("item_shingles", shingles_of(F.col("words"), F.col("q"))).drop("words").distinct()
-    items = stored(items.withColumn("low", fingerprint("item_shingles", 1)).withColumn("high", fingerprint("item_shingles", 2)), "items")
+    items = stored(items.withColumn("item", F.monotonically_increasing_id()).withColumn("low", fingerprint("item_shingles", 1)).withColumn("high", fingerprint("item_shingles", 2)), "items")
     anchors = items.select("words_in", "q", F.posexplode("item_shingles").alias("at_item", "shingle")).select(
         "q", F.xxhash64("shingle").alias("h"), F.struct("words_in", "at_item").alias("place")).distinct()
     anchors = stored(anchors.groupBy("h", "q").agg(F.collect_set("place").alias("places")), "anchors")
@@ -133,15 +147,21 @@ def _found(docs: DataFrame, benchmark: DataFrame, similarity: float, id_col: str
     windows = spans.join(held, ["doc_id", "digest"]).select("doc_id", "digest", "words_in", "aligned", F.get(
         F.transform(window, lambda w: shingles_of(w, F.least("words_in", F.lit(SHINGLE)))), F.lit(0)).alias("shingles"))
     windows = windows.groupBy("doc_id", "digest", "words_in", "shingles").agg(F.count_if("aligned").alias("n_windows"))
+    # Few bytes, much work: rows are spread over all tasks, whatever the size of their files.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    windows = windows.repartition(tasks, "doc_id", "digest", "shingles").withColumn("window", F.monotonically_increasing_id())
     windows = stored(windows.withColumn("low", fingerprint("shingles", 1)).withColumn("high", fingerprint("shingles", 2)), "windows")
 
-    w = windows.select("doc_id", "digest", "words_in", "n_windows", "shingles", F.col("low").alias("w_low"), F.col("high").alias("w_high"),
-                       F.explode(blocks_of("low", "high")).alias("block"))
-    i = items.select("item_id", "words_in", "item_shingles", "low", "high", F.explode(blocks_of("low", "high")).alias("block"))
+    # Narrow rows meet on (size, early shingle, block); what is within the radius is listed once and gets its shingles back.
+    m, of_item = F.size("shingles"), F.col("words_in") - F.least(F.col("words_in"), F.lit(SHINGLE)) + 1
+    w = windows.select("window", "words_in", F.col("low").alias("w_low"), F.col("high").alias("w_high"), F.explode(
+        keys_of(early("shingles", m - least_common(m, of_item, similarity) + 1), blocks_of("low", "high"))).alias("key"))
+    i = items.select("item", "words_in", "low", "high", F.explode(
+        keys_of(early("item_shingles", of_item - F.ceil(of_item * similarity - 1e-6).cast("int") + 1), blocks_of("low", "high"))).alias("key"))
     apart = F.bit_count(F.col("low").bitwiseXOR(F.col("w_low"))) + F.bit_count(F.col("high").bitwiseXOR(F.col("w_high")))
-    # A pair may share many blocks; it goes on from the first one only.
-    both = F.array_intersect(blocks_of("low", "high"), blocks_of("w_low", "w_high"))
-    near = w.join(i, ["words_in", "block"]).filter(apart <= RADIUS).filter(F.array_min(both) == F.col("block"))
+    near = w.join(i, ["words_in", "key"]).filter(apart <= RADIUS).select("window", "item").distinct()
+    near = near.join(windows.drop("low", "high"), "window").join(items.select("item", "item_id", "item_shingles"), "item")
+    near = stored(near.select("doc_id", "digest", "n_windows", "shingles", "item_id", "item_shingles"), "near")
     return near.withColumn("similarity", weighted_similarity(F.col("shingles"), F.col("item_shingles"))).filter(F.col("similarity") >= similarity)
 
 
