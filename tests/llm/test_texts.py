@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import string
 
 import numpy as np
 import pandas as pd
@@ -216,6 +217,51 @@ def test_secrets(spark):
     assert all(got[i].spans == "" for i in (2, 3, 4, 5))
 
 
+def plain_stretches(sizes, most):
+    """The dearest stretch, then the same to its left and to its right."""
+    def go(a, b):
+        best = max(((sum(most - z for z in sizes[i:j]), i, j) for i in range(a, b) for j in range(i + 1, b + 1)), default=(0, 0, 0))
+        return [] if best[0] <= 0 else go(a, best[1]) + [best[1:]] + go(best[2], b)
+
+    return go(0, len(sizes))
+
+
+def test_stretches_are_all_the_dearest_ones():
+    rnd = random.Random(3)
+    for _ in range(300):
+        sizes = [rnd.random() * 4 for _ in range(rnd.randrange(25))]
+        assert secret_scan.stretches(sizes, 2.0) == plain_stretches(sizes, 2.0)
+
+
+def found_by(text):
+    return [text[a:b] for a, b, _ in secret_scan.random_spans(text, secret_scan.base_spans(text), secret_scan.MOST_CHARS_PER_TOKEN, None)]
+
+
+@pytest.mark.parametrize("before", ["", "services/production/deployment/configuration/", "download/account/settings/profile/", "user_profile_settings_"])
+@pytest.mark.parametrize("letters, share", [(string.ascii_letters + string.digits, 0.99), (string.ascii_lowercase, 0.93), (string.ascii_uppercase, 0.97)])
+def test_keys_behind_readable_words(before, letters, share):
+    rnd = random.Random(1)
+    keys = ["".join(rnd.choice(letters) for _ in range(32)) for _ in range(200)]
+    assert sum(bool(found_by(f"see {before}{k} there")) for k in keys) >= share * len(keys)
+    for k in keys[:50]:
+        assert "".join(found_by(before + k)) in before + k
+
+
+@pytest.mark.parametrize("text", [
+    "services/550e8400-e29b-41d4-a716-446655440000/settings", "sha1/DA39A3EE5E6B4B0D3255BFEF95601890AFD80709", "AbstractSingletonProxyFactoryBean",
+    "internationalization/localization", "x86_64-pc-linux-gnu-v1_0_2_beta3", "/usr/local/lib/python3/site-packages/numpy/core", "2021-01-02/2021-01-03/0001",
+    "Verwaltungsgerichtsverfahrensordnung", "a/b/c/d/e/f/g/h/i/j/k/l/m", "=-" * 15])
+def test_identifiers_are_left_alone(text):
+    assert found_by(text) == [] and found_by(f"x {text} y") == []
+
+
+def test_a_key_between_base_spans_and_digests():
+    rnd = random.Random(5)
+    one, two = ("".join(rnd.choice(string.ascii_letters + string.digits) for _ in range(32)) for _ in "ab")
+    assert found_by(f"{one}/{'0a' * 20}/{two}") == [one + "/", "/" + two]
+    assert found_by(f"{one}/550E8400-E29B-41D4-A716-446655440000/{two}") == [one + "/", "/" + two]
+
+
 def test_base_spans_by_the_letter():
     rnd = random.Random(4)
     pattern = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
