@@ -23,7 +23,7 @@ def tagged(spark, sf_dir):
     """Feature rows before and after the split year, stored once like any profiled table."""
 
     def make():
-        before, after = temporal_split(v.features(spark, sf_dir), v.SPLIT_YEAR)
+        before, after = temporal_split(v.feature_table(spark, sf_dir), v.SPLIT_YEAR)
         return p.concat_periods({"before": before, "after": after}, {"before": "raw", "after": "raw"})
 
     return v.stored(spark, sf_dir, "tagged", make)

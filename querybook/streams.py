@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.schemas import LIVE_SCHEMA, REPLAY_SCHEMA
 from roadpulse.session import shared_folder
+from roadpulse.sources.files import spread
 from roadpulse.sources.sinks import KeyedTable
 from roadpulse.sources.streams import replay_source
 from roadpulse.streaming import changes as sc
@@ -27,6 +28,11 @@ def _table_stream(spark, sf_dir, name):
     return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
+def _messages_stream(spark, sf_dir, name):
+    """The columns of a given table that the views need, as a file stream whose rows are dealt over all tasks before they become messages."""
+    return spread(_table_stream(spark, sf_dir, name), v.VIEWED[name])
+
+
 def _drain(query_):
     query_.awaitTermination()
 
@@ -45,7 +51,7 @@ select event_id, event_year, event_time, true_severity, cast(predicted_severity
 def stream_replay(spark, sf_dir):
     """JSON messages through the whole replay pipeline."""
     folder = shared_folder(spark, "stream-replay")
-    raw = v.raw_replay_of(_table_stream(spark, sf_dir, "orders")).withColumn("_ingested_at_utc", F.lit("2024-05-01T00:00:00+00:00"))
+    raw = v.raw_replay_of(_messages_stream(spark, sf_dir, "orders")).withColumn("_ingested_at_utc", F.lit("2024-05-01T00:00:00+00:00"))
     messages = raw.select(F.to_json(F.struct(*raw.columns)).alias("value"))
     config = sp.StreamConfig(
         f"{folder}/checkpoint", f"{folder}/table", quarantine=f"{folder}/bad", now=NOW,
@@ -106,7 +112,7 @@ def both_streams(spark, sf_dir):
     """Replay and live pipelines at the same time in one session: rows read and served by each, with the rates reported."""
     folder = shared_folder(spark, "both-streams")
     landed, schema = _landed_messages(spark, sf_dir, folder, 4)
-    live = v.live_messages(v.live_base_of(_table_stream(spark, sf_dir, "events"))).drop("event_time", "seq", "event_type")
+    live = v.live_messages(v.live_base_of(_messages_stream(spark, sf_dir, "events"))).drop("event_time", "seq", "event_type")
     text = live.select(F.to_json(F.struct(*live.columns)).alias("value"))
     configs = {n: sp.StreamConfig(f"{folder}/{n}/checkpoint", f"{folder}/{n}/table", now=NOW, name=n) for n in ("replay", "live")}
     rates = running.run_together(spark, {
@@ -133,7 +139,7 @@ select event_id, incident_id, event_time, severity, {v.write_risk_sql('severity'
 def stream_live(spark, sf_dir):
     """Live messages through the whole live pipeline, with weather."""
     folder = shared_folder(spark, "stream-live")
-    live = v.live_messages(v.live_base_of(_table_stream(spark, sf_dir, "events"))).drop("event_time", "seq", "event_type")
+    live = v.live_messages(v.live_base_of(_messages_stream(spark, sf_dir, "events"))).drop("event_time", "seq", "event_type")
     messages = live.select(F.to_json(F.struct(*live.columns)).alias("value"))
     config = sp.StreamConfig(
         f"{folder}/checkpoint", f"{folder}/table", quarantine=f"{folder}/bad", now=NOW,
@@ -167,7 +173,7 @@ def _reason_sql() -> str:
 def live_rejects(spark, sf_dir):
     """Live messages of which some are spoiled: every message is served, or quarantined with its reason."""
     folder = shared_folder(spark, "stream-rejects")
-    base = v.live_base_of(_table_stream(spark, sf_dir, "events"))
+    base = v.live_base_of(_messages_stream(spark, sf_dir, "events"))
     live = v.live_messages(base).drop("event_time", "event_type")
     live = live.withColumns({c: F.col(c).cast("string") for c in ("latitude", "longitude", "timestamp")})
     for n, column, wrong, _ in SPOILED:
@@ -194,7 +200,7 @@ def stream_scored(spark, sf_dir):
     folder = shared_folder(spark, "stream-scored")
     fitted = ml.train(v.feature_table(spark, sf_dir), DecisionTreeClassifier(maxDepth=4, seed=ml.SEED))
     save_model(fitted, f"{folder}/models")
-    raw = v.raw_replay_of(_table_stream(spark, sf_dir, "orders")).drop("predicted_severity")
+    raw = v.raw_replay_of(_messages_stream(spark, sf_dir, "orders")).drop("predicted_severity")
     messages = raw.select(F.to_json(F.struct(*raw.columns)).alias("value"))
     config = sp.StreamConfig(
         f"{folder}/checkpoint", f"{folder}/table", now=NOW, model=load_latest(spark, f"{folder}/models"),

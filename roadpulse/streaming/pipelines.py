@@ -14,6 +14,7 @@ from ..functions.risk import context_risk
 from ..operators.features import enrich_live, features_or_reason
 from ..plans.jobs import score_replay
 from ..schemas import LIVE_MESSAGE, LIVE_SCHEMA, RAW_COLUMNS, RAW_RENAMES, REPLAY_SCHEMA
+from ..session import tuned
 from ..sources.sinks import KeyedTable, write_silver
 from ..sources.streams import parse_json
 
@@ -69,9 +70,9 @@ def _start(stream: DataFrame, config: StreamConfig, step) -> StreamingQuery:
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", config.checkpoint)
     if config.name:
         writer = writer.queryName(config.name)
-    if config.seconds is None:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=f"{config.seconds} seconds").start()
+    writer = writer.trigger(availableNow=True) if config.seconds is None else writer.trigger(processingTime=f"{config.seconds} seconds")
+    with tuned(stream.sparkSession):  # a query takes the settings it is started with
+        return writer.start()
 
 
 def _quarantine(bad: DataFrame, config: StreamConfig, batch_id: int) -> None:
