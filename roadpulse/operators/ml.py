@@ -114,17 +114,18 @@ def score(df: DataFrame, model: PipelineModel) -> DataFrame:
     """
     names = [c for c in MODEL_FEATURES if c in df.columns]
     complete = ~F.exists(F.array(*[F.col(c).cast("double").isNull() for c in names]), lambda x: x)
-    marked = df.withColumn("_complete", complete)
-    ready = marked.fillna(0, subset=names)
-    out = model.transform(ready)
+    # The row passes by as one value. With its own columns filled and blanked again, the constraints that the optimizer
+    # derives of the conditions double with every column, and planning takes all of the driver's memory.
+    held = df.select(F.struct(*df.columns).alias("_row"), complete.alias("_complete"), *names).fillna(0, subset=names)
+    out = model.transform(held)
     if "probability" in out.columns:
         vector = vector_to_array("probability")
         shares = {name: F.when(F.col("_complete"), F.get(vector, c - 1)) for c, name in PROBABILITIES.items()}
     else:
         shares = {name: F.lit(None).cast("double") for name in PROBABILITIES.values()}
     predicted = F.when(F.col("_complete"), (F.col("prediction") + 1).cast("int"))
-    blanks = {c: F.when(F.col("_complete"), F.col(c)) for c in names}
-    columns = [blanks[c].alias(c) if c in blanks else F.col(c) for c in df.columns]
+    filled = {c: F.nanvl(F.col(f"_row.{c}"), F.lit(0).cast(t)) if t in ("double", "float") else F.col(f"_row.{c}") for c, t in df.dtypes if c in names}
+    columns = [F.when(F.col("_complete"), filled[c]).alias(c) if c in filled else F.col(f"_row.{c}") for c in df.columns]
     return out.select(*columns, predicted.alias("predicted_severity"), *[s.alias(n) for n, s in shares.items()])
 
 

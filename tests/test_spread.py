@@ -54,3 +54,31 @@ def test_tuning_ends_with_its_block(spark):
             assert spark.conf.get(METHOD_LIMIT) == "8000"
         assert spark.conf.get(METHOD_LIMIT) == default
     spark.conf.set(METHOD_LIMIT, before)
+
+
+def test_scoring_plans_stay_small(spark):
+    """Scored rows can be planned on; the constraints of their conditions do not double with every column."""
+    import threading
+
+    from pyspark.ml.classification import DecisionTreeClassifier
+
+    from roadpulse.operators import ml
+    from roadpulse.operators.keyed import latest_per_key
+    from roadpulse.plans.jobs import score_replay
+    from roadpulse.schemas import MODEL_FEATURES
+
+    names, nan = MODEL_FEATURES, float("nan")
+    data = [(f"e{i}", 1 + i % 2, *[float(i % (k + 2)) for k in range(len(names))]) for i in range(60)]
+    data += [("nan", 1, nan, *[1.0] * (len(names) - 1)), ("gap", 1, None, *[1.0] * (len(names) - 1))]
+    df = spark.createDataFrame(data, "event_id string, true_severity int, " + ", ".join(f"{c} double" for c in names))
+    model = ml.train(df.where("event_id not in ('nan', 'gap')"), DecisionTreeClassifier(maxDepth=3, seed=1))
+    scored = ml.score(df, model)
+    assert scored.columns == [*df.columns, "predicted_severity", "p1", "p2", "p3", "p4"] and scored.dtypes[: len(df.columns)] == df.dtypes
+    found = {r["event_id"]: r for r in scored.collect()}
+    assert len(found) == 62 and found["nan"][names[0]] == 0.0 and found["nan"]["predicted_severity"] is not None
+    assert all(found["gap"][c] is None for c in [*names, "predicted_severity", "p1"])
+    latest = latest_per_key(score_replay(df, model, now="2024-01-01 00:00:00"), "event_id", ["processed_time"])
+    planning = threading.Thread(target=lambda: latest._jdf.queryExecution().optimizedPlan(), daemon=True)
+    planning.start()
+    planning.join(40)
+    assert not planning.is_alive()
