@@ -89,6 +89,23 @@ def test_chunked_running_totals_equal_one_window(spark, skewed):
     assert rows(got) == rows(want)
 
 
+def test_limits_travel_to_the_counts(spark, skewed):
+    """A task that streams the limits holds them once for every value of a group; of a forest's scores that is all memory."""
+    ranked = running_totals(skewed.where("not isnan(x)"), ["g"], "x", {"n": F.count("*")})
+    joins = [line for line in ranked._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in line]
+    assert any("rightHint=(strategy=broadcast)" in line for line in joins)
+
+
+def test_forests_remember_the_nodes_of_rows(spark):
+    rows = spark.range(400).select(
+        F.concat(F.lit("e"), "id").alias("event_id"), (F.col("id") % 4 + 1).cast("int").alias("true_severity"),
+        *[(F.col("id") * (7 + i) % (11 + i)).cast("double").alias(c) for i, c in enumerate(MODEL_FEATURES)])
+    forests = [e for e in [*ml.estimators().values(), *ml.search_grid().values()] if type(e).__name__ == "RandomForestClassifier"]
+    assert len(forests) == 5 and all(f.getCacheNodeIds() for f in forests)
+    trees = [ml.train(rows, ml.forest(5, 6).setCacheNodeIds(kept)).stages[-1].toDebugString.split("\n", 1)[1] for kept in (True, False)]
+    assert trees[0] == trees[1]
+
+
 def _meters(a, b):
     p1, p2 = math.radians(a[0]), math.radians(b[0])
     h = math.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
