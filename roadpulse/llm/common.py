@@ -40,17 +40,24 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, most: int = SLICE_BYT
 
 
 class Words(dict):
-    """Results of words met before; emptied when they take more than ``CACHE_BYTES``, by an estimate."""
+    """Results of words met before; emptied when they take more than ``share`` times ``CACHE_BYTES``, by an estimate."""
 
     held = 0
 
+    def __init__(self, share: int = 1) -> None:
+        self.share = share
+
     def make_room(self) -> bool:
         """Empties a full cache."""
-        if full := self.held > CACHE_BYTES:
+        if full := self.held > self.share * CACHE_BYTES:
             self.clear()
             self.held = 0
         return full
 
+    def unmet(self, words: Iterable) -> set:
+        """The distinct words that are not held. A set's own ``difference`` walks through all of a subclass of dict."""
+        return {w for w in set(words) if w not in self}
+
     def add(self, found: dict, each: int) -> None:
         """``each``: bytes of an entry beside its word's letters."""
         self.update(found)

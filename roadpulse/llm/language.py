@@ -251,7 +251,7 @@ class Labeller:
         cut = [(ASCII_WORDS if t.isascii() else WORDS).findall(t.lower()) for t in texts]
         if self.known.make_room():
             self.table, self.lengths = self.table[:0].copy(), self.lengths[:0].copy()
-        fresh = {w for words in cut for w in words}.difference(self.known)
+        fresh = self.known.unmet(chain.from_iterable(cut))
         if fresh:
             self.learn(sorted(fresh))
         sizes = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))

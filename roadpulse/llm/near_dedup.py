@@ -54,7 +54,7 @@ class Shingler:
             return np.empty(0, dtype=np.uint64)
         known = self.words
         known.make_room()
-        if fresh := set(words).difference(known):
+        if fresh := known.unmet(words):
             known.add({w: xxhash.xxh3_64_intdigest(w) for w in fresh}, 200)
         ids = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
         size = min(self.size, len(ids))

@@ -12,6 +12,7 @@ import heapq
 import json
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -162,7 +163,7 @@ class TokenCounter:
                 totals[i] += len(parts) - 1
             cut.append([w for p in parts for w in self.words(p)] if len(parts) > 1 else self.words(text))
         self.known.make_room()
-        fresh = list({w for words in cut for w in words}.difference(self.known))
+        fresh = list(self.known.unmet(chain.from_iterable(cut)))
         counts = dict(zip(fresh, self.table.count([w.encode("utf-8", "replace") for w in fresh]).tolist()))
         self.known.add({w: n for w, n in counts.items() if len(w) <= CACHED_BYTES}, 170)
         for i, words in enumerate(cut):

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from roadpulse.llm import bpe_tree, chat, common, html_text, language, secret_scan, token_counts
+from roadpulse.llm import bpe_tree, chat, common, html_text, language, near_dedup, secret_scan, token_counts
 
 SCHEMA = "doc_id long, text string, n_tokens string, spans string"
 
@@ -155,6 +155,18 @@ def test_word_caches_are_emptied_when_full(monkeypatch):
     assert known.make_room() and not known and not known.make_room()
 
 
+def test_word_caches_are_looked_up_not_walked_through():
+    """A set's difference with a subclass of dict walks through all that is held, for every text anew."""
+    class Held(common.Words):
+        def __iter__(self):
+            raise AssertionError("walked through")
+
+    make = near_dedup.Shingler(3)
+    make.words = Held()
+    assert len(make("a b c d")) == 2 and len(make("a b c e")) == 2 and len(make.words) == 5
+    assert Held().unmet(["a", "b", "a"]) == {"a", "b"}
+
+
 def test_language(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     model = language.fit(docs.filter(~language.held_out()))
