@@ -12,9 +12,12 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
+import struct
 from collections.abc import Callable, Iterable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -25,6 +28,10 @@ from .cutting import Cutter
 #: Characters of a leaf of text, symbols of a leaf of one word.
 LEAF_CHARS, LEAF_SYMBOLS = 4096, 256
 CACHED_CHARS = 64
+#: Encoding a word is dear, so its results may take more room than those of others.
+CACHE_SHARE = 3
+#: Words that the library encodes in one call.
+ENCODED_AT_ONCE = 10_000
 
 #: Fixed by the vocabulary: its words; the blanks after a word, or at the start of a text, go with them here.
 WORD = r"(?:\p{L}+|'(?:[stmd]|re|ve|ll)|\p{N}|[^\s\p{L}\p{N}]+)\s*|\s+"
@@ -64,6 +71,11 @@ def tree(nodes: list[list], encode: Encode, text_of: Callable[[Iterable], str])
     return nodes[0]
 
 
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordCodec:
     """Encodes and decodes with a vocabulary of word-end BPE, as its library does for whole texts."""
 
@@ -72,6 +84,8 @@ class WordCodec:
         from tokenizers import Tokenizer
         from tokenizers.models import BPE
 
+        # Every core has a worker of its own already; threads of the library would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.normalizer = Tokenizer.from_file(path).normalizer
@@ -85,7 +99,8 @@ class WordCodec:
         self.blank = regex.compile(r"\s+")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self.known = Words()
+        self.names = {i: t for t, i in self.library.get_vocab(with_added_tokens=True).items()}
+        self.known = Words(CACHE_SHARE)
 
     def words(self, text: str) -> list[str]:
         """Words with the blanks after them; together they are the text."""
@@ -110,18 +125,23 @@ class WordCodec:
         nodes = [encode(x, i + 1 == len(leaves)) for i, x in enumerate(leaves)]
         return tree(nodes, encode, lambda tokens: "".join(t for t, _ in tokens))
 
-    def learn(self, words: Iterable[str]) -> dict[str, tuple[bytes, str]]:
-        """Packed ids and decoded text of words not met before."""
-        bare = {w: self.blank.sub("", w) for w in words}
+    def learn(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Packed ids of words not met before."""
+        bare = {w: w if w.isalnum() else self.blank.sub("", w) for w in words}
         fresh = set(bare.values())
         short = [w for w in fresh if len(w) <= LEAF_SYMBOLS // 4]
-        encoded = self.library.encode_batch(short, add_special_tokens=False)
-        made = {w: (np.array(e.ids, dtype="<u4").tobytes(), " ".join(e.tokens)) for w, e in zip(short, encoded)}
+        made = {}
+        for lo in range(0, len(short), ENCODED_AT_ONCE):
+            part = short[lo : lo + ENCODED_AT_ONCE]
+            made.update((w, packed(e.ids)) for w, e in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)))
         for w in fresh.difference(made):
-            ids = np.array([i for _, i in self.symbols(w)], dtype="<u4")
-            made[w] = ids.tobytes(), " ".join(map(self.library.id_to_token, ids.tolist()))
+            made[w] = packed([i for _, i in self.symbols(w)])
         return {w: made[b] for w, b in bare.items()}
 
+    def decode(self, ids: bytes) -> str:
+        """The text of packed ids."""
+        return " ".join(map(self.names.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
+
     def __call__(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """(ids as little-endian unsigned 32-bit numbers, decoded text) of each text."""
         cut: list[list[str]] = []
@@ -131,16 +151,16 @@ class WordCodec:
                        else self.words(self.normal(text)))
         self.known.make_room()
         if not self.known:
-            self.known.update((s, (np.array([i], dtype="<u4").tobytes(), s)) for s, i in self.special.items())
-        fresh = self.learn({w for words in cut for w in words}.difference(self.known))
-        self.known.add({w: v for w, v in fresh.items() if len(w) <= CACHED_CHARS}, 320)
+            self.known.update((s, packed([i])) for s, i in self.special.items())
+        fresh = self.learn(self.known.unmet(chain.from_iterable(cut)))
+        self.known.add({w: v for w, v in fresh.items() if len(w) <= CACHED_CHARS}, 165)
         out = []
         for words in cut:
             try:
-                found = [self.known[w] for w in words]
+                ids = b"".join(map(self.known.__getitem__, words))
             except KeyError:
-                found = [self.known[w] if w in self.known else fresh[w] for w in words]
-            out.append((b"".join([f[0] for f in found]), " ".join([f[1] for f in found if f[1]])))
+                ids = b"".join([self.known[w] if w in self.known else fresh[w] for w in words])
+            out.append((ids, self.decode(ids)))
         return out
 
 

@@ -167,6 +167,17 @@ def test_word_caches_are_looked_up_not_walked_through():
     assert Held().unmet(["a", "b", "a"]) == {"a", "b"}
 
 
+def test_bpe_keeps_ids_only_and_encodes_in_bounded_calls(monkeypatch):
+    monkeypatch.setattr(bpe_tree, "ENCODED_AT_ONCE", 2)
+    codec = bpe_tree.WordCodec(public_tokenizers.path("word_bpe_49k.json"))
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["One two three, four\x1cfive  it's <|endoftext|> 12\u00a0\u00bd", "two one"]
+    for (ids, decoded), text in zip(codec(texts), texts):
+        want = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want and decoded == library.decode(want, skip_special_tokens=False)
+    assert all(isinstance(v, bytes) for v in codec.known.values())
+
+
 def test_language(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     model = language.fit(docs.filter(~language.held_out()))
