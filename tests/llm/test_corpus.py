@@ -88,6 +88,17 @@ def test_fingerprints(spark):
     assert plain == {d: r.fingerprint for d, r in got.items()}
 
 
+def test_fingerprints_pass_over_most_terms_and_stay_exact(spark):
+    rnd = random.Random(5)
+    texts = TEXTS + [" ".join(f"w{min(rnd.randrange(500), rnd.randrange(500))}" for _ in range(rnd.randrange(100, 400))) for _ in range(20)]
+    df = documents(spark, [(i, "en", t) for i, t in enumerate(texts)])
+    exact = sorted(fingerprint.compare_edits(df, far=None).collect())
+    assert all(sorted(fingerprint.compare_edits(df, far=far).collect()) == exact for far in (0.5, 4.0, fingerprint.FAR))  # the smaller, the more texts a second time
+    terms = fingerprint.term_counts(df.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), ["doc_id"], ["text"])
+    whole = [{r.whole for r in fingerprint.sampled(terms, ["doc_id"], 1, 64, far).collect()} for far in (None, 0.5, fingerprint.FAR)]
+    assert whole[0] == {True} and False in whole[1] and whole[2] == {True}
+
+
 def test_fingerprints_estimate_the_generalised_jaccard_similarity(spark):
     rnd = random.Random(9)
     rows = []
