@@ -1,8 +1,10 @@
 """Merkle manifest, fingerprints and collocations against plain versions."""
 
 import random
+import re
 import sys
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -150,6 +152,18 @@ def test_collocations_in_shards(spark, prose, longest, least, percent, top):
     assert plain_rows(got) == sorted(brute.collocations(prose + prose, longest, least, percent, top))
 
 
+def test_readings_are_stored_once_and_phrases_hashed_together(spark, prose):
+    texts = documents(spark, [(i, *r) for i, r in enumerate(prose)]).selectExpr("coalesce(lang, 'und') as lang", "coalesce(text, '') as text")
+    words = Counter()
+    for text in phrases.readings(phrases.read_texts(texts).toArrow().to_batches()):
+        at, hashes = text.runs(2)
+        pairs = text.phrases(at, 2).to_pylist()
+        assert len(at) == 0 or phrases.phrase_hashes([text.lang] * len(at), pairs).tolist() == hashes.tolist()
+        words.update((text.lang, text.names[i].decode()) for i in text.ids[text.ids != 0].tolist())
+    want = Counter((lang or "und", w) for lang, text in prose for w in re.split("[.,;:!?\x09-\x0D\x20]+", "".join(c.lower() if c.isascii() else c for c in text or "")) if w)
+    assert words == want
+
+
 def test_collocations_of_counts_past_64_bits(spark):
     """Counts of 10^13 are out of reach of a test; the score's arithmetic is not."""
     big = spark.range(1).selectExpr("9000000000000L as a", "9000000000000L as l", "9100000000000L as r")
