@@ -20,16 +20,14 @@ from pyspark.sql import functions as F
 
 from ..schemas import LABEL, MODEL_FEATURES, NON_FEATURES
 from ..session import staged
+from . import neighbours
 from .evaluate import class_factors, full_metrics, leaderboard
-from .sampling import stratified_cap
 from .serving import union_all
 
 CLASSES = (1, 2, 3, 4)
 PROBABILITIES = {c: f"p{c}" for c in CLASSES}
 SEED = 42
 IMPORTANCE = 0.03
-#: Labelled rows that nearest neighbours are fitted on, at most.
-KNN_FIT_ROWS = 20_000
 #: Models that are fitted side by side.
 AT_ONCE = 4
 
@@ -200,62 +198,24 @@ def select_features(df: DataFrame, model: PipelineModel, estimator, threshold: f
 
 
 def knn(
-    train_df: DataFrame, test_df: DataFrame, key: str, label: str = LABEL, columns: list[str] | None = None,
-    k: int = 6, fit_rows: int = KNN_FIT_ROWS,
+    train_df: DataFrame, test_df: DataFrame, key: str, label: str = LABEL, columns: list[str] | None = None, k: int = 6,
 ) -> DataFrame:
-    """Label of each test row by its k nearest training rows.
+    """Label of each test row by its k nearest training rows, among all that have a label and all features.
 
-    The fit is bounded: at most ``fit_rows`` labelled rows, classes in their proportions, chosen by a hash
-    of the key. They are sent to every task once, and every test row is scored against them in its own
-    task, so the work is linear in the test rows: a matrix product finds the few rows that can be among the nearest, and
-    their distances are summed term by term. Ties in distance go to the smaller key, ties of votes to
-    the smaller label.
+    A test row that lacks a feature gets null. Ties in distance go to the smaller key, ties of votes to the smaller
+    label. Without any labelled row there is no result. See ``neighbours`` for the search.
     """
     names = columns or [c for c in MODEL_FEATURES if c in train_df.columns]
-    numbers = [F.col(c).cast("double").alias(c) for c in names]
-    fitted = stratified_cap(train_df, label, key, fit_rows).select(key, F.col(label).cast("int").alias(label), *numbers)
-    rows = fitted.toPandas().sort_values(key, kind="stable")  # at most fit_rows
-    sent = train_df.sparkSession.sparkContext.broadcast((rows[names].to_numpy(dtype="float64"), rows[label].to_numpy(dtype="int64")))
-
-    def nearest(batches):
-        import numpy as np
-        import pandas as pd
-
-        known, labels = sent.value
-        classes, number = np.unique(labels, return_inverse=True)
-        take = min(k, len(known))
-        middle = known.mean(axis=0) if take else 0.0
-        around = known - middle
-        sizes = (around * around).sum(axis=1)
-
-        def candidates(points):
-            """Pairs of a point and a known row among which are all its nearest, in the known rows' order."""
-            own = points - middle
-            rough = sizes - 2 * (own @ around.T)
-            # The product is off by some 5e-15 of the squared sizes, and the sum of squares by less.
-            slack = 1e-12 * (np.sqrt((own * own).sum(axis=1)) + np.sqrt(sizes.max())) ** 2
-            limit = np.partition(rough, take - 1, axis=1)[:, take - 1] + 2 * slack
-            # A point or known row that is not finite has no rough distance; it is compared with all.
-            return np.nonzero((rough <= limit[:, None]) | ~np.isfinite(rough))
-
-        for batch in batches:
-            for start in range(0, len(batch) if take else 0, 128):
-                part = batch.iloc[start : start + 128]
-                points = part[names].to_numpy(dtype="float64")
-                at, of = candidates(points)
-                total = np.zeros(len(at))
-                for c in range(len(names)):
-                    gap = points[at, c] - known[of, c]
-                    total += gap * gap
-                there = ~np.isnan(total)  # of a row that lacks a feature, none
-                at, of, total = at[there], of[there], total[there]
-                order = np.lexsort((of, total, at))
-                at, of = at[order], of[order]
-                place = np.arange(len(at)) - np.searchsorted(at, at)
-                votes = np.zeros((len(part), len(classes)), dtype="int64")
-                np.add.at(votes, (at[place < take], number[of[place < take]]), 1)
-                best = pd.Series(classes[votes.argmax(axis=1)], dtype="Int32").mask(votes.sum(axis=1) == 0)  # a feature is missing
-                yield pd.DataFrame({key: part[key].to_numpy(), "predicted_severity": best})
-
-    kind = dict(test_df.dtypes)[key]
-    return test_df.select(key, *numbers).mapInPandas(nearest, f"{key} {kind}, predicted_severity int")
+    own = [f"f{i}" for i in range(len(names))]
+    numbers = [F.col(c).cast("double").alias(f) for c, f in zip(names, own)]
+    labelled = train_df.where(F.col(label).isNotNull())
+    fitted = labelled.select(F.col(key).alias("key"), F.col(label).cast("int").alias("label"), *numbers)
+    rows = test_df.select(F.col(key).alias("key"), *numbers).withColumn("row", F.monotonically_increasing_id())
+    if labelled.isEmpty():
+        return rows.select(F.col("key").alias(key), F.lit(None).cast("int").alias("predicted_severity")).limit(0)
+    rows = neighbours.stored(rows, "test-rows")
+    near = neighbours.nearest_rows(fitted, rows.select("row", *own), own, k)
+    labels = F.transform("near", lambda x: x["label"])
+    votes = F.transform(F.array_distinct(labels), lambda x: F.struct(F.size(F.filter(labels, lambda y: y == x)).alias("n"), (-x).alias("less")))
+    predicted = near.select("row", (-F.array_max(votes)["less"]).alias("predicted_severity"))
+    return rows.join(predicted, "row", "left").select(F.col("key").alias(key), "predicted_severity")
