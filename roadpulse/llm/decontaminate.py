@@ -20,6 +20,8 @@ from .common import id_and_text, stored, without
 
 SHINGLE, SIMILARITY = 5, 0.8
 BLOCKS, BLOCK_BITS, RADIUS = 43, 3, 42
+#: Bits that say which texts may hold a window.
+MARKS = 1 << 22
 
 
 def words_of(text: Column) -> Column:
@@ -91,6 +93,24 @@ def starts_with_hits() -> Column:
         r -> r.low <= r.high), r -> sequence(r.low, r.high)))""")
 
 
+def shingles_of_window() -> Column:
+    """The shingles of ``window_text``, words with a blank between; a list goes over its words, so they are cut once."""
+    words = F.array(F.split("window_text", " "))
+    return F.get(F.transform(words, lambda w: shingles_of(w, F.least("words_in", F.lit(SHINGLE)))), F.lit(0))
+
+
+def marked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose bit of ``MARKS`` is set by a (doc_id, digest) of ``wanted``: all that are wanted, and few others.
+
+    The bits are words of a table of fixed size, which every task gets, so no other row is dealt out for the exact join.
+    """
+    bit = F.pmod(F.xxhash64("doc_id", "digest"), F.lit(MARKS))
+    mask = F.expr("shiftleft(1L, cast(__bit & 63 as int))")
+    table = wanted.select("doc_id", "digest").withColumn("__bit", bit).groupBy(F.shiftright("__bit", 6).alias("__word")).agg(F.bit_or(mask).alias("__mask"))
+    placed = rows.withColumn("__bit", bit).withColumn("__word", F.shiftright("__bit", 6))
+    return placed.join(F.broadcast(table), "__word").filter(F.col("__mask").bitwiseAND(mask) != 0).select(*rows.columns)
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document and item found in it: doc_id, item_id, similarity (the best window's), n_windows.
@@ -118,8 +138,8 @@ def _found(docs: DataFrame, benchmark: DataFrame, similarity: float, id_col: str
         "q", F.xxhash64("shingle").alias("h"), F.struct("words_in", "at_item").alias("place")).distinct()
     anchors = stored(anchors.groupBy("h", "q").agg(F.collect_set("place").alias("places")), "anchors")
 
-    rows = id_and_text(docs, id_col, text_col).filter("doc_id is not null").select(
-        "doc_id", F.xxhash64("text").alias("digest"), words_of(F.col("text")).alias("words"))
+    texts = id_and_text(docs, id_col, text_col).filter("doc_id is not null").withColumn("digest", F.xxhash64("text"))
+    rows = texts.select("doc_id", "digest", words_of(F.col("text")).alias("words"))
     sizes = [r["q"] for r in items.select("q").distinct().collect()] or [SHINGLE]  # at most five
     def hashed(q: int) -> Column:
         """(hash, size, place) of all runs of q words; none where the text is shorter."""
@@ -141,28 +161,34 @@ def _found(docs: DataFrame, benchmark: DataFrame, similarity: float, id_col: str
     spans = hits.select("doc_id", "digest", "words_in", "aligned", F.explode(starts_with_hits()).alias("start"))
     spans = stored(spans.select("doc_id", "digest", "words_in", "start", F.array_contains("aligned", F.col("start")).alias("aligned")), "spans")
 
-    held = rows.join(spans.select("doc_id", "digest").distinct(), ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
-    # A slice goes over its whole array, so a window is cut once, not once for each of its shingles.
-    window = F.array(F.slice("words", F.col("start") + 1, F.col("words_in")))
-    windows = spans.join(held, ["doc_id", "digest"]).select("doc_id", "digest", "words_in", "aligned", F.get(
-        F.transform(window, lambda w: shingles_of(w, F.least("words_in", F.lit(SHINGLE)))), F.lit(0)).alias("shingles"))
-    windows = windows.groupBy("doc_id", "digest", "words_in", "shingles").agg(F.count_if("aligned").alias("n_windows"))
+    # Texts are joined, not their words, and only those that a table of bits of fixed size lets through: else all texts
+    # would be dealt out and sorted as arrays of words. A window goes on as its words in one string until it is compared.
+    hit = spans.select("doc_id", "digest").distinct()
+    held = marked(texts, hit).join(hit, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
+    held = held.select("doc_id", "digest", words_of(F.col("text")).alias("words"))
+    windows = spans.join(held, ["doc_id", "digest"]).select("doc_id", "digest", "words_in", "aligned", F.array_join(
+        F.slice("words", F.col("start") + 1, F.col("words_in")), " ").alias("window_text"))
+    windows = windows.groupBy("doc_id", "digest", "words_in", "window_text").agg(F.count_if("aligned").alias("n_windows"))
     # Few bytes, much work: rows are spread over all tasks, whatever the size of their files.
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    windows = windows.repartition(tasks, "doc_id", "digest", "shingles").withColumn("window", F.monotonically_increasing_id())
-    windows = stored(windows.withColumn("low", fingerprint("shingles", 1)).withColumn("high", fingerprint("shingles", 2)), "windows")
+    windows = windows.repartition(tasks, "doc_id", "digest", "window_text").withColumn("window", F.monotonically_increasing_id())
+    windows = windows.withColumn("shingles", shingles_of_window())
+    windows = stored(windows.withColumn("low", fingerprint("shingles", 1)).withColumn("high", fingerprint("shingles", 2)).drop("shingles"), "windows")
 
     # Narrow rows meet on (size, early shingle, block); what is within the radius is listed once and gets its shingles back.
+    shingled = windows.select("window", "words_in", "low", "high", shingles_of_window().alias("shingles"))
     m, of_item = F.size("shingles"), F.col("words_in") - F.least(F.col("words_in"), F.lit(SHINGLE)) + 1
-    w = windows.select("window", "words_in", F.col("low").alias("w_low"), F.col("high").alias("w_high"), F.explode(
+    w = shingled.select("window", "words_in", F.col("low").alias("w_low"), F.col("high").alias("w_high"), F.explode(
         keys_of(early("shingles", m - least_common(m, of_item, similarity) + 1), blocks_of("low", "high"))).alias("key"))
     i = items.select("item", "words_in", "low", "high", F.explode(
         keys_of(early("item_shingles", of_item - F.ceil(of_item * similarity - 1e-6).cast("int") + 1), blocks_of("low", "high"))).alias("key"))
     apart = F.bit_count(F.col("low").bitwiseXOR(F.col("w_low"))) + F.bit_count(F.col("high").bitwiseXOR(F.col("w_high")))
     near = w.join(i, ["words_in", "key"]).filter(apart <= RADIUS).select("window", "item").distinct()
-    near = near.join(windows.drop("low", "high"), "window").join(items.select("item", "item_id", "item_shingles"), "item")
-    near = stored(near.select("doc_id", "digest", "n_windows", "shingles", "item_id", "item_shingles"), "near")
-    return near.withColumn("similarity", weighted_similarity(F.col("shingles"), F.col("item_shingles"))).filter(F.col("similarity") >= similarity)
+    near = near.join(windows.drop("low", "high"), "window").repartition(tasks, "window", "item")
+    near = near.join(items.select("item", "item_id", "item_shingles"), "item").withColumn("shingles", shingles_of_window())
+    near = near.withColumn("similarity", weighted_similarity(F.col("shingles"), F.col("item_shingles")))
+    near = stored(near.select("doc_id", "digest", "n_windows", "item_id", "similarity"), "near")
+    return near.filter(F.col("similarity") >= similarity)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
