@@ -12,7 +12,7 @@ from ..operators.features import build_features, drop_required, fill_defaults, v
 from ..operators.health import run_report
 from ..operators.keyed import latest_per_key
 from ..schemas import REPLAY_SCHEMA
-from ..session import shared_folder
+from ..session import shared_folder, staged
 from ..sources.files import finished_folders, read_raw_csv, read_silver
 from ..sources.sinks import (
     KeyedTable,
@@ -34,19 +34,16 @@ def silver_to_gold(spark: SparkSession, silver_path: str, gold_path: str, csv_pa
     """Silver files to Gold; returns rows read and written. Nothing is replaced when no row qualifies.
 
     The cleaned rows are staged once in the shared folder: the emptiness test, the Parquet and the CSV
-    then read the staged files instead of cleaning three times.
+    then read the staged files instead of cleaning three times. The staged files go when Gold is written.
     """
     seen = Observation("silver")
     raw = read_silver(spark, silver_path).observe(seen, F.count(F.lit(1)).alias("n"))
-    staged_path = f"{shared_folder(spark, 'gold')}/clean"
-    gold_clean(raw).write.mode("overwrite").parquet(staged_path)
-    read = seen.get["n"]
-    staged = spark.read.parquet(staged_path)
-    written = staged.count()
-    if written:
-        write_gold_parquet(staged, gold_path)
-        if csv_path:
-            write_gold_csv(staged, csv_path)
+    with staged(gold_clean(raw), "gold") as rows:
+        read, written = seen.get["n"], rows.count()
+        if written:
+            write_gold_parquet(rows, gold_path)
+            if csv_path:
+                write_gold_csv(rows, csv_path)
     return {"read": read, "written": written}
 
 
